@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.functions.hashing import hash52
-from tidewatch.operators.skew import running, value_blocks
+from tidewatch.operators.skew import running, salted_join, value_blocks
 from tidewatch.sources.layers import settle
 
 ALL = "_all"
@@ -34,12 +34,12 @@ def score_points(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -
     )
     points = settle(counted.withColumn("_down", -F.col("prob")), "score-points")
     return running(
-        points,
+        value_blocks(points, "_down"),
         groups,
         ["_down"],
-        value_blocks(points, "_down"),
+        F.col("_part"),
         {"cum_pos": ("sum", "pos"), "cum_neg": ("sum", "neg")},
-    ).drop("_down")
+    ).drop("_down", "_part")
 
 
 def ranking_metrics(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> DataFrame:
@@ -75,15 +75,11 @@ def roc_curve(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> D
         F.lit(0).cast("bigint").alias("cum_pos"),
         F.lit(0).cast("bigint").alias("cum_neg"),
     )
-    return (
-        curve.unionByName(start)
-        .join(totals, groups)
-        .select(
-            *by,
-            "threshold",
-            F.round(F.try_divide(F.col("cum_neg"), F.col("n")), 6).alias("fpr"),
-            F.round(F.try_divide(F.col("cum_pos"), F.col("p")), 6).alias("tpr"),
-        )
+    return salted_join(curve.unionByName(start), totals, groups).select(
+        *by,
+        "threshold",
+        F.round(F.try_divide(F.col("cum_neg"), F.col("n")), 6).alias("fpr"),
+        F.round(F.try_divide(F.col("cum_pos"), F.col("p")), 6).alias("tpr"),
     )
 
 

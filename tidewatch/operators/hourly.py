@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import rules
 from tidewatch.operators.joins import hourly_outer_join
+from tidewatch.operators.skew import salted_join
 
 STAY_KEYS = ("subject_id", "hadm_id", "stay_id")
 
@@ -40,7 +41,7 @@ def hourly_sum(
 
 
 def baseline_join(df: DataFrame, baseline: DataFrame, key: str = "stay_id") -> DataFrame:
-    return df.join(baseline, key, "inner")
+    return salted_join(df, baseline, [key])
 
 
 def hourly_creatinine(events: DataFrame) -> DataFrame:

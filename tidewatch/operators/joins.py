@@ -91,7 +91,8 @@ def qualifying_groups(df: DataFrame, group: Sequence[str], at_least: int) -> Dat
 
 def group_semi_join(df: DataFrame, group: Sequence[str], at_least: int) -> DataFrame:
     """Rows whose group qualifies. Sizes are counted before any row moves."""
-    return df.join(qualifying_groups(df, group, at_least).select(*group), list(group), "left_semi")
+    groups = qualifying_groups(df, group, at_least).select(*group)
+    return salted_join(df, groups, list(group), how="left_semi")
 
 
 def key_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -9,12 +9,12 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.functions.hashing import hash52, unit_uniform
-from tidewatch.operators.skew import running, value_blocks
+from tidewatch.operators.skew import running, salted_join, value_blocks
 from tidewatch.sources.layers import settle
 
 
@@ -33,12 +33,14 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         long.filter(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")),
         "median-counts",
     )
-    ranked = running(counted, ["feature"], ["v"], value_blocks(counted, "v"), {"upto": ("sum", "n")})
+    ranked = running(
+        value_blocks(counted, "v"), ["feature"], ["v"], F.col("_part"), {"upto": ("sum", "n")}
+    )
     totals = counted.groupBy("feature").agg(F.sum("n").alias("total"))
     low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
     after = F.col("upto") - F.col("n")
     return (
-        ranked.join(totals, "feature")
+        salted_join(ranked, totals, ["feature"])
         .filter(((after < low) & (low <= F.col("upto"))) | ((after < high) & (high <= F.col("upto"))))
         .groupBy("feature")
         .agg(((F.min("v") + F.max("v")) / 2).alias("median"))
@@ -67,10 +69,8 @@ def stratified_split(
     )
     block = F.floor(F.col("_h") / F.lit(1 << 42))
     ranked = running(priced, [label], ["_h", key], block, {"_rank": ("count", F.lit(1))})
-    sizes = priced.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_size"))
-    # One row per label.
-    joined = ranked.join(F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_label")))
-    return joined.withColumn(
+    sizes = priced.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    return salted_join(ranked, sizes, [label]).withColumn(
         "is_test", F.col("_rank") <= F.round(F.col("_size") * F.lit(test_share))
     ).select(*df.columns, "is_test")
 

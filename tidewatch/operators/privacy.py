@@ -11,6 +11,7 @@ from tidewatch import config
 from tidewatch.functions import rules
 from tidewatch.functions.hashing import unit_uniform
 from tidewatch.operators.joins import group_semi_join
+from tidewatch.operators.skew import salted_join
 
 QUASI_IDENTIFIERS = ("age_group", "gender", "unittype")
 
@@ -29,12 +30,9 @@ def group_sizes(df: DataFrame, group: Sequence[str] = QUASI_IDENTIFIERS) -> Data
 
 
 def group_size_tag(df: DataFrame, group: Sequence[str] = QUASI_IDENTIFIERS) -> DataFrame:
-    """Every row with the size of its group, as a number and as a "k=n" tag.
-
-    Sizes are one row per group (bands x genders x units), so the join moves only them.
-    """
+    """Every row with the size of its group, as a number and as a "k=n" tag."""
     sizes = group_sizes(df.dropna(subset=list(group)), group)
-    tagged = df.join(sizes, list(group), "left")
+    tagged = salted_join(df, sizes, list(group), how="left")
     size = F.coalesce("group_size", F.lit(0)).cast("bigint")
     return tagged.withColumn("group_size", size).withColumn(
         "k_tag", F.concat(F.lit("k="), size.cast("string"))

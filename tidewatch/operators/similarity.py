@@ -45,8 +45,9 @@ def standardize_features(
     """Adds an array of standardized features; nulls become 0 first."""
     moments = feature_moments(df, features) if moments is None else moments
     filled = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
-    centred = F.zip_with(filled, moments.getField("mean"), lambda x, m: x - m)
-    return df.withColumn(out, F.zip_with(centred, moments.getField("spread"), lambda x, s: x / s))
+    centred = F.zip_with(filled, F.col("_moments.mean"), lambda x, m: x - m)
+    scaled = F.zip_with(centred, F.col("_moments.spread"), lambda x, s: x / s)
+    return df.withColumn("_moments", moments).withColumn(out, scaled).drop("_moments")
 
 
 def dot(vector: Column, weights: Sequence[float]) -> Column:
@@ -144,7 +145,7 @@ def exact_similar(
     z_history = standardize_features(history.select(key, *features), features, moments)
     z_queries = standardize_features(queries.select(F.col(key).alias(query_key), *features), features, moments, "q_z")
     probes = z_queries.agg(F.collect_list(F.struct(query_key, "q_z"))).scalar()
-    pairs = z_history.select(key, "z", F.explode(probes).alias("q")).select(
+    pairs = z_history.withColumn("_probes", probes).select(key, "z", F.explode("_probes").alias("q")).select(
         F.col(f"q.{query_key}").alias(query_key),
         key,
         round_half_up(euclidean(F.col("z"), F.col("q.q_z")), 6).alias("distance"),

@@ -97,9 +97,10 @@ def distinct_estimate_running(
     )
     steps = reached.filter(F.col("z").isNotNull()).agg(F.collect_list(F.struct("z", "since"))).scalar()
     so_far = F.array_max(
-        F.transform(F.filter(steps, lambda s: s["since"] <= F.col(arrival)), lambda s: s["z"])
+        F.transform(F.filter("_steps", lambda s: s["since"] <= F.col(arrival)), lambda s: s["z"])
     )
-    return df.withColumn(out, F.pow(F.lit(2), F.coalesce(so_far, F.lit(0))).cast("bigint"))
+    estimate = F.pow(F.lit(2), F.coalesce(so_far, F.lit(0))).cast("bigint")
+    return df.withColumn("_steps", steps).withColumn(out, estimate).drop("_steps")
 
 
 def sliding_counts(

@@ -176,12 +176,13 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(HALO, CHUNK, POSITION)
 
 
-def value_blocks(df: DataFrame, column: str, parts: int = 200) -> Column:
-    """A block number that grows with `column` and cuts its rows into near-equal parts.
+def value_blocks(df: DataFrame, column: str, out: str = "_part", parts: int = 200) -> DataFrame:
+    """Adds a block number that grows with `column` and cuts its rows into near-equal parts.
 
     The cut points are approximate quantiles, at most `parts` numbers, computed in the same
     plan; they only balance the work, so their error does not touch any result.
     """
     at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     cuts = df.agg(F.percentile_approx(column, at, F.lit(10000)).alias("cuts")).scalar()
-    return F.size(F.filter(cuts, lambda c: c < F.col(column)))
+    below = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(column)))
+    return df.withColumn("_cuts", cuts).withColumn(out, below).drop("_cuts")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import config
+from tidewatch.operators.skew import salted_join
 
 
 def ntz(text: str | Column) -> Column:
@@ -86,9 +87,9 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def dictionary_join(events: DataFrame, dictionary: DataFrame, label_as: str = "label") -> DataFrame:
-    """Events with their item's label. The engine broadcasts the dictionary if it is small."""
+    """Events with their item's label; a frequent item is spread over tasks."""
     items = dictionary.select("itemid", F.col("label").alias(label_as)).dropDuplicates()
-    return events.join(items, "itemid", "inner")
+    return salted_join(events, items, ["itemid"])
 
 
 def clean_labs_by_label(
@@ -201,15 +202,15 @@ def normalize_units(
     df: DataFrame, factors: DataFrame, value: str = "value", unit: str = "valueuom", target: str = "mg/dL"
 ) -> DataFrame:
     """Values converted by a (unit, factor) table; a unit without a factor keeps its value."""
-    units = factors.select(F.col("unit").alias("_unit"), F.col("factor").cast("double").alias("_factor"))
+    units = factors.select(F.col("unit").alias(unit), F.col("factor").cast("double").alias("_factor"))
     known = F.col("_factor").isNotNull()
     return (
-        df.join(units, F.col(unit) == F.col("_unit"), "left")
+        salted_join(df, units, [unit], how="left")
         .withColumn(value, F.when(known, F.col(value) * F.col("_factor")).otherwise(F.col(value)))
         .withColumn(unit, F.when(known, F.lit(target)).otherwise(F.col(unit)))
-        .drop("_unit", "_factor")
+        .drop("_factor")
     )
 
 
 def anti_join_excluded(df: DataFrame, excluded: DataFrame, key: str = "itemid") -> DataFrame:
-    return df.join(excluded.select(key).distinct(), key, "left_anti")
+    return salted_join(df, excluded.select(key).distinct(), [key], how="left_anti")

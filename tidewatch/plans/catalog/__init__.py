@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from tidewatch.plans.catalog import projections  # noqa: F401
+from tidewatch.plans.catalog import aggregates, evaluation, joining, live, projections, quality, similarity, windows  # noqa: F401

@@ -45,9 +45,10 @@ def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def timed_events(source: DataFrame) -> DataFrame:
+    """The events table, batch or stream, with compressed seconds and a milli-value."""
     seconds = F.timestamp_diff("SECOND", F.lit(START).cast("timestamp_ntz"), F.col("ts"))
-    return table(spark, sf_dir, "events").select(
+    return source.select(
         "event_id",
         "user_id",
         "event_type",
@@ -57,6 +58,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed_events(table(spark, sf_dir, "events"))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("user_id").distinct()
 
@@ -266,13 +271,13 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_live(source: DataFrame) -> DataFrame:
     """Live events in arrival order; every 37th is delivered a second time."""
     creatinine = F.col("event_type").isin("purchase", "signup")
     urine = F.col("event_type").isin("view", "click")
     copies = F.when(_every("event_id", 37), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
-        events(spark, sf_dir)
+        timed_events(source)
         .withColumn("copy", F.explode(copies))
         .select(
             (F.col("event_id") + F.col("copy") * 1000000000).cast("bigint").alias("arrival"),
@@ -285,3 +290,7 @@ def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(creatinine, "mg/dL").when(urine, "mL").otherwise("bpm").alias("uom"),
         )
     )
+
+
+def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_live(table(spark, sf_dir, "events"))
