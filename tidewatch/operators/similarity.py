@@ -28,26 +28,25 @@ def projections(n_tables: int, n_bits: int, dims: int, seed: int = SEED) -> list
     return [rng.randn(n_bits, dims) for _ in range(n_tables)]
 
 
-def feature_moments(df: DataFrame, features: Sequence[str] = config.FEATURES) -> Column:
-    """Means and spreads of the zero-filled features, as a one-row subquery."""
+def feature_moments(df: DataFrame, features: Sequence[str] = config.FEATURES) -> DataFrame:
+    """One row: the means and the spreads of the zero-filled features."""
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
     return df.agg(
-        F.struct(
-            F.array(*[F.avg(c) for c in filled]).alias("mean"),
-            F.array(*[F.stddev_pop(c) + F.lit(1e-9) for c in filled]).alias("spread"),
-        )
-    ).scalar()
+        F.array(*[F.avg(c) for c in filled]).alias("mean"),
+        F.array(*[F.stddev_pop(c) + F.lit(1e-9) for c in filled]).alias("spread"),
+    )
 
 
 def standardize_features(
-    df: DataFrame, features: Sequence[str] = config.FEATURES, moments: Column | None = None, out: str = "z"
+    df: DataFrame, features: Sequence[str] = config.FEATURES, moments: DataFrame | None = None, out: str = "z"
 ) -> DataFrame:
     """Adds an array of standardized features; nulls become 0 first."""
     moments = feature_moments(df, features) if moments is None else moments
     filled = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
     centred = F.zip_with(filled, F.col("_moments.mean"), lambda x, m: x - m)
     scaled = F.zip_with(centred, F.col("_moments.spread"), lambda x, s: x / s)
-    return df.withColumn("_moments", moments).withColumn(out, scaled).drop("_moments")
+    one_row = moments.select(F.struct("mean", "spread")).scalar()
+    return df.withColumn("_moments", one_row).withColumn(out, scaled).drop("_moments")
 
 
 def dot(vector: Column, weights: Sequence[float]) -> Column:
@@ -105,32 +104,55 @@ def topk_similar(pairs: DataFrame, query_key: str, index_key: str, k: int, dista
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def lsh_index(
+    history: DataFrame, key: str, moments: DataFrame, features: Sequence[str] = config.FEATURES,
+    n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS, seed: int = SEED,
+) -> DataFrame:
+    """The searchable form of a table: key, standardized features, buckets, one row per table."""
+    z = standardize_features(history.select(key, *features), features, moments)
+    return lsh_hash(z, n_tables=n_tables, n_bits=n_bits, dims=len(features), seed=seed).select(
+        key, "z", "buckets", "table_id", "bucket"
+    )
+
+
+def write_index(index: DataFrame, path: str) -> DataFrame:
+    """The index as files by table and bucket, so that a search reads its own buckets only."""
+    index.write.mode("overwrite").partitionBy("table_id", "bucket").parquet(path)
+    return index.sparkSession.read.schema(index.schema).parquet(path)
+
+
+def lsh_search(
+    queries: DataFrame, index: DataFrame, moments: DataFrame, key: str,
+    features: Sequence[str] = config.FEATURES, k: int = 5, n_tables: int = DEFAULT_TABLES,
+    n_bits: int = DEFAULT_BITS, seed: int = SEED, salts: int = 8, query_key: str = "query_id",
+) -> DataFrame:
+    """The k nearest index rows per query among those sharing a bucket with it.
+
+    `queries` holds `query_key` and the features. A query without bucket mates has no rows.
+    """
+    z = standardize_features(queries.select(query_key, *features), features, moments, out="q_z")
+    probes = lsh_hash(
+        z, vector="q_z", out="q_buckets", n_tables=n_tables, n_bits=n_bits, dims=len(features), seed=seed
+    ).select(query_key, "q_z", "q_buckets", "table_id", "bucket")
+    pairs = lsh_bucket_join(probes, index, key, salts).select(
+        query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z")), 6).alias("distance")
+    )
+    return topk_similar(pairs, query_key, key, k)
+
+
 def lsh_similar(
     queries: DataFrame, history: DataFrame, key: str, features: Sequence[str] = config.FEATURES,
     k: int = 5, n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS, seed: int = SEED,
     salts: int = 8, query_key: str = "query_id",
 ) -> DataFrame:
-    """The k nearest rows of `history` per query among those sharing a bucket with it.
+    """Index and search in one plan, for a few queries that are rows of `history` or like them.
 
-    Both tables hold `key` and the features; a query that is also a history row finds itself
-    at distance 0. A query without bucket mates has no rows.
+    A query that is also a history row finds itself at distance 0.
     """
     moments = feature_moments(history, features)
-    shape = {"n_tables": n_tables, "n_bits": n_bits, "dims": len(features), "seed": seed}
-    index = lsh_hash(standardize_features(history.select(key, *features), features, moments), **shape)
-    probes = lsh_hash(
-        standardize_features(
-            queries.select(F.col(key).alias(query_key), *features), features, moments, out="q_z"
-        ),
-        vector="q_z", out="q_buckets", **shape,
-    )
-    pairs = lsh_bucket_join(
-        probes.select(query_key, "q_z", "q_buckets", "table_id", "bucket"),
-        index.select(key, "z", "buckets", "table_id", "bucket"),
-        key,
-        salts,
-    ).select(query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z")), 6).alias("distance"))
-    return topk_similar(pairs, query_key, key, k)
+    index = lsh_index(history, key, moments, features, n_tables, n_bits, seed)
+    asked = queries.select(F.col(key).alias(query_key), *features)
+    return lsh_search(asked, index, moments, key, features, k, n_tables, n_bits, seed, salts, query_key)
 
 
 def exact_similar(

@@ -1,3 +1,15 @@
 """Importing this package registers every query."""
 
-from tidewatch.plans.catalog import aggregates, evaluation, joining, live, projections, quality, similarity, windows  # noqa: F401
+from tidewatch.plans.catalog import (  # noqa: F401
+    aggregates,
+    evaluation,
+    inputs,
+    joining,
+    live,
+    models,
+    projections,
+    quality,
+    similarity,
+    streams,
+    windows,
+)
