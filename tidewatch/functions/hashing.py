@@ -22,5 +22,8 @@ def unit_uniform(text: Column) -> Column:
 
 
 def salt(buckets: int, *columns) -> Column:
-    """A repeatable bucket number: unlike rand() it survives the re-run of a lost task."""
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+    """A repeatable bucket number: unlike rand() it survives the re-run of a lost task.
+
+    Declared non-null, or a join on it would evaluate it once more to filter nulls.
+    """
+    return F.coalesce(F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int"), F.lit(0))

@@ -14,7 +14,7 @@ from tidewatch import config
 from tidewatch.functions import rules
 from tidewatch.functions.numeric import or_default, round_half_up
 from tidewatch.operators import skew
-from tidewatch.operators.hourly import day
+from tidewatch.operators.hourly import hour
 from tidewatch.sources.layers import settle
 
 # History length, readings in the baseline, constant vector tail.
@@ -53,7 +53,7 @@ def measure_states(events: DataFrame, rate: str, weight: float, size: int) -> Da
     )
     key = ["subject_id", "measure"]
     rows = skew.chunks(
-        measured, key, ["event_time", "arrival"], day("event_time"), HISTORY - 1, size=size
+        measured, key, ["event_time", "arrival"], hour("event_time"), HISTORY - 1, size=size
     )
     window = skew.chunk_window(key).rowsBetween(1 - HISTORY, 0)
     history = skew.drop_halo(rows.withColumn("_history", F.collect_list("value").over(window)))
@@ -95,7 +95,7 @@ def live_state(
         states,
         ["subject_id"],
         ["event_time", "arrival"],
-        day("event_time"),
+        hour("event_time"),
         {"_cr": ("last", "_creatinine"), "_uo": ("last", "_urine"), "event_count": ("count", F.lit(1))},
     )
     return carried.select(

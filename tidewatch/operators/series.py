@@ -19,18 +19,19 @@ TARGET_ROWS = 48
 
 def running_max_rows(
     df: DataFrame, key: str = "stay_id", time: str = "charttime", value: str = "kdigo_stage",
-    out: str = "rolling_max_kdigo",
+    out: str = "rolling_max_kdigo", block: Column | None = None,
 ) -> DataFrame:
-    """The worst value so far, row by row."""
-    return skew.running(df, [key], [time], day(time), {out: ("max", value)})
+    """The worst value so far, row by row. Hourly rows are cut by day; cut raw events finer."""
+    return skew.running(df, [key], [time], day(time) if block is None else block, {out: ("max", value)})
 
 
 def running_max_range(
     df: DataFrame, key: str = "stay_id", time: str = "charttime", value: str = "kdigo_stage",
-    out: str = "rolling_max_kdigo",
+    out: str = "rolling_max_kdigo", block: Column | None = None,
 ) -> DataFrame:
     """The worst value so far; rows of equal time share it."""
-    return skew.running(df, [key], [time], day(time), {out: ("max", value)}, ties=True)
+    cut = day(time) if block is None else block
+    return skew.running(df, [key], [time], cut, {out: ("max", value)}, ties=True)
 
 
 def hours_boundary(start: str, end: str) -> Column:

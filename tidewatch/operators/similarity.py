@@ -8,8 +8,10 @@ and each task keeps its k best per query before anything is shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,44 +30,55 @@ def projections(n_tables: int, n_bits: int, dims: int, seed: int = SEED) -> list
     return [rng.randn(n_bits, dims) for _ in range(n_tables)]
 
 
-def feature_moments(df: DataFrame, features: Sequence[str] = config.FEATURES) -> DataFrame:
-    """One row: the means and the spreads of the zero-filled features."""
+class Moments(NamedTuple):
+    """Two numbers per feature; small enough to be literals in every plan that uses them."""
+
+    mean: list[float]
+    spread: list[float]
+
+
+def feature_moments(df: DataFrame, features: Sequence[str] = config.FEATURES) -> Moments:
+    """Means and spreads of the zero-filled features, by one aggregate."""
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
-    return df.agg(
+    row = df.agg(
         F.array(*[F.avg(c) for c in filled]).alias("mean"),
         F.array(*[F.stddev_pop(c) + F.lit(1e-9) for c in filled]).alias("spread"),
-    )
+    ).first()
+    empty = row["mean"][0] is None
+    return Moments([0.0] * len(filled) if empty else row["mean"], [1.0] * len(filled) if empty else row["spread"])
 
 
 def standardize_features(
-    df: DataFrame, features: Sequence[str] = config.FEATURES, moments: DataFrame | None = None, out: str = "z"
+    df: DataFrame, features: Sequence[str] = config.FEATURES, moments: Moments | None = None, out: str = "z"
 ) -> DataFrame:
     """Adds an array of standardized features; nulls become 0 first."""
     moments = feature_moments(df, features) if moments is None else moments
-    filled = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
-    centred = F.zip_with(filled, F.col("_moments.mean"), lambda x, m: x - m)
-    scaled = F.zip_with(centred, F.col("_moments.spread"), lambda x, s: x / s)
-    one_row = moments.select(F.struct("mean", "spread")).scalar()
-    return df.withColumn("_moments", one_row).withColumn(out, scaled).drop("_moments")
-
-
-def dot(vector: Column, weights: Sequence[float]) -> Column:
-    terms = F.zip_with(vector, F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w)
-    return F.aggregate(terms, F.lit(0.0), lambda total, t: total + t)
+    scaled = [
+        (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.lit(m)) / F.lit(s)
+        for c, m, s in zip(features, moments.mean, moments.spread)
+    ]
+    return df.withColumn(out, F.array(*scaled))
 
 
 def lsh_buckets(
     df: DataFrame, n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS,
     dims: int = len(config.FEATURES), seed: int = SEED, vector: str = "z", out: str = "buckets",
 ) -> DataFrame:
-    """Adds one bucket per table: the signs of its projections as a bit number."""
-    buckets = []
-    for matrix in projections(n_tables, n_bits, dims, seed):
-        bucket = F.lit(0).cast("bigint")
-        for i, row in enumerate(matrix):
-            bucket = bucket + F.when(dot(F.col(vector), row) >= 0, F.lit(1 << i)).otherwise(F.lit(0))
-        buckets.append(bucket)
-    return df.withColumn(out, F.array(*buckets))
+    """Adds one bucket per table: the signs of its projections as a bit number.
+
+    All projections of an Arrow batch are one matrix product; spelled out as column arithmetic
+    they outgrow a compiled method, and array lambdas are interpreted.
+    """
+    planes = np.vstack(projections(n_tables, n_bits, dims, seed))
+    weights = 1 << np.arange(n_bits)
+
+    @F.pandas_udf("array<bigint>")
+    def buckets(vectors: pd.Series) -> pd.Series:
+        signs = np.stack(vectors.to_numpy()) @ planes.T >= 0
+        return pd.Series(list(signs.reshape(-1, n_tables, n_bits) @ weights))
+
+    # Marked nondeterministic so that filters inferred from its result do not run it again.
+    return df.withColumn(out, buckets.asNondeterministic()(vector))
 
 
 def lsh_hash(df: DataFrame, out: str = "buckets", **options) -> DataFrame:
@@ -74,9 +87,11 @@ def lsh_hash(df: DataFrame, out: str = "buckets", **options) -> DataFrame:
     return hashed.select("*", F.posexplode(out).alias("table_id", "bucket"))
 
 
-def euclidean(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
+def euclidean(a: Column, b: Column, dims: int) -> Column:
+    total = (a[0] - b[0]) * (a[0] - b[0])
+    for i in range(1, dims):
+        total = total + (a[i] - b[i]) * (a[i] - b[i])
+    return F.sqrt(total)
 
 
 def lsh_bucket_join(probes: DataFrame, index: DataFrame, spread: str, salts: int = 8) -> DataFrame:
@@ -105,7 +120,7 @@ def topk_similar(pairs: DataFrame, query_key: str, index_key: str, k: int, dista
 
 
 def lsh_index(
-    history: DataFrame, key: str, moments: DataFrame, features: Sequence[str] = config.FEATURES,
+    history: DataFrame, key: str, moments: Moments, features: Sequence[str] = config.FEATURES,
     n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS, seed: int = SEED,
 ) -> DataFrame:
     """The searchable form of a table: key, standardized features, buckets, one row per table."""
@@ -122,7 +137,7 @@ def write_index(index: DataFrame, path: str) -> DataFrame:
 
 
 def lsh_search(
-    queries: DataFrame, index: DataFrame, moments: DataFrame, key: str,
+    queries: DataFrame, index: DataFrame, moments: Moments, key: str,
     features: Sequence[str] = config.FEATURES, k: int = 5, n_tables: int = DEFAULT_TABLES,
     n_bits: int = DEFAULT_BITS, seed: int = SEED, salts: int = 8, query_key: str = "query_id",
 ) -> DataFrame:
@@ -135,7 +150,7 @@ def lsh_search(
         z, vector="q_z", out="q_buckets", n_tables=n_tables, n_bits=n_bits, dims=len(features), seed=seed
     ).select(query_key, "q_z", "q_buckets", "table_id", "bucket")
     pairs = lsh_bucket_join(probes, index, key, salts).select(
-        query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z")), 6).alias("distance")
+        query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z"), len(features)), 6).alias("distance")
     )
     return topk_similar(pairs, query_key, key, k)
 
@@ -170,7 +185,7 @@ def exact_similar(
     pairs = z_history.withColumn("_probes", probes).select(key, "z", F.explode("_probes").alias("q")).select(
         F.col(f"q.{query_key}").alias(query_key),
         key,
-        round_half_up(euclidean(F.col("z"), F.col("q.q_z")), 6).alias("distance"),
+        round_half_up(euclidean(F.col("z"), F.col("q.q_z"), len(features)), 6).alias("distance"),
     )
     return topk_similar(pairs, query_key, key, k)
 
@@ -186,7 +201,7 @@ def twin_explanation(
 ) -> DataFrame:
     """A line of text per twin: compared values of both, and what became of the twin."""
     def shown(c: str) -> Column:
-        return F.coalesce(F.format_string("%.2f", F.col(c).cast("double")), F.lit("nan"))
+        return F.when(F.col(c).isNull(), "nan").otherwise(F.format_string("%.2f", F.col(c).cast("double")))
 
     asked = queries.select(F.col(key).alias(query_key), *[shown(c).alias(f"q_{c}") for c in compared])
     found = history.select(key, *[shown(c).alias(f"t_{c}") for c in compared], target)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.operators import series, skew, sketches
-from tidewatch.operators.hourly import day
+from tidewatch.operators.hourly import hour
 from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures, warehouse
 from tidewatch.plans.catalog import joining, projections  # noqa: F401
@@ -139,7 +139,7 @@ def _(spark, sf):
         ),
         "stage-events",
     )
-    return series.running_max_range(events, key="subject_id")
+    return series.running_max_range(events, key="subject_id", block=F.col("charttime"))
 
 
 VIEWS["v_batch_features"] = """
@@ -275,5 +275,5 @@ def _(spark, sf):
 def _(spark, sf):
     events = settle(b.live_unique(spark, sf).select("arrival", "subject_id", "event_time"), "unique")
     return skew.running(
-        events, ["subject_id"], ["event_time", "arrival"], day("event_time"), {"event_count": ("count", F.lit(1))}
+        events, ["subject_id"], ["event_time", "arrival"], hour("event_time"), {"event_count": ("count", F.lit(1))}
     ).drop("event_time")

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch import config
 from tidewatch.operators import similarity
 from tidewatch.operators.skew import salted_join
-from tidewatch.sources.layers import settle
 from tidewatch.streaming.sinks import each_batch
 
 
@@ -30,7 +29,7 @@ def live_features(scored_events: DataFrame, key: str) -> DataFrame:
 
 
 def twins_of(
-    events: DataFrame, history: DataFrame, index: DataFrame, moments: DataFrame, key: str = "arrival",
+    events: DataFrame, history: DataFrame, index: DataFrame, moments: similarity.Moments, key: str = "arrival",
     history_key: str = "row_key", k: int = 3, features: Sequence[str] = config.FEATURES,
     n_tables: int = 3, n_bits: int = 6,
 ) -> DataFrame:
@@ -63,7 +62,7 @@ def stream_twins(
 ) -> StreamingQuery:
     """Twins of every event. The history is hashed and written once, by table and bucket; a
     micro-batch reads the buckets of its own events."""
-    moments = settle(similarity.feature_moments(history), "twin-moments")
+    moments = similarity.feature_moments(history)
     index = similarity.write_index(
         similarity.lsh_index(history, history_key, moments, n_tables=n_tables, n_bits=n_bits), f"{path}-index"
     )
