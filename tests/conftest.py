@@ -13,12 +13,32 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_spark("tests", master="local[8]", shuffle_partitions=4)
+    session = get_spark("tests", master="local[8]", shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def shared_layers():
+    """Tables that many queries derive are written once per run instead of once per query."""
+    from tidewatch.plans import bindings
+    from tidewatch.sources.layers import settle
+
+    with pytest.MonkeyPatch.context() as patch:
+        for name in ("offset_hourly", "training_set", "training_people"):
+            original = getattr(bindings, name)
+            written = {}
+
+            def once(spark, sf, original=original, written=written, name=name):
+                if sf not in written:
+                    written[sf] = settle(original(spark, sf), name)
+                return written[sf]
+
+            patch.setattr(bindings, name, once)
+        yield
+
+
 @pytest.fixture(scope="session")
 def duck():
     return connect(SMALL)

@@ -7,6 +7,9 @@ from tests.compare import compare
 from tests.conftest import SMALL
 
 
+pytestmark = pytest.mark.usefixtures("shared_layers")
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_twin(spark, duck, name):
     problem, _ = compare(queries()[name](spark, SMALL), oracle_sql()[name], duck)

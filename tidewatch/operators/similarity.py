@@ -131,8 +131,11 @@ def lsh_index(
 
 
 def write_index(index: DataFrame, path: str) -> DataFrame:
-    """The index as files by table and bucket, so that a search reads its own buckets only."""
-    index.write.mode("overwrite").partitionBy("table_id", "bucket").parquet(path)
+    """The index as files by table and bucket, so that a search reads its own buckets only.
+
+    Rows are rebalanced by bucket first: few files per bucket, and a hot bucket is split.
+    """
+    index.hint("rebalance", "table_id", "bucket").write.mode("overwrite").partitionBy("table_id", "bucket").parquet(path)
     return index.sparkSession.read.schema(index.schema).parquet(path)
 
 

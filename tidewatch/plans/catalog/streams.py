@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch import schemas
-from tidewatch.operators import live, ml, sketches
+from tidewatch import config, schemas
+from tidewatch.operators import live, ml, similarity, sketches
 from tidewatch.plans import bindings as b
 from tidewatch.plans import cohort, fixtures
 from tidewatch.plans.catalog import live as live_catalog
 from tidewatch.plans.catalog import models
+from tidewatch.plans.catalog import similarity as similar_catalog
+from tidewatch.plans.oracle import VIEWS
 from tidewatch.plans.registry import query
 from tidewatch.session import work_dir
 from tidewatch.streaming import operators, sinks, sources, state, twins
@@ -113,7 +115,32 @@ def _(spark, sf):
     return sinks.drain(operators.stream_score(model, rows), "scored").select("row_key", "label", "prob")
 
 
-@query("stream_twins")
+_live_features = ["creatinine", "baseline", "cr_ratio", "cr_delta_recent", "NULL", "NULL", "uo_ml_kg_hr_6h", "NULL", "uo_ml_kg_hr_24h"]
+VIEWS["v_newest"] = """
+SELECT * FROM v_scored_state
+QUALIFY row_number() OVER (PARTITION BY subject_id ORDER BY event_time DESC, arrival DESC) = 1"""
+VIEWS["v_newest_z"] = f"""
+SELECT arrival, [{", ".join(f"(coalesce({c}, 0)::DOUBLE - m{i}) / s{i}" for i, c in enumerate(_live_features))}] AS z
+FROM v_newest, v_moments"""
+VIEWS["v_newest_hash"] = " UNION ALL ".join(
+    f"SELECT arrival, {t} AS table_id, ({similar_catalog._bucket(m)})::BIGINT AS bucket FROM v_newest_z"
+    for t, m in enumerate(similarity.projections(similar_catalog.TABLES, similar_catalog.BITS, similar_catalog.D))
+)
+
+
+@query(
+    "stream_twins",
+    f"""SELECT t.arrival, t.rank, t.row_key AS twin_id, t.distance,
+          CASE WHEN h.{config.TARGET} = 1 THEN 'Stage 3 AKI' ELSE 'Stable' END AS outcome,
+          floor(h.creatinine * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS cr,
+          floor(h.urine_output_ml * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS uo
+        FROM (SELECT *, row_number() OVER (PARTITION BY arrival ORDER BY distance, row_key)::INTEGER AS rank
+              FROM (SELECT p.arrival, p.row_key, {similar_catalog._rounded} AS distance
+                    FROM (SELECT DISTINCT n.arrival, h.row_key FROM v_newest_hash n
+                          JOIN v_hash h ON n.table_id = h.table_id AND n.bucket = h.bucket) p
+                    JOIN v_z a ON p.row_key = a.row_key JOIN v_newest_z q ON p.arrival = q.arrival)) t
+        JOIN v_training_set h ON t.row_key = h.row_key WHERE t.rank <= 3""",
+)
 def _(spark, sf):
     history = b.training_set(spark, sf)
     # The newest state of every patient, searched against the whole history.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import config
+from tidewatch.functions.numeric import round_half_up
 from tidewatch.operators import similarity
 from tidewatch.operators.skew import salted_join
 from tidewatch.streaming.sinks import each_batch
@@ -47,8 +48,8 @@ def twins_of(
     found = history.select(
         history_key,
         F.when(F.col(config.TARGET) == 1, "Stage 3 AKI").otherwise("Stable").alias("outcome"),
-        F.round("creatinine", 2).alias("cr"),
-        F.round("urine_output_ml", 1).alias("uo"),
+        round_half_up(F.col("creatinine"), 2).alias("cr"),
+        round_half_up(F.col("urine_output_ml"), 1).alias("uo"),
     )
     twins = near.join(found, history_key).withColumnRenamed(history_key, "twin_id")
     return salted_join(queries.select(key, "query_id"), twins, ["query_id"]).select(
