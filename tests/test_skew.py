@@ -127,3 +127,22 @@ def test_one_score_for_a_third_of_the_rows(spark):
     check = BinaryClassificationEvaluator(rawPredictionCol="prob", labelCol="label", numBins=0)
     expected = check.evaluate(df.withColumn("label", F.col("label").cast("double")))
     assert evaluate.ranking_metrics(df, "label", "prob").first()["auroc"] == pytest.approx(expected, abs=1e-6)
+
+
+@pytest.mark.parametrize("name", ["window_join_labs", "clean_labs_by_label", "group_semi_join", "lsh_similar", "roc_curve"])
+def test_results_do_not_depend_on_broadcasts(spark, duck, shared_layers, name):
+    """On large tables these joins shuffle both sides; switch broadcasts off to take that way here."""
+    from __spark_entry__ import oracle_sql, queries
+    from tests.compare import compare
+    from tests.conftest import SMALL
+
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(s, None) for s in settings]
+    try:
+        for s in settings:
+            spark.conf.set(s, "-1")
+        problem, _ = compare(queries()[name](spark, SMALL), oracle_sql()[name], duck)
+    finally:
+        for s, value in zip(settings, before):
+            spark.conf.unset(s) if value is None else spark.conf.set(s, value)
+    assert not problem
