@@ -124,12 +124,25 @@ def _(spark, sf):
     return ml.model_metrics_table(ml.train_pipelines(train, columns, "label"), test, "label")
 
 
-@query("model_save_load")
+VIEWS["v_test_rows"] = f"""
+SELECT row_key, {config.TARGET}::DOUBLE AS label FROM v_training_set
+WHERE ({hash32("'42:' || row_key")} + 0.5::DOUBLE) / 4294967296.0::DOUBLE < 0.2"""
+
+
+def same_scores(first, second):
+    """Rows scored twice, and whether both scores are the same probability."""
+    other = second.select("row_key", F.col("prob").alias("_prob"))
+    same = (F.col("prob") == F.col("_prob")) & F.col("prob").between(0, 1)
+    return first.join(other, "row_key", "left").select("row_key", "label", F.coalesce(same, F.lit(False)).alias("same"))
+
+
+@query("model_save_load", "SELECT row_key, label, true AS same FROM v_test_rows")
 def _(spark, sf):
     train, test, columns = _split_training(spark, sf)
     path = work_dir(spark, "model")
-    ml.model_save(ml.logistic_pipeline(columns, "label").fit(train), path)
-    return ml.score_batch(ml.model_load(path), test).select("row_key", "prob")
+    model = ml.logistic_pipeline(columns, "label").fit(train)
+    ml.model_save(model, path)
+    return same_scores(ml.score_batch(ml.model_load(path), test), ml.score_batch(model, test))
 
 
 @query("run_registry")
