@@ -68,8 +68,9 @@ def test_state_survives_a_restart(spark):
 def test_dedup_drops_repeats_in_later_files(spark):
     events = some_events(spark)
     path = work_dir(spark, "repeats")
-    events.write.mode("append").parquet(path)
-    events.filter("arrival % 5 = 0").write.mode("append").parquet(path)
+    # One file each: files in any other order would let the watermark pass early events by.
+    events.coalesce(1).write.mode("append").parquet(path)
+    events.filter("arrival % 5 = 0").coalesce(1).write.mode("append").parquet(path)
     stream = sources.with_event_time(sources.table_stream_source(spark, path, events.schema, max_files=1))
     unique = sinks.drain(operators.stream_dedup(stream, sketches.EVENT_KEY), "dedup")
     assert unique.count() == 400
@@ -115,3 +116,26 @@ def test_reference_rate_is_the_mean(spark):
     by_sum = settle(live.live_state(events), "s").filter("uo_ml_kg_hr_6h is not null")
     by_mean = live.live_state(events, rate="reference").filter("uo_ml_kg_hr_6h is not null")
     assert by_sum.agg(F.avg("uo_ml_kg_hr_6h")).first()[0] > by_mean.agg(F.avg("uo_ml_kg_hr_6h")).first()[0]
+
+
+def test_synthetic_events_are_plausible_and_repeatable(spark):
+    from tidewatch.sources import synthetic
+
+    ids = spark.range(4000)
+    first = synthetic.synthetic_events(ids)
+    assert rows(first, "id", "value", "charttime") == rows(synthetic.synthetic_events(ids.repartition(7)), "id", "value", "charttime")
+    low = first.groupBy("event_type").agg(F.min("value").alias("low"), F.count("*").alias("n")).collect()
+    assert all(r["low"] >= (0.2 if r["event_type"] == "creatinine" else 0.0) and 1700 < r["n"] < 2300 for r in low)
+    sick = first.filter("event_type = 'creatinine'").groupBy((F.col("subject_id") % 5 == 0).alias("sick")).agg(F.avg("value").alias("v"))
+    by = {r["sick"]: r["v"] for r in sick.collect()}
+    assert by[True] > by[False] + 1.5
+    steps = first.select(F.col("charttime").cast("timestamp").cast("long").alias("t"), "id").orderBy("id").collect()
+    gaps = {(b["t"] - a["t"]) // 60 for a, b in zip(steps, steps[1:])}
+    assert gaps == set(range(1, 16))
+
+
+def test_synthetic_stream_has_the_event_fields(spark):
+    from tidewatch.sources import synthetic
+
+    stream = synthetic.synthetic_stream(spark)
+    assert stream.isStreaming and set(schemas.LIVE_EVENT.fieldNames()) <= set(stream.columns)

@@ -149,7 +149,7 @@ def run_register(
 ) -> None:
     """Append one run to the registry table; its id comes from the data version."""
     row = spark.range(1).select(
-        F.lit(f"aki_run_{version[:8]}").alias("run_id"),
+        F.lit(f"run_{version[:8]}").alias("run_id"),
         F.lit(model_name).alias("model_name"),
         F.current_timestamp().alias("timestamp"),
         F.struct(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch import config
 from tidewatch.operators import live, sketches
 from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures
