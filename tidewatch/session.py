@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,8 +31,26 @@ def get_spark(
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application, wherever the job was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tidewatch-ship-")), "tidewatch.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Settings that results depend on, applied to a session made elsewhere."""
+    ship(spark)
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
