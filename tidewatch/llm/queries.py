@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, classifier, rules, token_count
+from tidewatch.llm import bpe, classifier, decontam, rules, secrets, simhash, substrings, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +37,17 @@ def _(spark, sf):
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf, "documents"), vocabulary), vocabulary))
 
 
+@query("op3_substring_dedup")
+def _(spark, sf):
+    return substrings.digest(substrings.dedup_substrings(table(spark, sf, "documents")))
+
+
+@query("op5_simhash")
+def _(spark, sf):
+    grouped = simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, budget=4)
+    return grouped.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op7_quality_classifier")
 def _(spark, sf):
     docs = table(spark, sf, "documents")
@@ -46,3 +58,13 @@ def _(spark, sf):
 def _(spark, sf):
     docs = table(spark, sf, "documents")
     return rules.apply(docs, rules.fit(docs, table(spark, sf, "labels")))
+
+
+@query("op9_decontamination")
+def _(spark, sf):
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op10_secret_scan")
+def _(spark, sf):
+    return secrets.digest(secrets.scan(table(spark, sf, "documents")))
