@@ -196,8 +196,9 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
     return encoded.select(*columns).mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256."""
+def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256, and `ids` if wanted."""
+    fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
@@ -206,12 +207,10 @@ def digests(decoded: DataFrame) -> DataFrame:
             ids = batch.column("ids")
             joined = [sha256(",".join(map(str, row)).encode()).hexdigest() for row in ids.to_pylist()]
             plain = [sha256(row).hexdigest() for row in batch.column("decoded").to_pylist()]
-            counts = pc.list_value_length(ids).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), counts, pa.array(joined), pa.array(plain)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = {
+                "doc_id": batch.column("doc_id"), "n_tokens": pc.list_value_length(ids).cast(pa.int64()),
+                "ids_sha256": pa.array(joined, pa.string()), "decoded_sha256": pa.array(plain, pa.string()),
+            } | ({"ids": ids} if keep_ids else {})
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return decoded.select("doc_id", "ids", "decoded").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    return decoded.select("doc_id", "ids", "decoded").mapInArrow(run, fields)

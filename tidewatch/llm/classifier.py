@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,8 +171,6 @@ def score(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     if keep:
-        import pandas as pd
-
         texts(docs, id_col, text_col)  # sets the batch size
 
         @F.pandas_udf("double")

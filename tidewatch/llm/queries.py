@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, classifier, decontam, rules, secrets, simhash, substrings, token_count
+from tidewatch.llm import bpe, classifier, decontam, grammar, lines, rules, secrets, simhash, substrings, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,12 +42,23 @@ def _(spark, sf):
     return substrings.digest(substrings.dedup_substrings(table(spark, sf, "documents")))
 
 
+@query("op4_line_dedup")
+def _(spark, sf):
+    return lines.digest(lines.dedup_lines(table(spark, sf, "documents")))
+
+
 @query("op5_simhash")
 def _(spark, sf):
     grouped = simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, budget=4)
     return grouped.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op6_token_shards")
+def _(spark, sf):
+    docs = table(spark, sf, "documents")
+    return grammar.digest(grammar.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 @query("op7_quality_classifier")
 def _(spark, sf):
     docs = table(spark, sf, "documents")
