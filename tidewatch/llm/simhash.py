@@ -54,7 +54,10 @@ def _mixed(h: np.ndarray, turn: int) -> np.ndarray:
 
 
 def fingerprint(text: bytes, shingle: int, words: int = 1) -> bytes:
-    """`words` times 64 bits, most significant first; a bit is 1 if set in over half the shingle hashes."""
+    """`words` times 64 bits, most significant first; a bit is 1 if set in over half the shingle hashes.
+
+    Narrow fingerprints count repeated shingles each time, wide ones are those of shingle sets.
+    """
     import xxhash
 
     listed = text.lower().split()
@@ -71,6 +74,8 @@ def fingerprint(text: bytes, shingle: int, words: int = 1) -> bytes:
     digest = xxhash.xxh64_digest
     raw = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
     hashes = np.frombuffer(raw, ">u8").astype(np.uint64)
+    if words > 1:
+        hashes = np.unique(hashes)
     counts = np.zeros(64 * words, np.int64)
     for start in range(0, len(hashes), 1 << 14):
         part = hashes[start : start + (1 << 14)]
