@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 
 from tidewatch import config, schemas
 from tidewatch.functions import rules
-from tidewatch.operators import evaluate, hourly, joins, ml, privacy, quality, series, similarity, sketches, staging
+from tidewatch.operators import (
+    evaluate, hourly, joins, live, ml, privacy, quality, series, similarity, sketches, skew, staging,
+)
 from tidewatch.session import work_dir
 from tidewatch.sources import files, layers
 
@@ -193,11 +195,11 @@ def test_k_anonymity_edges(spark):
 
 def test_private_means(spark):
     df = spark.createDataFrame([("A", 1.0), ("A", None), ("A", 3.0), (None, 9.0)], "unittype string, creatinine double")
-    exact = privacy.dp_group_mean(df, epsilon=0).collect()
+    exact = privacy.dp_group_mean(df, epsilon=0, seed=1).collect()
     assert [(r["unittype"], r["patient_count"], r["dp_mean"]) for r in exact] == [("A", 3, 2.0)]
-    noisy = privacy.dp_noise_report(df, epsilon=0.5).first()
+    noisy = privacy.dp_noise_report(df, epsilon=0.5, seed=1).first()
     assert noisy["noise_added"] == pytest.approx(noisy["dp_mean"] - noisy["actual_mean"], abs=2e-6)
-    assert "actual_mean" not in privacy.dp_group_mean(df).columns
+    assert "actual_mean" not in privacy.dp_group_mean(df, seed=1).columns
 
 
 def test_bloom_has_no_false_negatives(spark):
@@ -235,10 +237,47 @@ def test_schema_coverage_and_columns(spark):
     assert staging.keep_existing(df, ["hadm_id", "nope"]).columns == ["hadm_id"]
 
 
-def test_empty_column_is_dropped_by_imputation(spark):
-    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
-    filled = ml.median_impute(df, ["a", "b"])
-    assert filled.columns == ["a"] and sorted(r["a"] for r in filled.collect()) == [1.0, 2.0, 3.0]
+def test_imputation_keeps_a_column_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None), (float("nan"), None)], "a double, b double")
+    filled = ml.median_impute(df, ml.fit_medians(df, ["a", "b"]))
+    assert sorted(r["a"] for r in filled.collect()) == [1.0, 2.0, 2.0, 3.0]
+    assert filled.columns == ["a", "b"] and filled.filter("b is not null").count() == 0
+
+
+def test_scoring_returns_every_row(spark, tmp_path):
+    rows = [(i, float(i % 7) if i % 3 else None, float(i % 5), None, float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, label double")
+    model = ml.fit_logistic(df, ["a", "b", "c"], "label")
+    ml.model_save(model, str(tmp_path / "model"))
+    scored = ml.score_batch(ml.model_load(str(tmp_path / "model")), df)
+    assert scored.columns == [*df.columns, "prob"]
+    assert scored.filter("prob between 0 and 1").count() == 60
+
+
+def test_quoted_fields(spark, tmp_path):
+    path = tmp_path / "quoted.csv"
+    path.write_text('a,b,c\n1,"say ""hi"", now",x\n2,"two\nlines",y\n')
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    got = [tuple(r)[:3] for r in files.raw_csv_load(spark, str(path), schema, multi_line=True).orderBy("a").collect()]
+    assert got == [("1", 'say "hi", now', "x"), ("2", "two\nlines", "y")]
+    typed = files.typed_csv_load(spark, str(path), schema, multi_line=True).orderBy("a").collect()
+    assert [tuple(r) for r in typed] == got
+
+
+def test_null_keys_are_one_series_over_blocks(spark):
+    rows = [(None, i, float(10 - i)) for i in range(10)] + [(1, i, float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "k long, t long, v double")
+    seen = skew.running(df, ["k"], ["t"], F.floor(F.col("t") / 5), {"m": ("max", "v")})
+    assert {r["m"] for r in seen.filter("k is null").collect()} == {10.0}
+
+
+def test_null_live_values(spark):
+    rows = [(1, "2024-01-01 00:00:00", "creatinine", None, 0), (1, "2024-01-01 01:00:00", "creatinine", 2.0, 1),
+            (2, "2024-01-01 00:00:00", "urine", None, 2), (2, "2024-01-01 01:00:00", "urine", float("nan"), 3)]
+    events = spark.createDataFrame(rows, "subject_id long, charttime string, event_type string, value double, arrival long")
+    state = live.live_state(events.withColumn("event_time", F.col("charttime").cast("timestamp_ntz")))
+    got = {r["arrival"]: (r["creatinine"], r["baseline"], r["cr_ratio"], r["uo_ml_kg_hr_6h"]) for r in state.collect()}
+    assert got == {0: (0.0, 0.0, None, None), 1: (2.0, 1.0, 2.0, None), 2: (None, None, None, 0.0), 3: (None, None, None, 0.0)}
 
 
 def test_cluster_needs_a_shared_folder(spark):

@@ -87,7 +87,7 @@ def test_late_events_count_in_their_window(spark):
     events.filter("arrival >= 100").coalesce(1).write.mode("append").parquet(path)
     events.filter("arrival < 100").coalesce(1).write.mode("append").parquet(path)
     stream = sources.with_event_time(sources.table_stream_source(spark, path, events.schema, max_files=1))
-    counted = sinks.drain_complete(operators.stream_sliding_counts(stream), "late-counts")
+    counted = sinks.drain_updates(operators.stream_sliding_counts(stream), ["window_start", "window_end"], "late-counts")
     batch = sketches.sliding_counts(sources.with_event_time(events), "event_time")
     assert rows(counted, "window_start", "events") == rows(batch, "window_start", "events")
 
@@ -111,6 +111,34 @@ def test_stream_sample_equals_batch_sample(spark):
     assert rows(sampled, "arrival") == rows(sketches.reservoir_sample(events, 20, "arrival"), "arrival")
 
 
+def test_stats_count_repeats_of_earlier_batches_once(spark):
+    events = some_events(spark, 40)
+    path = work_dir(spark, "stats")
+    for part in ("arrival < 20", "arrival between 10 and 29", "arrival >= 20"):
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = sources.table_stream_source(spark, f"{path}/in", events.schema, max_files=1)
+    sinks.stream_stats(stream, f"{path}/log", f"{path}/checkpoint", True).awaitTermination()
+
+    def totals():
+        log = spark.read.parquet(f"{path}/log").filter("metric_name like '%_events'")
+        return {r["metric_name"]: r["n"] for r in log.groupBy("metric_name").agg(F.sum("metric_value").alias("n")).collect()}
+
+    assert totals() == {"allowed_events": 40.0, "duplicate_events": 20.0}
+    newest = int(sinks.latest_version(spark, f"{path}/log", prefix="batch=").rsplit("=", 1)[1])
+    replayed = events.filter("arrival >= 20")
+    sinks.write_stats(replayed, newest, f"{path}/log", f"{path}/checkpoint-seen")
+    assert sum(totals().values()) == 60.0
+
+
+def test_state_takes_missing_values(spark):
+    events = some_events(spark, 60).withColumn("value", F.when(F.col("arrival") % 4 != 0, F.col("value")))
+    stream = sources.table_stream_source(spark, in_files(spark, events, 4), events.schema, max_files=1)
+    streamed = sinks.drain(state.stream_patient_state(stream), "nulls")
+    batch = live.scored(live.live_state(events.withColumn("event_time", F.col("charttime").cast("timestamp_ntz"))))
+    columns = ["arrival", "event_count", "kdigo_stage", "anomaly_score", "risk_band"]
+    assert rows(streamed, *columns) == rows(batch, *columns)
+
+
 def test_reference_rate_is_the_mean(spark):
     events = some_events(spark, 30).withColumn("event_time", F.col("charttime").cast("timestamp_ntz"))
     by_sum = settle(live.live_state(events), "s").filter("uo_ml_kg_hr_6h is not null")

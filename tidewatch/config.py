@@ -66,3 +66,6 @@ CALIBRATION_DECAY_LIMIT = 0.05
 # Fall-back distribution parameters (means, standard deviations).
 DISTRIBUTION_DEFAULTS = {"creat_mean": 1.0, "creat_std": 0.3, "urine_mean": 50.0, "urine_std": 20.0}
 GENERATOR_DEFAULTS = {"creat_mean": 1.2, "creat_std": 0.4, "urine_mean": 60.0, "urine_std": 25.0}
+
+# What the cross-site report calls its two sites.
+SITE_NAMES = ("Hospital A (Source)", "Hospital B (Target)")

@@ -85,8 +85,3 @@ def age_band(age="age", edges=config.AGE_EDGES, labels=config.AGE_LABELS) -> Col
 
 def stage_label(stage="rolling_max_kdigo", dtype: str = "int") -> Column:
     return F.when(_col(stage) >= 3, 1).otherwise(0).cast(dtype)
-
-
-def normalized_value(value="value", unit="valueuom", factor="factor") -> Column:
-    """A value in the target unit: times the unit's factor where one is known."""
-    return _col(value) * F.coalesce(_col(factor), F.when(_col(unit).isNotNull(), F.lit(1.0)))

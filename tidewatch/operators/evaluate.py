@@ -7,7 +7,7 @@ scores. Every metric takes `by`, the grouping columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -194,20 +194,22 @@ def subgroup_calibration(df: DataFrame, group: str, label: str, prob: str) -> Da
 
 
 def cross_site_report(
-    df: DataFrame, site: str, source: str, target: str, label: str, prob: str
+    df: DataFrame, site: str, source: str, target: str, label: str, prob: str, names: Sequence[str] = config.SITE_NAMES
 ) -> DataFrame:
-    """All metrics of two sites."""
-    names = F.when(F.col(site) == source, "Hospital A (Source)").otherwise("Hospital B (Target)")
-    two = df.filter(F.col(site).isin(source, target)).withColumn("site", names)
+    """All metrics of two sites, called by `names`."""
+    named = F.when(F.col(site) == source, names[0]).otherwise(names[1])
+    two = df.filter(F.col(site).isin(source, target)).withColumn("site", named)
     return all_metrics(two, label, prob, ["site"])
 
 
-def calibration_decay(report: DataFrame, limit: float = config.CALIBRATION_DECAY_LIMIT) -> DataFrame:
+def calibration_decay(
+    report: DataFrame, limit: float = config.CALIBRATION_DECAY_LIMIT, names: Sequence[str] = config.SITE_NAMES
+) -> DataFrame:
     """How much worse calibrated the target is than the source, and whether that is too much."""
     def one(site: str) -> Column:
         return F.max(F.when(F.col("site") == site, F.col("ece")))
 
-    gap = report.agg((one("Hospital B (Target)") - one("Hospital A (Source)")).alias("gap"))
+    gap = report.agg((one(names[1]) - one(names[0])).alias("gap"))
     return gap.select(
         F.round("gap", 6).alias("ece_difference"), (F.col("gap") > limit).alias("warning")
     )
@@ -250,6 +252,16 @@ def feature_histogram(df: DataFrame, value: str, low: float, high: float, bins:
     )
 
 
+def feature_histograms(df: DataFrame, bounds: Mapping[str, tuple[float, float]], bins: int) -> DataFrame:
+    """The histograms of several features in one pass."""
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.when(F.col(c).isNotNull(), bucket_of(c, low, high, bins)).alias("bucket"))
+        for c, (low, high) in bounds.items()
+    ]
+    counted = df.select(F.inline(F.array(*cells))).filter(F.col("bucket").isNotNull())
+    return counted.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
 def distribution_compare(
     first: DataFrame, second: DataFrame, value: str, low: float, high: float, bins: int
 ) -> DataFrame:
@@ -284,7 +296,7 @@ def distribution_compare(
 
 
 def dataset_fingerprint(df: DataFrame, integers: Sequence[str], doubles: Sequence[str] = ()) -> DataFrame:
-    """An order-free content hash: row count and the sum of the rows' hashes.
+    """An order-free content hash: row count, and the sums of both halves of the rows' 52-bit hashes.
 
     Doubles enter as millionths, since engines print them differently.
     """
@@ -292,9 +304,8 @@ def dataset_fingerprint(df: DataFrame, integers: Sequence[str], doubles: Sequenc
         F.coalesce(F.round(F.col(c) * 1000000).cast("bigint").cast("string"), F.lit("~")) for c in doubles
     ]
     row_hash = hash52(F.concat_ws("|", *parts))
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(row_hash % 1000003), F.lit(0)).cast("bigint").alias("hash_sum"),
-    ).withColumn(
-        "version", F.substring(F.md5(F.concat_ws("|", F.col("row_count").cast("string"), F.col("hash_sum").cast("string"))), 1, 8)
+    high, low = F.floor(row_hash / F.lit(1 << 26)), row_hash % F.lit(1 << 26)
+    total = F.concat_ws(".", *[F.coalesce(F.sum(half), F.lit(0)).cast("string") for half in (high, low)])
+    return df.agg(F.count(F.lit(1)).alias("row_count"), total.alias("hash_sum")).withColumn(
+        "version", F.substring(F.md5(F.concat_ws("|", F.col("row_count").cast("string"), "hash_sum")), 1, 8)
     )

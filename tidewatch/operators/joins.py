@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.skew import DEFAULT_SALTS, salted_join
+from tidewatch.sources.layers import settle
 
 
 def interval_join(
@@ -90,7 +91,11 @@ def qualifying_groups(df: DataFrame, group: Sequence[str], at_least: int) -> Dat
 
 
 def group_semi_join(df: DataFrame, group: Sequence[str], at_least: int) -> DataFrame:
-    """Rows whose group qualifies. Sizes are counted before any row moves."""
+    """Rows whose group qualifies. Sizes are counted before any row moves.
+
+    The rows are read twice, so they are written first.
+    """
+    df = settle(df, "group-rows")
     groups = qualifying_groups(df, group, at_least).select(*group)
     return salted_join(df, groups, list(group), how="left_semi")
 

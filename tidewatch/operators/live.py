@@ -24,14 +24,14 @@ VECTOR_TAIL = (65.0, 1.0, 0.0)
 
 
 def _last(history: Column, back: int = 1) -> Column:
-    return F.element_at(history, -back)
+    return F.try_element_at(history, F.lit(-back))
 
 
 def _median_first(history: Column) -> Column:
     first = F.array_sort(F.slice(history, 1, BASELINE_READINGS))
     size = F.size(first)
-    return F.when(size == 2, (F.element_at(first, 1) + F.element_at(first, 2)) / 2.0).otherwise(
-        F.element_at(first, F.when(size == 3, 2).otherwise(1))
+    return F.when(size == 2, (F.get(first, F.lit(0)) + F.get(first, F.lit(1))) / 2.0).otherwise(
+        F.get(first, F.when(size == 3, 1).otherwise(0))
     )
 
 
@@ -43,6 +43,12 @@ def _urine_rate(history: Column, hours: int, weight: float, rate: str) -> Column
     return round_half_up(total / F.lit(weight * hours), 3)
 
 
+def known_values(events: DataFrame) -> DataFrame:
+    """A reading without a value counts as 0.0, in batch and stream alike."""
+    value = F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
+    return events.withColumn("value", F.coalesce(value, F.lit(0.0)))
+
+
 def measure_states(events: DataFrame, rate: str, weight: float, size: int) -> DataFrame:
     """Each event with the state of its own measure just after it, from the last 20 values."""
     measured = events.withColumn(
@@ -90,7 +96,8 @@ def live_state(
     """
     if rate not in ("sum", "reference"):
         raise ValueError("rate is sum or reference")
-    states = settle(measure_states(settle(events, "live-events"), rate, weight, size), "live-states")
+    events = settle(known_values(events), "live-events")
+    states = settle(measure_states(events, rate, weight, size), "live-states")
     carried = skew.running(
         states,
         ["subject_id"],

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch import config
 from tidewatch.functions.hashing import hash52, unit_uniform
-from tidewatch.operators.skew import running, salted_join, value_blocks
+from tidewatch.operators.skew import BLOCK_ROWS, running, salted_join, value_blocks
 from tidewatch.sources.layers import settle
 
+IMPUTED = "_imputed_"
+
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, median) for every column, exact.
@@ -47,14 +48,30 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls replaced by the column's median; a column without any value is dropped.
+def median_imputer(medians: Mapping[str, float | None]) -> SQLTransformer:
+    """A pipeline stage that adds `IMPUTED` + column for each column: the value, or the given median.
 
-    The medians are one number per feature; they go into the plan as literals.
+    NaN counts as missing. The medians are literals of the stage, one number per feature, and are
+    saved with it. A column whose median is None stays as it is.
     """
-    medians = {r["feature"]: r["median"] for r in exact_medians(df, columns).collect()}
-    empty = [c for c in columns if c not in medians]
-    return df.drop(*empty).fillna(medians)
+    known = {c: "CAST(NULL AS DOUBLE)" if m is None else f"CAST({m!r} AS DOUBLE)" for c, m in medians.items()}
+    filled = [
+        f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {value}) AS `{IMPUTED}{c}`"
+        for c, value in known.items()
+    ]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
+
+
+def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact medians of the training rows, None for a column without values."""
+    found = {r["feature"]: r["median"] for r in exact_medians(train, columns).collect()}
+    return {c: found.get(c) for c in columns}
+
+
+def median_impute(df: DataFrame, medians: Mapping[str, float | None]) -> DataFrame:
+    """Nulls replaced by the fitted medians, in place; no row is dropped."""
+    imputed = median_imputer(medians).transform(df)
+    return imputed.select(*[F.col(IMPUTED + c).alias(c) if c in medians else F.col(c) for c in df.columns])
 
 
 def stratified_split(
@@ -67,7 +84,9 @@ def stratified_split(
     priced = settle(
         df.withColumn("_h", hash52(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))), "split"
     )
-    block = F.floor(F.col("_h") / F.lit(1 << 42))
+    # Hashes are even, so equal ranges of them hold about BLOCK_ROWS rows each.
+    blocks = max(1, -(-priced.count() // BLOCK_ROWS))
+    block = F.floor(F.col("_h") / F.lit(-(-(1 << 52) // blocks)))
     ranked = running(priced, [label], ["_h", key], block, {"_rank": ("count", F.lit(1))})
     sizes = priced.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     return salted_join(ranked, sizes, [label]).withColumn(
@@ -81,49 +100,54 @@ def random_split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 4
     return df.withColumn("is_test", draw < test_share)
 
 
-def assemble_scale(columns: Sequence[str], skip_nulls: bool = True) -> list:
-    """Pipeline stages: a vector with zero mean and unit deviation; rows with nulls skipped."""
+def assemble_scale(columns: Sequence[str]) -> list:
+    """Pipeline stages: a vector with zero mean and unit deviation. A null is an error, not a lost row."""
     return [
-        VectorAssembler(
-            inputCols=list(columns), outputCol="raw_features", handleInvalid="skip" if skip_nulls else "error"
-        ),
+        VectorAssembler(inputCols=list(columns), outputCol="raw_features", handleInvalid="error"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
     ]
 
 
-def logistic_pipeline(columns: Sequence[str], label: str, max_iter: int = 10) -> Pipeline:
-    return Pipeline(
-        stages=[*assemble_scale(columns), LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)]
-    )
+def prepared(train: DataFrame, columns: Sequence[str]) -> list:
+    """Stages from raw rows to scaled vectors: medians of the training rows first.
+
+    A column without any training value is no feature.
+    """
+    medians = {c: m for c, m in fit_medians(train, columns).items() if m is not None}
+    if not medians:
+        raise ValueError("no feature has a value among the training rows")
+    return [median_imputer(medians), *assemble_scale([IMPUTED + c for c in medians])]
+
+
+def fit_logistic(train: DataFrame, columns: Sequence[str], label: str, max_iter: int = 10) -> PipelineModel:
+    """Imputer, scaler and logistic regression fitted on the training rows."""
+    last = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
+    return Pipeline(stages=[*prepared(train, columns), last]).fit(train)
 
 
-def gbt_pipeline(
-    columns: Sequence[str], label: str, max_iter: int = 10, max_depth: int = 5, step: float = 0.1, seed: int = 42
-) -> Pipeline:
-    return Pipeline(
-        stages=[
-            *assemble_scale(columns),
-            GBTClassifier(
-                featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed
-            ),
-        ]
+def fit_gbt(
+    train: DataFrame, columns: Sequence[str], label: str, max_iter: int = 10, max_depth: int = 5, step: float = 0.1,
+    seed: int = 42,
+) -> PipelineModel:
+    """Imputer, scaler and boosted trees fitted on the training rows."""
+    last = GBTClassifier(
+        featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed
     )
+    return Pipeline(stages=[*prepared(train, columns), last]).fit(train)
 
 
 def train_pipelines(train: DataFrame, columns: Sequence[str], label: str) -> dict[str, PipelineModel]:
     """Both models on the same rows."""
     return {
-        "LogisticRegression": logistic_pipeline(columns, label).fit(train),
-        "GBTClassifier": gbt_pipeline(columns, label).fit(train),
+        "LogisticRegression": fit_logistic(train, columns, label),
+        "GBTClassifier": fit_gbt(train, columns, label),
     }
 
 
 def score_batch(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Rows with `prob`, the probability of the positive class. Works on a stream as well."""
+    """Every row, nulls or not, with `prob`, the probability of the positive class. Works on a stream as well."""
     scored = model.transform(df)
-    return scored.withColumn("prob", vector_to_array("probability")[1]).drop(
-        "raw_features", "features", "rawPrediction", "probability", "prediction"
-    )
+    return scored.select(*df.columns, vector_to_array("probability")[1].alias("prob"))
 
 
 def model_metrics_table(models: dict[str, PipelineModel], test: DataFrame, label: str) -> DataFrame:
@@ -169,7 +193,3 @@ def run_list(spark: SparkSession, path: str) -> DataFrame:
     return runs.select(
         "run_id", "model_name", "timestamp", "lineage", "parameters", auroc.alias("auroc"), (auroc == best).alias("is_best")
     ).orderBy(F.col("timestamp").desc(), "run_id")
-
-
-def training_features(df: DataFrame, features: Sequence[str] = config.FEATURES) -> list[str]:
-    return [c for c in features if c in df.columns]

@@ -12,6 +12,7 @@ from tidewatch.functions import rules
 from tidewatch.functions.hashing import unit_uniform
 from tidewatch.operators.joins import group_semi_join
 from tidewatch.operators.skew import salted_join
+from tidewatch.sources.layers import settle
 
 QUASI_IDENTIFIERS = ("age_group", "gender", "unittype")
 
@@ -30,7 +31,8 @@ def group_sizes(df: DataFrame, group: Sequence[str] = QUASI_IDENTIFIERS) -> Data
 
 
 def group_size_tag(df: DataFrame, group: Sequence[str] = QUASI_IDENTIFIERS) -> DataFrame:
-    """Every row with the size of its group, as a number and as a "k=n" tag."""
+    """Every row with the size of its group, as a number and as a "k=n" tag. The rows are written first."""
+    df = settle(df, "tagged-rows")
     sizes = group_sizes(df.dropna(subset=list(group)), group)
     tagged = salted_join(df, sizes, list(group), how="left")
     size = F.coalesce("group_size", F.lit(0)).cast("bigint")
@@ -60,7 +62,7 @@ def suppression_report(df: DataFrame, k: int = 5, group: Sequence[str] = QUASI_I
     )
 
 
-def laplace_noise(group: Column, scale: Column, seed: int) -> Column:
+def laplace_noise(group: Column, scale: Column, seed: int | str) -> Column:
     """Laplace noise by inverse CDF from a uniform that depends on the group and the seed."""
     u = unit_uniform(F.concat(group.cast("string"), F.lit(f"#{seed}"))) - 0.5
     return -scale * F.signum(u) * F.log(1 - 2 * F.abs(u))
@@ -71,15 +73,17 @@ def dp_group_mean(
     group: str = "unittype",
     value: str = "creatinine",
     epsilon: float = 1.0,
-    seed: int = 42,
+    *,
+    seed: int | str,
     bounds: tuple[float, float] = config.DP_RANGE,
-    clip: bool = False,
+    clip: bool = True,
     audit: bool = False,
 ) -> DataFrame:
     """Rows and private mean per group; with `audit`, the true mean and the noise beside it.
 
     A null value counts as a row but not in the mean; a null group is left out; epsilon 0
-    adds no noise. `clip` bounds each value first, which the sensitivity assumes.
+    adds no noise. `clip` bounds each value first, which the sensitivity assumes. The noise follows
+    from `seed`: draw it afresh for every release and keep it secret, or the noise can be taken off.
     """
     low, high = bounds
     x = F.col(value)

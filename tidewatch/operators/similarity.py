@@ -7,6 +7,7 @@ and each task keeps its k best per query before anything is shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -30,6 +31,11 @@ def projections(n_tables: int, n_bits: int, dims: int, seed: int = SEED) -> list
     return [rng.randn(n_bits, dims) for _ in range(n_tables)]
 
 
+def bits_for(rows: int, per_bucket: int = 256) -> int:
+    """Bits that leave about `per_bucket` rows in a bucket of an index of so many rows."""
+    return max(1, math.ceil(math.log2(max(2, rows / per_bucket))))
+
+
 class Moments(NamedTuple):
     """Two numbers per feature; small enough to be literals in every plan that uses them."""
 
@@ -160,14 +166,16 @@ def lsh_search(
 
 def lsh_similar(
     queries: DataFrame, history: DataFrame, key: str, features: Sequence[str] = config.FEATURES,
-    k: int = 5, n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS, seed: int = SEED,
+    k: int = 5, n_tables: int = DEFAULT_TABLES, n_bits: int | None = None, seed: int = SEED,
     salts: int = 8, query_key: str = "query_id",
 ) -> DataFrame:
     """Index and search in one plan, for a few queries that are rows of `history` or like them.
 
-    A query that is also a history row finds itself at distance 0.
+    Without `n_bits` the buckets follow the number of rows, so that a query's candidates stay about
+    as many however long the history is. A query that is also a history row finds itself at distance 0.
     """
     moments = feature_moments(history, features)
+    n_bits = bits_for(history.count()) if n_bits is None else n_bits
     index = lsh_index(history, key, moments, features, n_tables, n_bits, seed)
     asked = queries.select(F.col(key).alias(query_key), *features)
     return lsh_search(asked, index, moments, key, features, k, n_tables, n_bits, seed, salts, query_key)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.hashing import hash32, hash52
-from tidewatch.operators.skew import salted_join
 
 EVENT_KEY = ("subject_id", "charttime", "event_type", "value")
 
@@ -68,7 +68,8 @@ def trailing_event_count(
         .filter(F.col("_part") == F.col("_home"))
         .select(*key, time, out)
     )
-    return salted_join(df, counts, [*key, time])
+    # There are about as many counts as events; seconds spread them already.
+    return df.join(counts, [*key, time])
 
 
 def trailing_zeros(value: Column) -> Column:
@@ -122,7 +123,18 @@ WORD_BITS = 62
 
 
 def _positions(key: Column, bits: int, hashes: int) -> Column:
-    return F.array(*[hash32(F.concat(F.lit(f"{i}:"), key)) % bits for i in range(hashes)])
+    return F.array(*[hash52(F.concat(F.lit(f"{i}:"), key)) % F.lit(bits).cast("bigint") for i in range(hashes)])
+
+
+def bloom_shape(error_rate: float) -> tuple[int, int]:
+    """Bits per key and number of hashes for a wanted rate of wrong answers."""
+    per_key = math.ceil(-math.log(error_rate) / math.log(2) ** 2)
+    return per_key, max(1, round(per_key * math.log(2)))
+
+
+def bloom_bits(keys: int, error_rate: float) -> int:
+    """Size of a filter for so many distinct keys."""
+    return max(1, keys) * bloom_shape(error_rate)[0]
 
 
 def bloom_build(keys: DataFrame, key: str, bits: int, hashes: int) -> DataFrame:

@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewatch.functions.hashing import salt
+from tidewatch.sources.layers import settle
 
 DEFAULT_SALTS = 8
 CHUNK_ROWS = 65536
+BLOCK_ROWS = 1_000_000
 
 POSITION = "_position"
 CHUNK = "_chunk"
@@ -105,7 +107,7 @@ def running(
     rows of equal order together. `ties=True` lets rows of equal order share the value (a RANGE
     frame), otherwise a ROWS frame is used. The second level holds one row per (key, block).
     `df` is read twice, so give it a table (see `sources.layers.settle`), not a long plan.
-    Keys are expected to be present: rows with a null key are not one series.
+    Rows with the same null key are one series, like those of any other key.
     """
     values = {out: (fn, F.col(c) if isinstance(c, str) else c) for out, (fn, c) in columns.items()}
     df = df.withColumn("_block", block)
@@ -126,7 +128,11 @@ def running(
         "_block",
         *[_carry(fn, f"_tot_{o}", before).alias(f"_pre_{o}") for o, (fn, _) in values.items()],
     )
-    joined = inside.join(carried, [*key, "_block"], "left")
+    names = {name: f"_carried_{i}" for i, name in enumerate([*key, "_block"])}
+    same = F.lit(True)
+    for name, renamed in names.items():
+        same = same & F.col(name).eqNullSafe(F.col(renamed))
+    joined = inside.join(carried.withColumnsRenamed(names), same, "left")
     result = joined.withColumns(
         {o: _combine(fn, f"_in_{o}", f"_pre_{o}") for o, (fn, _) in values.items()}
     )
@@ -176,13 +182,11 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(HALO, CHUNK, POSITION)
 
 
-def value_blocks(df: DataFrame, column: str, out: str = "_part", parts: int = 200) -> DataFrame:
-    """Adds a block number that grows with `column` and cuts its rows into near-equal parts.
+def value_blocks(df: DataFrame, column: str, out: str = "_part", rows: int = BLOCK_ROWS) -> DataFrame:
+    """Adds a block number that grows with `column`; a block holds about `rows` rows, equal values together.
 
-    The cut points are approximate quantiles, at most `parts` numbers, computed in the same
-    plan; they only balance the work, so their error does not touch any result.
+    Blocks are range partitions, so their number follows the data. The result is written, which
+    fixes the partition that each row was in.
     """
-    at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    cuts = df.agg(F.percentile_approx(column, at, F.lit(10000)).alias("cuts")).scalar()
-    below = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(column)))
-    return df.withColumn("_cuts", cuts).withColumn(out, below).drop("_cuts")
+    n = max(1, -(-df.count() // rows))
+    return settle(df.repartitionByRange(n, column).withColumn(out, F.spark_partition_id()), "value-blocks")

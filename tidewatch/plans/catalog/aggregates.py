@@ -138,8 +138,11 @@ def _(spark, sf):
     )
 
 
-def _pairs(fn: str, out: str, diagonal: bool) -> str:
-    names = list(config.FEATURES)
+CORRELATED = [*config.FEATURES, config.TARGET]
+
+
+def _pairs(fn: str, out: str, diagonal: bool, names=config.FEATURES) -> str:
+    names = list(names)
     cells = [(x, y) for i, x in enumerate(names) for y in names[i + 1 :]]
     cells += [(x, x) for x in names] if diagonal else []
     return " UNION ALL ".join(
@@ -147,9 +150,9 @@ def _pairs(fn: str, out: str, diagonal: bool) -> str:
     )
 
 
-@query("correlation_matrix", _pairs("corr", "corr", False))
+@query("correlation_matrix", _pairs("corr", "corr", False, CORRELATED))
 def _(spark, sf):
-    return evaluate.correlation_matrix(b.training_set(spark, sf), config.FEATURES)
+    return evaluate.correlation_matrix(b.training_set(spark, sf), CORRELATED)
 
 
 @query("covariance_matrix", _pairs("covar_samp", "cov", True))
@@ -162,19 +165,25 @@ def _bucket(x: str, low: float, high: float, bins: int) -> str:
       ELSE (floor(({x} - {low}::DOUBLE) * {float(bins)}::DOUBLE / {high - low}::DOUBLE) + 1)::INTEGER END"""
 
 
+# Bounds of the features' histograms, low and high; what lies outside has buckets of its own.
+BOUNDS = {
+    "creatinine": (0.0, 20.0), "baseline_creatinine": (0.0, 20.0), "creatinine_ratio": (0.0, 10.0),
+    "creatinine_delta_1h": (-10.0, 10.0), "creatinine_delta_48h": (-10.0, 10.0), "urine_output_ml": (0.0, 1000.0),
+    "urine_ml_per_kg_hr_6h": (0.0, 5.0), "urine_ml_per_kg_hr_12h": (0.0, 5.0), "urine_ml_per_kg_hr_24h": (0.0, 5.0),
+}
+HISTOGRAMS = [(c, *BOUNDS[c]) for c in config.FEATURES]
+
+
 @query(
     "feature_histogram",
     " UNION ALL ".join(
         f"SELECT '{x}' AS feature, {_bucket(x, lo, hi, 20)} AS bucket, count(*) AS n "
         f"FROM v_training_set WHERE {x} IS NOT NULL GROUP BY 2"
-        for x, lo, hi in [("creatinine", 0.0, 20.0), ("urine_output_ml", 0.0, 1000.0)]
+        for x, lo, hi in HISTOGRAMS
     ),
 )
 def _(spark, sf):
-    rows = b.training_set(spark, sf)
-    return evaluate.feature_histogram(rows, "creatinine", 0.0, 20.0, 20).unionByName(
-        evaluate.feature_histogram(rows, "urine_output_ml", 0.0, 1000.0, 20)
-    )
+    return evaluate.feature_histograms(b.training_set(spark, sf), {x: (lo, hi) for x, lo, hi in HISTOGRAMS}, 20)
 
 
 @query(
@@ -186,7 +195,7 @@ def _(spark, sf):
              FROM (SELECT {_bucket("v", 0.0, 10.0, 25)} AS bucket, count(*) FILTER (WHERE src = 1) AS n_first,
                           count(*) FILTER (WHERE src = 2) AS n_second
                    FROM (SELECT creatinine AS v, 1 AS src FROM v_training_set WHERE creatinine IS NOT NULL
-                         UNION ALL SELECT value, 2 FROM fx_live WHERE event_type = 'creatinine')
+                         UNION ALL SELECT value, 2 FROM fx_live WHERE event_type = 'creatinine' AND value IS NOT NULL)
                    GROUP BY 1))""",
 )
 def _(spark, sf):
@@ -207,12 +216,18 @@ def _text(columns, doubles):
     return "concat_ws('|', " + ", ".join(parts) + ")"
 
 
+def fingerprint(integers, source):
+    """Row count and both halves of the row hashes, summed."""
+    text = _text(integers, config.FEATURES)
+    return f"""
+SELECT count(*) AS row_count, coalesce(sum(h >> 26), 0)::BIGINT || '.' || coalesce(sum(h & 67108863), 0)::BIGINT AS hash_sum
+FROM (SELECT ('0x' || substr(md5({text}), 1, 13))::BIGINT AS h FROM {source})"""
+
+
 @query(
     "dataset_fingerprint",
     f"""SELECT row_count, hash_sum, substr(md5(row_count || '|' || hash_sum), 1, 8) AS version
-        FROM (SELECT count(*) AS row_count,
-                     sum(('0x' || substr(md5({_text(["patientunitstayid", "kdigo_stage", config.TARGET], config.FEATURES)}), 1, 13))::BIGINT
-                         % 1000003)::BIGINT AS hash_sum FROM v_training_set)""",
+        FROM ({fingerprint(["patientunitstayid", "kdigo_stage", config.TARGET], "v_training_set")})""",
 )
 def _(spark, sf):
     return evaluate.dataset_fingerprint(

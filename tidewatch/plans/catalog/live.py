@@ -9,7 +9,7 @@ from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures
 from tidewatch.plans import live as live_plan
 from tidewatch.plans.catalog import quality, windows  # noqa: F401
-from tidewatch.plans.oracle import VIEWS, hash32
+from tidewatch.plans.oracle import VIEWS
 from tidewatch.plans.registry import query
 
 
@@ -28,7 +28,8 @@ def _rate(hours: int, reference: bool) -> str:
 VIEWS["v_history"] = """
 SELECT *, list(value) OVER (PARTITION BY subject_id, measure ORDER BY event_time, arrival
                             ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS h
-FROM (SELECT *, CASE WHEN event_type = 'creatinine' THEN 'creatinine'
+FROM (SELECT * REPLACE (coalesce(value, 0.0) AS value),
+             CASE WHEN event_type = 'creatinine' THEN 'creatinine'
                      WHEN event_type IN ('urine', 'urine_output') THEN 'urine' ELSE 'other' END AS measure
       FROM v_unique)"""
 VIEWS["v_history_state"] = f"""
@@ -178,11 +179,14 @@ def _(spark, sf):
     return sketches.sliding_counts(b.live(spark, sf), "event_time")
 
 
-BITS, HASHES = 65536, 3
+ERROR_RATE = 0.01
+PER_KEY, HASHES = sketches.bloom_shape(ERROR_RATE)
+_bits = f"(SELECT greatest(1, count(*)) * {PER_KEY} FROM v_seen_keys)"
 _spots = " UNION ALL ".join(
-    f"SELECT key, {hash32(repr(str(i) + ':') + ' || key')} % {BITS} AS p FROM {{0}}" for i in range(HASHES)
+    f"SELECT key, ('0x' || substr(md5({repr(str(i) + ':')} || key), 1, 13))::BIGINT % {_bits} AS p FROM {{0}}"
+    for i in range(HASHES)
 )
-_key = "concat_ws('|', subject_id::VARCHAR, charttime, event_type, round(value * 1000)::BIGINT::VARCHAR)"
+_key = "concat_ws('|', subject_id::VARCHAR, charttime, event_type, coalesce(round(value * 1000)::BIGINT::VARCHAR, '~'))"
 VIEWS["v_seen_keys"] = f"SELECT DISTINCT {_key} AS key FROM fx_live WHERE event_type = 'creatinine'"
 VIEWS["v_probe_keys"] = f"SELECT DISTINCT {_key} AS key FROM fx_live"
 
@@ -195,8 +199,9 @@ FROM ({_spots.format("v_probe_keys")}) GROUP BY key"""
 @query("bloom_membership", "SELECT * FROM v_answers")
 def _(spark, sf):
     keyed = fixtures.live_events(spark, sf).select("event_type", sketches.event_key().alias("key"))
-    bloom = sketches.bloom_build(keyed.filter(F.col("event_type") == "creatinine"), "key", BITS, HASHES)
-    return sketches.bloom_membership(keyed, bloom, "key", BITS, HASHES)
+    seen = keyed.filter(F.col("event_type") == "creatinine").select("key").distinct()
+    bits = sketches.bloom_bits(seen.count(), ERROR_RATE)
+    return sketches.bloom_membership(keyed, sketches.bloom_build(seen, "key", bits, HASHES), "key", bits, HASHES)
 
 
 @query(
@@ -207,7 +212,8 @@ def _(spark, sf):
 def _(spark, sf):
     keyed = fixtures.live_events(spark, sf).select("event_type", sketches.event_key().alias("key"))
     seen = keyed.filter(F.col("event_type") == "creatinine").select("key").distinct()
-    answers = sketches.bloom_membership(keyed, sketches.bloom_build(seen, "key", BITS, HASHES), "key", BITS, HASHES)
+    bits = sketches.bloom_bits(seen.count(), ERROR_RATE)
+    answers = sketches.bloom_membership(keyed, sketches.bloom_build(seen, "key", bits, HASHES), "key", bits, HASHES)
     judged = answers.join(seen.withColumn("truth", F.lit(True)), "key", "left")
     truth = F.coalesce("truth", F.lit(False))
     return judged.agg(

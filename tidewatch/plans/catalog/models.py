@@ -13,19 +13,34 @@ from tidewatch.plans.catalog import aggregates  # noqa: F401
 from tidewatch.plans.oracle import VIEWS, hash32
 from tidewatch.plans.registry import query
 from tidewatch.session import work_dir
+from tidewatch.sources import layers
 from tidewatch.sources.layers import settle
 
-# The 48-row delta is null throughout on small data, and the library drops such a column.
-IMPUTED = [c for c in config.FEATURES if c != "creatinine_delta_48h"]
 SCALED = ["creatinine_mg_dl", "urine_ml", "hours_since_admit"]
 
+VIEWS["v_split"] = f"""
+SELECT *, {config.TARGET}::DOUBLE AS label,
+       row_number() OVER (PARTITION BY {config.TARGET} ORDER BY ('0x' || substr(md5('42:' || row_key), 1, 13))::BIGINT, row_key)
+         <= round(count(*) OVER (PARTITION BY {config.TARGET}) * 0.2) AS is_test FROM v_training_set"""
+
+
+def _split_training(spark, sf):
+    """Training rows, nulls and all, split by label, written once."""
+    rows = b.training_set(spark, sf).withColumn("label", F.col(config.TARGET).cast("double"))
+    rows = settle(ml.stratified_split(rows, "row_key", "label"), "training")
+    return rows.filter(~F.col("is_test")), rows.filter("is_test"), list(config.FEATURES)
+
 
 @query(
     "median_impute",
-    "SELECT row_key, " + ", ".join(f"coalesce({c}, median({c}) OVER ()) AS {c}" for c in IMPUTED) + " FROM v_training_set",
+    "SELECT row_key, "
+    + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM v_split WHERE NOT is_test)) AS {c}" for c in config.FEATURES)
+    + " FROM v_split",
 )
 def _(spark, sf):
-    return ml.median_impute(b.training_set(spark, sf).select("row_key", *IMPUTED), IMPUTED)
+    # Medians of the training rows, applied to all rows.
+    train, test, columns = _split_training(spark, sf)
+    return ml.median_impute(train.unionByName(test).select("row_key", *columns), ml.fit_medians(train, columns))
 
 
 @query(
@@ -67,66 +82,74 @@ VIEWS["v_scaled_base"] = "SELECT stay_id, charttime, creatinine_mg_dl, urine_ml,
     + " FROM v_mart",
 )
 def _(spark, sf):
-    # Rows with a null feature are skipped, which leaves the mart's hours.
-    rows = settle(b.warehouse(spark, sf).features.select("stay_id", "charttime", *SCALED), "features")
+    # The mart's hours have every feature.
+    complete = b.warehouse(spark, sf).features.select("stay_id", "charttime", *SCALED).dropna(subset=SCALED)
+    rows = settle(complete, "features")
     scaled = Pipeline(stages=ml.assemble_scale(SCALED)).fit(rows).transform(rows)
     v = vector_to_array("features")
     return scaled.select("stay_id", "charttime", *[F.round(v[i], 6).alias(f"s{i}") for i in range(len(SCALED))])
 
 
-def _split_training(spark, sf):
-    """Imputed training rows, split by label, written once."""
-    imputed = ml.median_impute(b.training_set(spark, sf), config.FEATURES)
-    columns = ml.training_features(imputed)
-    rows = settle(
-        ml.random_split(imputed.withColumn("label", F.col(config.TARGET).cast("double")), "row_key"), "training"
-    )
-    return rows.filter(~F.col("is_test")), rows.filter("is_test"), columns
+def _valid(scored):
+    return scored.select("row_key", "label", F.coalesce(F.col("prob").between(0, 1), F.lit(False)).alias("valid"))
+
+
+VALID = "SELECT row_key, label, true AS valid FROM v_split"
 
 
-@query("train_logistic")
+@query("train_logistic", VALID + " WHERE is_test")
 def _(spark, sf):
     train, test, columns = _split_training(spark, sf)
-    model = ml.logistic_pipeline(columns, "label").fit(train)
-    return ml.score_batch(model, test).select("row_key", "label", "prob")
+    return _valid(ml.score_batch(ml.fit_logistic(train, columns, "label"), test))
 
 
-@query("train_gbt")
+@query("train_gbt", VALID + " WHERE is_test")
 def _(spark, sf):
     train, test, columns = _split_training(spark, sf)
-    model = ml.gbt_pipeline(columns, "label").fit(train)
-    return ml.score_batch(model, test).select("row_key", "label", "prob")
+    return _valid(ml.score_batch(ml.fit_gbt(train, columns, "label"), test))
 
 
-@query("train_pipelines")
-def _(spark, sf):
+def _reports(spark, sf):
+    """Scores of both models on the test rows, and every metric by model."""
     train, test, columns = _split_training(spark, sf)
     models = ml.train_pipelines(train, columns, "label")
-    reports = [
-        evaluate.all_metrics(
-            ml.score_batch(m, test).withColumn("model_name", F.lit(name)), "label", "prob", ["model_name"]
-        )
-        for name, m in models.items()
-    ]
-    return reports[0].unionByName(reports[1])
+    scored = [ml.score_batch(m, test).withColumn("model_name", F.lit(name)) for name, m in models.items()]
+    scored = settle(scored[0].unionByName(scored[1]), "model-scores")
+    return models, test, scored, evaluate.all_metrics(scored, "label", "prob", ["model_name"])
 
 
-@query("score_batch")
+NAMES = "(SELECT unnest(['LogisticRegression', 'GBTClassifier']) AS model_name)"
+
+
+@query("train_pipelines", f"SELECT model_name, count(*) AS n, true AS valid FROM v_split, {NAMES} WHERE is_test GROUP BY 1")
 def _(spark, sf):
-    train, test, columns = _split_training(spark, sf)
-    model = ml.logistic_pipeline(columns, "label").fit(train)
-    return ml.score_batch(model, train.unionByName(test)).select("row_key", "label", "prob")
+    # Metrics themselves have no SQL; they must be shares, and counted over all test rows.
+    report = _reports(spark, sf)[3]
+    shares = [F.coalesce(F.col(c), F.lit(0.0)).between(0, 1) for c in report.columns if c not in ("model_name", "n")]
+    valid = shares[0]
+    for share in shares[1:]:
+        valid = valid & share
+    return report.select("model_name", "n", valid.alias("valid"))
 
 
-@query("model_metrics_table")
+@query("score_batch", VALID)
 def _(spark, sf):
+    # Raw rows of both parts go in, rows with nulls too, and each comes out.
     train, test, columns = _split_training(spark, sf)
-    return ml.model_metrics_table(ml.train_pipelines(train, columns, "label"), test, "label")
+    return _valid(ml.score_batch(ml.fit_logistic(train, columns, "label"), train.unionByName(test)))
+
+
+@query("model_metrics_table", f"SELECT model_name, true AS same FROM {NAMES}")
+def _(spark, sf):
+    # Written to the mart; its AUROC is that of the ranking operator on the same scores.
+    models, test, scored, _ = _reports(spark, sf)
+    table = layers.materialize(ml.model_metrics_table(models, test, "label"), "mart", "model_metrics")
+    ranked = evaluate.ranking_metrics(scored, "label", "prob", ["model_name"]).select("model_name", F.col("auroc").alias("r"))
+    same = F.abs(F.coalesce("auroc", F.lit(-1.0)) - F.coalesce("r", F.lit(-1.0))) < 2e-6
+    return table.join(ranked, "model_name").select("model_name", same.alias("same"))
 
 
-VIEWS["v_test_rows"] = f"""
-SELECT row_key, {config.TARGET}::DOUBLE AS label FROM v_training_set
-WHERE ({hash32("'42:' || row_key")} + 0.5::DOUBLE) / 4294967296.0::DOUBLE < 0.2"""
+VIEWS["v_test_rows"] = "SELECT row_key, label FROM v_split WHERE is_test"
 
 
 def same_scores(first, second):
@@ -140,21 +163,35 @@ def same_scores(first, second):
 def _(spark, sf):
     train, test, columns = _split_training(spark, sf)
     path = work_dir(spark, "model")
-    model = ml.logistic_pipeline(columns, "label").fit(train)
+    model = ml.fit_logistic(train, columns, "label")
     ml.model_save(model, path)
     return same_scores(ml.score_batch(ml.model_load(path), test), ml.score_batch(model, test))
 
 
-@query("run_registry")
+VIEWS["v_train_version"] = f"""
+SELECT row_count, substr(md5(row_count || '|' || hash_sum), 1, 8) AS version
+FROM ({aggregates.fingerprint(["patientunitstayid", "kdigo_stage"], "(SELECT * FROM v_split WHERE NOT is_test)")})"""
+
+
+@query(
+    "run_registry",
+    f"""SELECT 'run_' || version AS run_id, model_name, version AS data_version_hash, row_count AS training_rows,
+          '10' AS max_iter, true AS best_is_highest FROM v_train_version, {NAMES}""",
+)
 def _(spark, sf):
     train, test, columns = _split_training(spark, sf)
     version = evaluate.dataset_fingerprint(train, ["patientunitstayid", "kdigo_stage"], columns).first()
     path = work_dir(spark, "registry")
     for name, model in ml.train_pipelines(train, columns, "label").items():
-        scored = ml.score_batch(model, test)
-        metrics = evaluate.ranking_metrics(scored, "label", "prob").first()
+        metrics = evaluate.ranking_metrics(ml.score_batch(model, test), "label", "prob").first()
         ml.run_register(
             spark, path, name, version["version"], version["row_count"], {"max_iter": "10"},
             {"auroc": metrics["auroc"] or 0.0, "auprc": metrics["auprc"] or 0.0},
         )
-    return ml.run_list(spark, path).drop("timestamp")
+    runs = ml.run_list(spark, path)
+    highest = runs.agg(F.max("auroc")).scalar()
+    return runs.select(
+        "run_id", "model_name", "lineage.data_version_hash", "lineage.training_rows",
+        F.col("parameters")["max_iter"].alias("max_iter"),
+        (F.col("is_best") == (F.col("auroc") == highest)).alias("best_is_highest"),
+    )

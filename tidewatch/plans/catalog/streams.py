@@ -57,7 +57,8 @@ def _(spark, sf):
 
 @query("stream_sliding_counts", live_catalog.SLIDING.format("fx_live"))
 def _(spark, sf):
-    return sinks.drain_complete(operators.stream_sliding_counts(_stream(spark, sf)), "sliding")
+    counts = operators.stream_sliding_counts(_stream(spark, sf))
+    return sinks.drain_updates(counts, ["window_start", "window_end"], "sliding")
 
 
 @query(
@@ -68,7 +69,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # The estimate of every window beside the exact count: it must be within a fifth of it.
-    streamed = sinks.drain_complete(operators.stream_distinct_patients(_stream(spark, sf)), "distinct")
+    estimates = operators.stream_distinct_patients(_stream(spark, sf))
+    streamed = sinks.drain_updates(estimates, ["window_start", "window_end"], "distinct")
     exact = (
         b.live(spark, sf)
         .groupBy(F.window("event_time", "1 hour", "10 minutes").alias("w"))
@@ -89,8 +91,12 @@ def _(spark, sf):
          FROM (SELECT (SELECT count(*) FROM fx_live) AS n, (SELECT count(*) FROM v_unique) AS u))""",
 )
 def _(spark, sf):
+    # Five micro-batches by arrival: second deliveries come in later ones than the first.
     path = work_dir(spark, "stats")
-    sinks.stream_stats(_stream(spark, sf), f"{path}/log", f"{path}/checkpoint", True).awaitTermination()
+    fixtures.live_events(spark, sf).repartitionByRange(5, "arrival").write.parquet(f"{path}/events")
+    schema = fixtures.live_events(spark, sf).schema
+    events = sources.table_stream_source(spark, f"{path}/events", schema, max_files=1)
+    sinks.stream_stats(events, f"{path}/log", f"{path}/checkpoint", True).awaitTermination()
     log = spark.read.schema(schemas.METRIC_LOG).parquet(f"{path}/log")
     counts = log.filter(F.col("metric_name").isin("allowed_events", "duplicate_events"))
     return counts.groupBy("metric_name").agg(F.sum("metric_value").alias("metric_value"))
@@ -115,8 +121,7 @@ def _(spark, sf):
        FROM v_scored_state""",
 )
 def _(spark, sf):
-    # The first arrival of every event: what the dedup stage lets through.
-    unique = _stream(spark, sf).filter(F.col("arrival") < 1000000000)
+    unique = operators.stream_dedup(_stream(spark, sf), sketches.EVENT_KEY)
     events = unique.select("subject_id", "charttime", "event_type", "value", "arrival", "uom")
     return sinks.drain(state.stream_patient_state(events), "patient-state")
 
@@ -124,7 +129,7 @@ def _(spark, sf):
 @query("stream_score", "SELECT row_key, label, true AS same FROM v_test_rows")
 def _(spark, sf):
     train, test, columns = models._split_training(spark, sf)
-    model = ml.logistic_pipeline(columns, "label").fit(train)
+    model = ml.fit_logistic(train, columns, "label")
     path = work_dir(spark, "to-score")
     test.write.parquet(path)
     rows = sources.table_stream_source(spark, path, test.schema, max_files=MAX_FILES)
@@ -177,12 +182,13 @@ def _(spark, sf):
 def _(spark, sf):
     # Small micro-batches: one file each, all counted by a complete-mode aggregate.
     stream = sources.jsonl_stream_source(spark, _payloads(spark, sf), max_files=1)
-    return sinks.drain_complete(stream.groupBy().agg(F.count(F.lit(1)).alias("events")), "trigger")
+    counted = stream.groupBy(F.lit("all").alias("scope")).agg(F.count(F.lit(1)).alias("events"))
+    return sinks.drain_updates(counted, ["scope"], "trigger").select("events")
 
 
 @query("timeline_replay", "SELECT * FROM v_timeline")
 def _(spark, sf):
     timeline = cohort.hospital_timeline(b.hospital_creatinine(spark, sf), b.hospital_urine(spark, sf))
     path = work_dir(spark, "timeline")
-    sources.write_replay(timeline, path, slices=4)
+    sources.write_replay(timeline, path)
     return sinks.drain(sources.timeline_replay(spark, path, timeline.schema, files_per_batch=2), "replayed")

@@ -203,6 +203,19 @@ def d_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.unionByName(_catalogue(spark, sf_dir, 700000))
 
 
+def people_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hospital's patient table, some rows without their key."""
+    u = F.col("user_id")
+    return users(spark, sf_dir).select(
+        F.when(u % 47 != 0, u.cast("string")).alias("subject_id"), F.when(u % 2 == 0, "F").otherwise("M").alias("gender")
+    )
+
+
+def in_long_series(user: Column) -> Column:
+    """One patient in ten of the second cohort gets the events of four users, and so more than 48 hours."""
+    return F.when((user % 40).between(1, 4), user - user % 40 + 1).otherwise(user)
+
+
 def patients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second cohort's demographics: customers who have events."""
     key = F.col("c_custkey")
@@ -235,7 +248,7 @@ def lab(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.select(
         "event_id",
-        F.col("user_id").alias("patientunitstayid"),
+        in_long_series(F.col("user_id")).alias("patientunitstayid"),
         name.alias("labname"),
         F.floor(F.col("sec") / 60).cast("int").alias("labresultoffset"),
         F.when(_every("event_id", 83), 25.0).otherwise(F.col("milli") / 1000.0).alias("labresult"),
@@ -246,7 +259,7 @@ def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).filter(F.col("event_type").isin("view", "click"))
     return rows.select(
         "event_id",
-        F.col("user_id").alias("patientunitstayid"),
+        in_long_series(F.col("user_id")).alias("patientunitstayid"),
         F.floor(F.col("sec") / 60).cast("int").alias("intakeoutputoffset"),
         F.when(_every("event_id", 79), -5.0)
         .when(_every("event_id", 73), 12000.0)
@@ -272,7 +285,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_live(source: DataFrame) -> DataFrame:
-    """Live events in arrival order; every 37th is delivered a second time."""
+    """Live events in arrival order; every 37th is delivered a second time, every 61st has no value."""
     creatinine = F.col("event_type").isin("purchase", "signup")
     urine = F.col("event_type").isin("view", "click")
     copies = F.when(_every("event_id", 37), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -286,7 +299,10 @@ def as_live(source: DataFrame) -> DataFrame:
             (F.col("user_id") * 10 + F.when(F.col("sec") < STAY_SECONDS, 0).otherwise(1)).alias("stay_id"),
             printed(F.col("sec")).alias("charttime"),
             F.when(creatinine, "creatinine").when(urine, "urine").otherwise("heart_rate").alias("event_type"),
-            F.when(creatinine, F.col("milli") / 1000.0).otherwise(F.round("value")).alias("value"),
+            F.when(_every("event_id", 61), F.lit(None).cast("double"))
+            .when(creatinine, F.col("milli") / 1000.0)
+            .otherwise(F.round("value"))
+            .alias("value"),
             F.when(creatinine, "mg/dL").when(urine, "mL").otherwise("bpm").alias("uom"),
         )
     )

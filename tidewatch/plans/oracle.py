@@ -129,6 +129,11 @@ SELECT DISTINCT itemid::BIGINT AS itemid,
 FROM fx_outputs_raw
 UNION ALL {_catalogue(700000)}"""
 
+VIEWS["fx_people_raw"] = """
+SELECT CASE WHEN user_id % 47 <> 0 THEN user_id::VARCHAR END AS subject_id,
+       CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender
+FROM fx_users"""
+
 VIEWS["fx_patients_raw"] = """
 SELECT c_custkey AS patientunitstayid, 'P' || c_custkey AS uniquepid, c_nationkey::BIGINT AS hospitalid,
        'R' || (c_nationkey % 5) AS region, c_mktsegment AS unittype,
@@ -139,7 +144,7 @@ SELECT c_custkey AS patientunitstayid, 'P' || c_custkey AS uniquepid, c_nationke
 FROM customer WHERE c_custkey IN (SELECT user_id FROM fx_users)"""
 
 VIEWS["fx_lab"] = """
-SELECT event_id, user_id AS patientunitstayid,
+SELECT event_id, CASE WHEN user_id % 40 BETWEEN 1 AND 4 THEN user_id - user_id % 40 + 1 ELSE user_id END AS patientunitstayid,
        CASE WHEN event_id % 67 = 0 THEN NULL WHEN event_type = 'purchase' THEN ' Creatinine '
             WHEN event_type = 'signup' THEN 'CREATININE' ELSE 'sodium' END AS labname,
        (sec // 60)::INTEGER AS labresultoffset,
@@ -147,7 +152,8 @@ SELECT event_id, user_id AS patientunitstayid,
 FROM fx_events WHERE event_type IN ('purchase', 'signup', 'error')"""
 
 VIEWS["fx_intake"] = """
-SELECT event_id, user_id AS patientunitstayid, (sec // 60)::INTEGER AS intakeoutputoffset,
+SELECT event_id, CASE WHEN user_id % 40 BETWEEN 1 AND 4 THEN user_id - user_id % 40 + 1 ELSE user_id END AS patientunitstayid,
+       (sec // 60)::INTEGER AS intakeoutputoffset,
        CASE WHEN event_id % 79 = 0 THEN -5.0::DOUBLE WHEN event_id % 73 = 0 THEN 12000.0::DOUBLE
             ELSE round(value) END AS cellvaluenumeric
 FROM fx_events WHERE event_type IN ('view', 'click')"""
@@ -163,7 +169,8 @@ SELECT event_id + copy * 1000000000 AS arrival, user_id AS subject_id, user_id *
        {printed("sec")} AS charttime,
        CASE WHEN event_type IN ('purchase', 'signup') THEN 'creatinine'
             WHEN event_type IN ('view', 'click') THEN 'urine' ELSE 'heart_rate' END AS event_type,
-       CASE WHEN event_type IN ('purchase', 'signup') THEN milli::DOUBLE / 1000.0::DOUBLE
+       CASE WHEN event_id % 61 = 0 THEN NULL
+            WHEN event_type IN ('purchase', 'signup') THEN milli::DOUBLE / 1000.0::DOUBLE
             ELSE round(value) END AS value,
        CASE WHEN event_type IN ('purchase', 'signup') THEN 'mg/dL'
             WHEN event_type IN ('view', 'click') THEN 'mL' ELSE 'bpm' END AS uom

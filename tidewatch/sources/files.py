@@ -13,15 +13,20 @@ from tidewatch import config
 CORRUPT = "_corrupt_record"
 
 
-def raw_csv_load(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+def raw_csv_load(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True, multi_line: bool = False
+) -> DataFrame:
     """Every column a string. A row with too few or too many fields is padded or cut, not lost,
-    and its text is kept in `_corrupt_record`."""
+    and its text is kept in `_corrupt_record`. A doubled quote inside quotes is a quote. With
+    `multi_line` quoted line feeds are kept, and each file is one task, as gzip files are anyway."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(with_corrupt)
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
         .csv(path)
@@ -29,12 +34,15 @@ def raw_csv_load(spark: SparkSession, path: str, schema: T.StructType, header: b
 
 
 def typed_csv_load(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """A typed load. A gzip file is one split, so it can be spread right after reading."""
+    """A typed load with the same quoting. A gzip file is one split, so it can be spread right after reading."""
     df = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("timestampNTZFormat", config.EVENT_TIME_FORMAT)
         .option("timestampFormat", config.EVENT_TIME_FORMAT)
         .csv(path)

@@ -25,6 +25,11 @@ def append_metrics(rows: DataFrame, path: str) -> None:
     rows.select(*schemas.METRIC_LOG.fieldNames()).write.mode("append").parquet(path)
 
 
+def write_metrics(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The rows of one micro-batch under its number: written again, they replace themselves."""
+    rows.select(*schemas.METRIC_LOG.fieldNames()).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def sample_rows(log: DataFrame) -> DataFrame:
     """The sampled events inside the log's JSON, with the measure told from the type's name."""
     extra = F.from_json("extra_json", schemas.METRIC_EXTRA)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators import sketches
 from tidewatch.session import work_dir
-from tidewatch.sources.metrics import append_metrics, metric_rows
+from tidewatch.sources.metrics import metric_rows, write_metrics
 from tidewatch.streaming.operators import merge_sample
 
 
@@ -42,27 +43,43 @@ def drain(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def drain_complete(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run an aggregating stream over all its input; every micro-batch replaces the result."""
+def drain_updates(stream: DataFrame, key: Sequence[str], purpose: str) -> DataFrame:
+    """Run an aggregating stream over all its input in update mode; the newest row of each key counts.
+
+    A micro-batch writes only the keys it changed, under its own number, so a replay changes
+    nothing and state behind the watermark can go.
+    """
     spark = stream.sparkSession
     path = work_dir(spark, purpose)
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/data")
-
-    each_batch(stream, replace, f"{path}/checkpoint", available_now=True, mode="complete").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/data")
-
-
-def write_stats(batch: DataFrame, batch_id: int, path: str) -> None:
-    """A micro-batch's arrivals, duplicates, rate and patients as metric rows."""
-    key = sketches.event_key()
-    stats = batch.agg(
-        F.count(F.lit(1)).alias("arrivals"),
-        F.count_distinct(key).alias("unique_events"),
-        F.approx_count_distinct("subject_id").alias("patients"),
-    )
-    n, unique = F.col("arrivals"), F.col("unique_events")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
+
+    each_batch(stream, write, f"{path}/checkpoint", available_now=True, mode="update").awaitTermination()
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    written = spark.read.schema(schema).parquet(f"{path}/data")
+    rest = [c for c in stream.columns if c not in key]
+    newest = written.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_newest"))
+    return newest.select(*key, "_newest.*").select(*stream.columns)
+
+
+def write_stats(batch: DataFrame, batch_id: int, path: str, seen: str) -> None:
+    """A micro-batch's arrivals, duplicates, rate and patients as metric rows.
+
+    An event is a duplicate if its key came before, in this or an earlier micro-batch. Keys first
+    seen and metric rows are written under the batch's number, so a replayed batch writes the
+    same again and counts once.
+    """
+    spark = batch.sparkSession
+    arrived = batch.select(sketches.event_key().alias("key"), "subject_id")
+    before = spark.read.schema("key string, batch long").parquet(seen).filter(F.col("batch") < batch_id)
+    keys = arrived.select("key").distinct().join(before, "key", "left_anti")
+    keys.write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+    allowed = spark.read.schema("key string").parquet(f"{seen}/batch={batch_id}").agg(F.count(F.lit(1))).scalar()
+    stats = arrived.agg(
+        F.count(F.lit(1)).alias("arrivals"), F.approx_count_distinct("subject_id").alias("patients")
+    ).withColumn("allowed", allowed)
+    n, unique = F.col("arrivals"), F.col("allowed")
     rows = metric_rows(
         stats,
         {
@@ -73,13 +90,16 @@ def write_stats(batch: DataFrame, batch_id: int, path: str) -> None:
         },
         F.to_json(F.struct(F.lit(batch_id).alias("batch_id"))),
     )
-    append_metrics(rows, path)
+    write_metrics(rows, path, batch_id)
 
 
 def stream_stats(events: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Metric rows per micro-batch, appended to the log."""
+    """Metric rows per micro-batch, counted over the whole stream so far."""
+    seen = f"{checkpoint}-seen"
+    if latest_version(events.sparkSession, seen, prefix="batch=") is None:
+        events.sparkSession.createDataFrame([], "key string").write.mode("overwrite").parquet(f"{seen}/batch=-1")
     return each_batch(
-        events, lambda batch, i: write_stats(batch, i, path), checkpoint, available_now
+        events, lambda batch, i: write_stats(batch, i, path, seen), checkpoint, available_now
     )
 
 
@@ -97,7 +117,9 @@ def stream_sample(
     return each_batch(events, merge, checkpoint, available_now)
 
 
-def latest_version(spark: SparkSession, path: str, before: int | None = None) -> str | None:
+def latest_version(
+    spark: SparkSession, path: str, before: int | None = None, prefix: str = "v="
+) -> str | None:
     """The newest numbered folder below a path, so that a replayed batch reads what it read first."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -105,6 +127,6 @@ def latest_version(spark: SparkSession, path: str, before: int | None = None) ->
     if not fs.exists(root):
         return None
     names = [s.getPath().getName() for s in fs.listStatus(root)]
-    versions = [int(n[2:]) for n in names if n.startswith("v=")]
+    versions = [int(n[len(prefix) :]) for n in names if n.startswith(prefix)]
     versions = [v for v in versions if before is None or v < before]
-    return f"{path}/v={max(versions)}" if versions else None
+    return f"{path}/{prefix}{max(versions)}" if versions else None

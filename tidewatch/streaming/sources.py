@@ -63,12 +63,14 @@ def with_event_time(events: DataFrame, text: str = "charttime") -> DataFrame:
     return events.withColumn("event_time", F.col(text).try_cast("timestamp"))
 
 
-def write_replay(timeline: DataFrame, path: str, time: str = "event_time", slices: int = 8) -> None:
-    """A stored timeline as files in time order, one time range per file.
+def write_replay(timeline: DataFrame, path: str, time: str = "event_time", slice_rows: int = 1_000_000) -> None:
+    """A stored timeline as files, one time range of about `slice_rows` rows per file.
 
-    Range partitions keep every slice bounded; files are named in partition order, which is
-    the order a file stream reads files of equal age in.
+    The number of slices follows the data. Files are named in partition order, which is the order
+    a file stream reads files of equal age in; tasks may finish in another order, so a consumer
+    that needs strict order sorts each micro-batch or keeps state by event time.
     """
+    slices = max(1, -(-timeline.count() // slice_rows))
     timeline.repartitionByRange(slices, time).sortWithinPartitions(time).write.mode("overwrite").parquet(path)
 
 

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch import config
-from tidewatch.operators.live import BASELINE_READINGS, HISTORY, scored
+from tidewatch.operators.live import BASELINE_READINGS, HISTORY, known_values, scored
 
 STATE = T.StructType(
     [
@@ -114,13 +116,15 @@ def stream_patient_state(
     Limit the source's micro-batch (files or offsets per trigger): one patient's events of one
     micro-batch are ordered in memory.
     """
+    # The state's Python process on the driver knows no shipped files: it gets the class itself.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     session = events.sparkSession
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     ttl = ttl_hours * 3600 * 1000 if ttl_hours else None
-    state = events.groupBy("subject_id").transformWithStateInPandas(
+    state = known_values(events).groupBy("subject_id").transformWithStateInPandas(
         statefulProcessor=PatientState(rate, weight, ttl),
         outputStructType=OUTPUT,
         outputMode="append",
