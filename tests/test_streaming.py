@@ -167,3 +167,30 @@ def test_synthetic_stream_has_the_event_fields(spark):
 
     stream = synthetic.synthetic_stream(spark)
     assert stream.isStreaming and set(schemas.LIVE_EVENT.fieldNames()) <= set(stream.columns)
+
+
+def test_twin_search_reads_its_own_buckets_only(spark):
+    from tidewatch import config
+    from tidewatch.operators import similarity
+    from tidewatch.streaming import twins
+
+    history = spark.range(300).select(
+        F.col("id").cast("string").alias("row_key"),
+        *[((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(config.FEATURES)],
+        (F.col("id") % 2).alias(config.TARGET),
+    )
+    moments = similarity.feature_moments(history)
+    path = work_dir(spark, "twin-index")
+    index = similarity.write_index(
+        similarity.lsh_index(twins.shown(history), "row_key", moments, n_tables=3, n_bits=4, keep=twins.SHOWN), path
+    )
+    events = spark.range(1).selectExpr(
+        "id AS arrival", "3.0D AS creatinine", "1.0D AS baseline", "3.0D AS cr_ratio", "0.5D AS cr_delta_recent",
+        "1.0D AS uo_ml_kg_hr_6h", "1.0D AS uo_ml_kg_hr_24h",
+    )
+    found = twins.twins_of(events, index, moments, n_tables=3, n_bits=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "twin-index" in line and "FileScan" in line]
+    assert len(scan) == 1 and scan[0].count("bucket#") >= 3 and "PartitionFilters: [" in scan[0]
+    assert "table_id" in scan[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert found.count() <= 3 and found.columns == ["arrival", "rank", "twin_id", "outcome", "distance", "cr", "uo"]

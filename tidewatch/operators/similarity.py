@@ -127,12 +127,15 @@ def topk_similar(pairs: DataFrame, query_key: str, index_key: str, k: int, dista
 
 def lsh_index(
     history: DataFrame, key: str, moments: Moments, features: Sequence[str] = config.FEATURES,
-    n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS, seed: int = SEED,
+    n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS, seed: int = SEED, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The searchable form of a table: key, standardized features, buckets, one row per table."""
-    z = standardize_features(history.select(key, *features), features, moments)
+    """The searchable form of a table: key, standardized features, buckets, one row per table.
+
+    The columns `keep` lie beside them, so that a search shows them without reading the table.
+    """
+    z = standardize_features(history.select(key, *features, *keep), features, moments)
     return lsh_hash(z, n_tables=n_tables, n_bits=n_bits, dims=len(features), seed=seed).select(
-        key, "z", "buckets", "table_id", "bucket"
+        key, *keep, "z", "buckets", "table_id", "bucket"
     )
 
 
@@ -145,21 +148,37 @@ def write_index(index: DataFrame, path: str) -> DataFrame:
     return index.sparkSession.read.schema(index.schema).parquet(path)
 
 
+def in_buckets(probes: DataFrame) -> Column:
+    """A filter on (table_id, bucket) that names the probes' buckets as literals."""
+    wanted: dict[int, list[int]] = {}
+    for row in probes.select("table_id", "bucket").distinct().collect():
+        wanted.setdefault(row["table_id"], []).append(row["bucket"])
+    found = F.lit(False)
+    for table, buckets in sorted(wanted.items()):
+        found = found | ((F.col("table_id") == table) & F.col("bucket").isin(sorted(buckets)))
+    return found
+
+
 def lsh_search(
     queries: DataFrame, index: DataFrame, moments: Moments, key: str,
     features: Sequence[str] = config.FEATURES, k: int = 5, n_tables: int = DEFAULT_TABLES,
     n_bits: int = DEFAULT_BITS, seed: int = SEED, salts: int = 8, query_key: str = "query_id",
+    keep: Sequence[str] = (), prune: bool = False,
 ) -> DataFrame:
     """The k nearest index rows per query among those sharing a bucket with it.
 
-    `queries` holds `query_key` and the features. A query without bucket mates has no rows.
+    `queries` holds `query_key` and the features. A query without bucket mates has no rows. With
+    `prune` the buckets of the queries, at most tables times 2 to the bits small numbers, are
+    collected first and become a literal filter, so that a written index reads no other folder.
     """
     z = standardize_features(queries.select(query_key, *features), features, moments, out="q_z")
     probes = lsh_hash(
         z, vector="q_z", out="q_buckets", n_tables=n_tables, n_bits=n_bits, dims=len(features), seed=seed
     ).select(query_key, "q_z", "q_buckets", "table_id", "bucket")
+    if prune:
+        index = index.filter(in_buckets(probes))
     pairs = lsh_bucket_join(probes, index, key, salts).select(
-        query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z"), len(features)), 6).alias("distance")
+        query_key, key, *keep, round_half_up(euclidean(F.col("z"), F.col("q_z"), len(features)), 6).alias("distance")
     )
     return topk_similar(pairs, query_key, key, k)
 

@@ -138,14 +138,11 @@ def _(spark, sf):
 
 
 _live_features = ["creatinine", "baseline", "cr_ratio", "cr_delta_recent", "NULL", "NULL", "uo_ml_kg_hr_6h", "NULL", "uo_ml_kg_hr_24h"]
-VIEWS["v_newest"] = """
-SELECT * FROM v_scored_state
-QUALIFY row_number() OVER (PARTITION BY subject_id ORDER BY event_time DESC, arrival DESC) = 1"""
-VIEWS["v_newest_z"] = f"""
+VIEWS["v_event_z"] = f"""
 SELECT arrival, [{", ".join(f"(coalesce({c}, 0)::DOUBLE - m{i}) / s{i}" for i, c in enumerate(_live_features))}] AS z
-FROM v_newest, v_moments"""
-VIEWS["v_newest_hash"] = " UNION ALL ".join(
-    f"SELECT arrival, {t} AS table_id, ({similar_catalog._bucket(m)})::BIGINT AS bucket FROM v_newest_z"
+FROM v_scored_state, v_moments"""
+VIEWS["v_event_hash"] = " UNION ALL ".join(
+    f"SELECT arrival, {t} AS table_id, ({similar_catalog._bucket(m)})::BIGINT AS bucket FROM v_event_z"
     for t, m in enumerate(similarity.projections(similar_catalog.TABLES, similar_catalog.BITS, similar_catalog.D))
 )
 
@@ -158,20 +155,18 @@ VIEWS["v_newest_hash"] = " UNION ALL ".join(
           floor(h.urine_output_ml * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS uo
         FROM (SELECT *, row_number() OVER (PARTITION BY arrival ORDER BY distance, row_key)::INTEGER AS rank
               FROM (SELECT p.arrival, p.row_key, {similar_catalog._rounded} AS distance
-                    FROM (SELECT DISTINCT n.arrival, h.row_key FROM v_newest_hash n
+                    FROM (SELECT DISTINCT n.arrival, h.row_key FROM v_event_hash n
                           JOIN v_hash h ON n.table_id = h.table_id AND n.bucket = h.bucket) p
-                    JOIN v_z a ON p.row_key = a.row_key JOIN v_newest_z q ON p.arrival = q.arrival)) t
+                    JOIN v_z a ON p.row_key = a.row_key JOIN v_event_z q ON p.arrival = q.arrival)) t
         JOIN v_training_set h ON t.row_key = h.row_key WHERE t.rank <= 3""",
 )
 def _(spark, sf):
     history = b.training_set(spark, sf)
-    # The newest state of every patient, searched against the whole history.
+    # The state after every event, searched against the whole history.
     path = work_dir(spark, "twins")
-    scored = b.live_unique(spark, sf)
-    state_rows = live.scored(live.live_state(scored))
-    newest = sketches.latest_per_key(state_rows, "subject_id", ["event_time", "arrival"])
-    newest.write.parquet(f"{path}/events")
-    stream = sources.table_stream_source(spark, f"{path}/events", newest.schema, max_files=MAX_FILES)
+    states = live.scored(live.live_state(b.live_unique(spark, sf)))
+    states.write.parquet(f"{path}/events")
+    stream = sources.table_stream_source(spark, f"{path}/events", states.schema, max_files=MAX_FILES)
     twins.stream_twins(
         stream, history, f"{path}/found", f"{path}/checkpoint", available_now=True
     ).awaitTermination()

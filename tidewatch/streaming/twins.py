@@ -29,29 +29,35 @@ def live_features(scored_events: DataFrame, key: str) -> DataFrame:
     return scored_events.select(key, *[known.get(c, null).alias(c) for c in config.FEATURES])
 
 
+SHOWN = ("outcome", "cr", "uo")
+
+
+def shown(history: DataFrame) -> DataFrame:
+    """History with what is told about a twin: its outcome, creatinine and urine."""
+    return history.select(
+        "*",
+        F.when(F.col(config.TARGET) == 1, "Stage 3 AKI").otherwise("Stable").alias("outcome"),
+        round_half_up(F.col("creatinine"), 2).alias("cr"),
+        round_half_up(F.col("urine_output_ml"), 1).alias("uo"),
+    )
+
+
 def twins_of(
-    events: DataFrame, history: DataFrame, index: DataFrame, moments: similarity.Moments, key: str = "arrival",
-    history_key: str = "row_key", k: int = 3, features: Sequence[str] = config.FEATURES,
-    n_tables: int = 3, n_bits: int = 6,
+    events: DataFrame, index: DataFrame, moments: similarity.Moments, key: str = "arrival", history_key: str = "row_key",
+    k: int = 3, features: Sequence[str] = config.FEATURES, n_tables: int = 3, n_bits: int = 6,
 ) -> DataFrame:
     """Per event its nearest rows with outcome, distance, creatinine and urine, joined by name.
 
-    Events with the same features have the same twins, so each feature row is searched once.
+    Events with the same features have the same twins, so each feature row is searched once. The
+    index holds what is shown; only the folders of the events' own buckets are read.
     """
     queries = live_features(events, key).withColumn(
         "query_id", F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in features]))
     )
-    near = similarity.lsh_search(
+    twins = similarity.lsh_search(
         queries.select("query_id", *features).dropDuplicates(["query_id"]),
-        index, moments, history_key, features, k, n_tables, n_bits,
-    )
-    found = history.select(
-        history_key,
-        F.when(F.col(config.TARGET) == 1, "Stage 3 AKI").otherwise("Stable").alias("outcome"),
-        round_half_up(F.col("creatinine"), 2).alias("cr"),
-        round_half_up(F.col("urine_output_ml"), 1).alias("uo"),
-    )
-    twins = near.join(found, history_key).withColumnRenamed(history_key, "twin_id")
+        index, moments, history_key, features, k, n_tables, n_bits, keep=SHOWN, prune=True,
+    ).withColumnRenamed(history_key, "twin_id")
     return salted_join(queries.select(key, "query_id"), twins, ["query_id"]).select(
         key, "rank", "twin_id", "outcome", "distance", "cr", "uo"
     )
@@ -62,14 +68,15 @@ def stream_twins(
     history_key: str = "row_key", n_tables: int = 3, n_bits: int = 6, available_now: bool = False,
 ) -> StreamingQuery:
     """Twins of every event. The history is hashed and written once, by table and bucket; a
-    micro-batch reads the buckets of its own events."""
+    micro-batch reads the buckets of its own events and never the history."""
     moments = similarity.feature_moments(history)
     index = similarity.write_index(
-        similarity.lsh_index(history, history_key, moments, n_tables=n_tables, n_bits=n_bits), f"{path}-index"
+        similarity.lsh_index(shown(history), history_key, moments, n_tables=n_tables, n_bits=n_bits, keep=SHOWN),
+        f"{path}-index",
     )
 
     def search(batch: DataFrame, batch_id: int) -> None:
-        found = twins_of(batch, history, index, moments, "arrival", history_key, k, n_tables=n_tables, n_bits=n_bits)
+        found = twins_of(batch, index, moments, "arrival", history_key, k, n_tables=n_tables, n_bits=n_bits)
         found.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return each_batch(scored_events, search, checkpoint, available_now)
