@@ -1,14 +1,13 @@
-"""The registered queries against brute force, or against SQL where SQL can say them."""
+"""The registered queries against brute force; tests/test_queries.py compares those that have SQL with it."""
 
 import zlib
 
 import pyarrow.parquet as pq
 import pytest
 
-from tests.compare import compare
 from tests.conftest import SMALL
 from tests.llm import brute
-from tidewatch.llm.queries import ORACLE, QUERIES
+from tidewatch.llm.queries import QUERIES
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -26,12 +25,6 @@ def rows(spark, name, folder=SMALL):
     return {r["doc_id"]: r for r in QUERIES[name](spark, folder).collect()}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
-def test_matches_sql(spark, duck, name):
-    problem, n = compare(QUERIES[name](spark, SMALL), ORACLE[name], duck)
-    assert not problem and n
-
-
 def test_token_counts(spark, texts):
     got = rows(spark, "op1_token_counts")
     want = brute.token_counts(texts)
