@@ -22,7 +22,7 @@ from tidewatch.llm.common import row_key, texts
 
 LENGTH = 20
 #: Text bytes of a block, and windows that one task of a level compares.
-BLOCK_TEXT = 12 << 20
+BLOCK_TEXT = 4 << 20
 LEVEL_ROWS = 2_000_000
 
 ASKED = "part int, block int, hashes binary, tails binary, at binary, doc_ids binary, keys binary"
