@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tests.compare import connect  # noqa: E402
-from tidewatch.session import get_spark  # noqa: E402
+from tidewatch.session import get_spark, remove_work  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -16,6 +16,7 @@ def spark():
     session = get_spark("tests", master="local[8]", shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_work(session)
     session.stop()
 
 

@@ -12,6 +12,7 @@ from tidewatch.functions import rules
 from tidewatch.operators import (
     evaluate, hourly, joins, live, ml, privacy, quality, series, similarity, sketches, skew, staging,
 )
+from tidewatch import session
 from tidewatch.session import work_dir
 from tidewatch.sources import files, layers
 
@@ -280,6 +281,17 @@ def test_null_live_values(spark):
     assert got == {0: (0.0, 0.0, None, None), 1: (2.0, 1.0, 2.0, None), 2: (None, None, None, 0.0), 3: (None, None, None, 0.0)}
 
 
+def test_working_folders_can_be_removed(spark):
+    kept = session._made[:]
+    session._made.clear()
+    path = work_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.remove_work(spark) == 1 and session._made == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    session._made.extend(kept)
+
+
 def test_cluster_needs_a_shared_folder(spark):
     class Fake:
         class conf:  # noqa: N801

@@ -32,6 +32,7 @@ def get_spark(
 
 
 _shipped: set[str] = set()
+_made: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -69,4 +70,19 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
+    _made.append(path)
+    return path
+
+
+def remove_work(spark: SparkSession) -> int:
+    """Remove the working folders that this process made; results that still read them become void.
+
+    A job calls it after its last result is written. Returns the number of folders removed.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
