@@ -7,9 +7,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidewatch import config
-from tidewatch.operators import evaluate, ml
+from tidewatch.operators import evaluate, ml, privacy
 from tidewatch.plans import bindings as b
-from tidewatch.plans.catalog import aggregates  # noqa: F401
+from tidewatch.plans import fixtures
+from tidewatch.plans.catalog import aggregates, projections
 from tidewatch.plans.oracle import VIEWS, hash32
 from tidewatch.plans.registry import query
 from tidewatch.session import work_dir
@@ -132,6 +133,55 @@ def _(spark, sf):
     return report.select("model_name", "n", valid.alias("valid"))
 
 
+VIEWS["v_test_people"] = f"""
+SELECT s.row_key, s.label, p.gender, p.unittype, {projections.AGE_BAND_SQL} AS age_group
+FROM v_split s JOIN fx_patients_raw p ON s.patientunitstayid = p.patientunitstayid WHERE s.is_test"""
+
+
+def _scored_people(spark, sf):
+    """A trained model's scores of the test rows, with demographics and the 0/1 prediction."""
+    train, test, columns = _split_training(spark, sf)
+    scored = ml.score_batch(ml.fit_logistic(train, columns, "label"), test)
+    people = privacy.generalize(
+        fixtures.patients_raw(spark, sf).select("patientunitstayid", "age", "gender", "unittype")
+    )
+    scored = scored.select("row_key", "patientunitstayid", "label", "prob").join(people, "patientunitstayid")
+    return settle(scored.withColumn("pred", evaluate.at_threshold("prob")), "model-people")
+
+
+def _shares(report, keys):
+    """The keys and counts of a report, and whether all its metrics are shares."""
+    valid = F.lit(True)
+    for c in report.columns:
+        if c not in (*keys, "n", "count"):
+            valid = valid & F.coalesce(F.col(c), F.lit(0.0)).between(0, 1)
+    return report.select(*keys, *[c for c in report.columns if c in ("n", "count")], valid.alias("valid"))
+
+
+@query(
+    "model_fairness_report",
+    """SELECT attribute, value, count(*) AS count, true AS valid
+       FROM (SELECT 'gender' AS attribute, gender AS value FROM v_test_people
+             UNION ALL SELECT 'age_group', age_group FROM v_test_people)
+       WHERE value IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 10""",
+)
+def _(spark, sf):
+    report = evaluate.fairness_report(_scored_people(spark, sf), ["gender", "age_group"], "label", "pred")
+    return _shares(report, ["attribute", "value"])
+
+
+@query(
+    "model_cross_site_report",
+    """SELECT CASE WHEN unittype = 'BUILDING' THEN 'Hospital A (Source)' ELSE 'Hospital B (Target)' END AS site,
+         count(*) AS n, true AS valid FROM v_test_people WHERE unittype IN ('BUILDING', 'MACHINERY') GROUP BY 1""",
+)
+def _(spark, sf):
+    report = evaluate.cross_site_report(
+        _scored_people(spark, sf), "unittype", "BUILDING", "MACHINERY", "label", "prob"
+    )
+    return _shares(report, ["site"])
+
+
 @query("score_batch", VALID)
 def _(spark, sf):
     # Raw rows of both parts go in, rows with nulls too, and each comes out.
