@@ -83,27 +83,27 @@ def _(spark, sf):
     )
 
 
-def _layer_database(spark, layer):
+def layer_database(spark, layer):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{work_dir(spark, layer)}'")
 
 
 @query("layer_write", "SELECT * FROM v_creat")
 def _(spark, sf):
-    _layer_database(spark, "silver")
+    layer_database(spark, "silver")
     layers.layer_write(b.warehouse(spark, sf).creatinine, "silver", "creatinine_events")
     return layers.layer_read(spark, "silver", "creatinine_events")
 
 
 @query("layer_read", "SELECT * FROM v_urine")
 def _(spark, sf):
-    _layer_database(spark, "silver")
+    layer_database(spark, "silver")
     layers.layer_write(b.warehouse(spark, sf).urine, "silver", "urine_output_events")
     return layers.layer_read(spark, "silver", "urine_output_events")
 
 
 @query("materialize", "SELECT stay_id, charttime, kdigo_stage FROM v_hourly")
 def _(spark, sf):
-    _layer_database(spark, "gold")
+    layer_database(spark, "gold")
     w = b.warehouse(spark, sf)
     layers.materialize(w.labs, "staging", "stg_labevents_creatinine")
     return layers.materialize(w.stages.select("stay_id", "charttime", "kdigo_stage"), "gold", "gold_kdigo_hourly")

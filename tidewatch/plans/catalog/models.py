@@ -11,6 +11,7 @@ from tidewatch.operators import evaluate, ml, privacy
 from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures
 from tidewatch.plans.catalog import aggregates, projections
+from tidewatch.plans.catalog.inputs import layer_database
 from tidewatch.plans.oracle import VIEWS, hash32
 from tidewatch.plans.registry import query
 from tidewatch.session import work_dir
@@ -193,6 +194,7 @@ def _(spark, sf):
 def _(spark, sf):
     # Written to the mart; its AUROC is that of the ranking operator on the same scores.
     models, test, scored, _ = _reports(spark, sf)
+    layer_database(spark, "mart")
     table = layers.materialize(ml.model_metrics_table(models, test, "label"), "mart", "model_metrics")
     ranked = evaluate.ranking_metrics(scored, "label", "prob", ["model_name"]).select("model_name", F.col("auroc").alias("r"))
     same = F.abs(F.coalesce("auroc", F.lit(-1.0)) - F.coalesce("r", F.lit(-1.0))) < 2e-6

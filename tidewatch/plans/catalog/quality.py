@@ -9,8 +9,11 @@ from tidewatch.operators import privacy, quality, series
 from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures
 from tidewatch.plans.catalog import joining, windows  # noqa: F401
+from tidewatch.plans.catalog.inputs import layer_database
 from tidewatch.plans.oracle import VIEWS, hash32
 from tidewatch.plans.registry import query
+from tidewatch.plans.warehouse import Warehouse
+from tidewatch.sources import layers
 from tidewatch.sources.layers import settle
 
 
@@ -239,6 +242,57 @@ def _(spark, sf):
     return tests
 
 
+LAYERED = {
+    "bronze": {"labevents": "fx_labs_raw", "outputevents": "fx_outputs_raw", "icustays": "fx_stays_raw"},
+    "silver": {
+        "silver_icu_cohort": "v_cohort", "silver_creatinine_events": "v_creat", "silver_urine_output_events": "v_urine",
+    },
+    "gold": {"gold_kdigo_hourly": "v_hourly", "gold_features_hourly": "v_features"},
+    "mart": {"training_mart": "v_mart"},
+}
+
+
+def _nulls(name: str) -> str:
+    columns = NOT_NULL[name][1] if name in NOT_NULL else ()
+    return " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in columns) or "0"
+
+
+@query(
+    "layered_run",
+    " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS row_count, ({_nulls(name)})::BIGINT AS failures FROM {view}"
+        for layer, tables in LAYERED.items()
+        for name, view in tables.items()
+    ),
+)
+def _(spark, sf):
+    # Every layer is written, and the next one is made from its tables.
+    for layer in LAYERED:
+        layer_database(spark, layer)
+    raw = (fixtures.labs_raw(spark, sf), fixtures.outputs_raw(spark, sf), fixtures.stays_raw(spark, sf))
+    for name, df in zip(LAYERED["bronze"], raw, strict=True):
+        layers.layer_write(df, "bronze", name)
+    w = Warehouse(*[layers.layer_read(spark, "bronze", name) for name in LAYERED["bronze"]])
+    models = {
+        "silver_icu_cohort": w.cohort, "silver_creatinine_events": w.creatinine, "silver_urine_output_events": w.urine,
+        "gold_kdigo_hourly": w.written_stages, "gold_features_hourly": w.features, "training_mart": w.mart,
+    }
+    report = None
+    for layer, tables in LAYERED.items():
+        for name in tables:
+            if layer != "bronze":
+                layers.layer_write(models[name], layer, name)
+            table = layers.layer_read(spark, layer, name)
+            nulls = F.lit(0).cast("bigint")
+            for c in NOT_NULL[name][1] if name in NOT_NULL else ():
+                nulls = nulls + F.count_if(F.col(c).isNull())
+            own = table.agg(F.count(F.lit(1)).alias("row_count"), nulls.alias("failures")).select(
+                F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count", "failures"
+            )
+            report = own if report is None else report.unionByName(own)
+    return report
+
+
 @query(
     "unique_test",
     """SELECT 'stay_id' AS column_name, 'unique' AS test, count(*) AS failures
