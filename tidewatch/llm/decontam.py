@@ -1,9 +1,10 @@
 """Benchmark decontamination on a distributed positional inverted index, with DataFrame functions only.
 
 1. Count the test terms in the training documents. A window of a test item that holds a term no
-   document has cannot occur; any other window is searched from its rarest term.
+   document has cannot occur; any other window is searched from its two rarest terms.
 2. Store the postings (term, document, position) of those rarest terms. A posting proposes an
-   alignment of the item with the document: the difference of both positions.
+   alignment of the item with the document: the difference of both positions. Alignments that two
+   rarest terms propose go on.
 3. Intersect the position lists of all the item's terms, each shifted by its offset, at those
    alignments. Runs of consecutive terms as long as the window are exact occurrences.
 
@@ -20,6 +21,8 @@ from tidewatch.llm.common import lower_ascii, row_key, texts
 from tidewatch.sources.layers import settle
 
 WINDOW = 10
+#: Rarest words of a window that propose an alignment together.
+ANCHORS = 2
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -63,25 +66,27 @@ def occurrences(
         asked.join(settle(counts, "term-counts"), "term", "left").withColumn("n", F.coalesce("n", F.lit(0))), "benchmark-counted"
     )
 
-    # Every window's rarest word, found inside the item's own rows.
+    # Every window's rarest words, found inside the item's own rows.
     ahead = Window.partitionBy("item").orderBy("q").rowsBetween(0, window - 1)
-    windows = asked.select(
-        "item", "q", "length", F.min(F.struct("n", "q", "term")).over(ahead).alias("rarest")
-    ).filter((F.col("q") == 0) | (F.col("q") + window <= F.col("length")))
+    rarest = F.slice(F.array_sort(F.collect_list(F.struct("n", "q", "term")).over(ahead)), 1, ANCHORS)
+    windows = asked.select("item", "q", "length", rarest.alias("rarest")).filter(
+        (F.col("q") == 0) | (F.col("q") + window <= F.col("length"))
+    )
+    windows = windows.filter(F.col("rarest")[0]["n"] > 0)
     if slack:
-        anchors = asked.filter("n > 0").select("item", F.col("q").alias("anchor"), "term")
+        anchors = asked.filter("n > 0").select("item", F.col("q").alias("anchor"), "term", F.lit(1).alias("need"))
     else:
-        anchors = (
-            windows.filter(F.col("rarest.n") > 0)
-            .select("item", F.col("rarest.q").alias("anchor"), F.col("rarest.term").alias("term"))
-            .dropDuplicates()
+        anchors = windows.select("item", F.size("rarest").alias("need"), F.explode("rarest").alias("r"))
+        anchors = anchors.groupBy("item", F.col("r.q").alias("anchor"), F.col("r.term").alias("term")).agg(
+            F.min("need").alias("need")
         )
     anchors = settle(anchors, "benchmark-anchors")
     index = settle(postings(rows, anchors.select("term").distinct()), "postings")
-    shifts = settle(
-        index.join(anchors, "term").select("key", "item", (F.col("pos") - F.col("anchor")).alias("shift")).dropDuplicates(),
-        "alignments",
+    # An alignment needs as many anchors in their places as a window has; an item has few of them.
+    met = index.join(anchors, "term").groupBy("key", "item", (F.col("pos") - F.col("anchor")).alias("shift")).agg(
+        F.size(F.collect_set("anchor")).alias("met"), F.min("need").alias("need")
     )
+    shifts = settle(met.filter(F.col("met") >= F.col("need")).select("key", "item", "shift"), "alignments")
 
     expected = shifts.join(asked.select("item", "item_id", "q", "length", "term"), "item")
     expected = expected.withColumn("pos", F.col("q") + F.col("shift"))
