@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -42,7 +42,7 @@ _CODED = pa.schema(
 _ANSWER = pa.schema([("route", pa.int64()), ("part", pa.int64()), ("sizes", pa.binary()), ("ids", pa.binary())])
 ZSTD_LEVEL = 1
 #: Text bytes of a block: larger blocks repeat fewer words, and each must fit in a worker.
-BLOCK_TEXT = 8 << 20
+BLOCK_TEXT = 4 << 20
 #: Distinct words of one part, and text bytes for each word of a block.
 PART_WORDS, WORD_BYTES = 250_000, 50
 
@@ -211,6 +211,15 @@ def id_lists(ids: pa.Array) -> Iterator[list[int]]:
         yield values[start:end].tolist()
 
 
+def decoder(vocabulary: str) -> Callable[[list[int]], bytes]:
+    """Joins the bytes of ids, by a table with one entry per token."""
+    ranks = read_ranks(vocabulary)
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return lambda ids: b"".join(map(table.__getitem__, ids))
+
+
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """The input with a column `decoded` (binary): the bytes of the ids joined, by the token table.
 
@@ -220,12 +229,9 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
     schema = encoded.select(*columns).schema.add("decoded", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(vocabulary)
-        table = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            table[rank] = token
+        joined = decoder(vocabulary)
         for batch in batches:
-            out = [b"".join(map(table.__getitem__, row)) for row in id_lists(batch.column(ids_col))]
+            out = [joined(row) for row in id_lists(batch.column(ids_col))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"]
             )
@@ -233,21 +239,27 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
     return encoded.select(*columns).mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256, and `ids` if wanted."""
+def round_trip_digests(encoded: DataFrame, vocabulary: str, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256, and `ids` if wanted.
+
+    Decodes the ids as `decode` does and hashes the bytes where they are, so texts stay in the worker.
+    """
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
+        joined = decoder(vocabulary)
         for batch in batches:
             ids = batch.column("ids")
-            joined = [sha256(",".join(map(str, row)).encode()).hexdigest() for row in id_lists(ids)]
-            plain = [sha256(row).hexdigest() for row in batch.column("decoded").to_pylist()]
+            listed, plain = [], []
+            for row in id_lists(ids):
+                listed.append(sha256(",".join(map(str, row)).encode()).hexdigest())
+                plain.append(sha256(joined(row)).hexdigest())
             columns = {
                 "doc_id": batch.column("doc_id"), "n_tokens": pc.list_value_length(ids).cast(pa.int64()),
-                "ids_sha256": pa.array(joined, pa.string()), "decoded_sha256": pa.array(plain, pa.string()),
+                "ids_sha256": pa.array(listed, pa.string()), "decoded_sha256": pa.array(plain, pa.string()),
             } | ({"ids": ids} if keep_ids else {})
             yield pa.RecordBatch.from_pydict(columns)
 
-    return decoded.select("doc_id", "ids", "decoded").mapInArrow(run, fields)
+    return encoded.select("doc_id", "ids").mapInArrow(run, fields)

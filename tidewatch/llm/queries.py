@@ -34,7 +34,7 @@ def _(spark, sf):
 @query("op2_bpe_round_trip")
 def _(spark, sf):
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf, "documents"), vocabulary), vocabulary))
+    return bpe.round_trip_digests(bpe.encode(table(spark, sf, "documents"), vocabulary), vocabulary)
 
 
 @query("op3_substring_dedup")
