@@ -65,6 +65,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK_BYT
                     held.append(batch.slice(start, i - start))
                 yield pa.Table.from_batches(held)
                 held, held_bytes, start = [], 0, i
+                # What the last block took goes back to the machine, which other workers share.
+                pa.default_memory_pool().release_unused()
             held_bytes += int(n)
         if start < batch.num_rows:
             held.append(batch.slice(start))
