@@ -17,11 +17,12 @@ where a section is the compressed byte planes of its u32 numbers. Symbols below
 
 from __future__ import annotations
 
+import json
 import os
 import struct
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,20 +40,26 @@ MAGIC = b"RPG1"
 HEADER = struct.Struct("<4sIII4I")
 END = 1
 FIRST_RULE = 1 << 17
-ROUNDS = 4
+ROUNDS = 3
 RULES_A_ROUND = 4096
 LEAST_COUNT = 8
-BLOCK_TEXT = 8 << 20
-CACHE_CHUNKS, CACHE_WORDS = 400_000, 300_000
+BLOCK_TEXT = 4 << 20
+CACHE_CHUNKS, CACHE_WORDS = 250_000, 150_000
 #: The vocabulary's split of normalized text, and where its lower-casing and
 #: composition of letters begin to need the library.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 COMPOSING = "\u0300"
-_BUCKETS = 1 << 21
+WORD_END = b"\xff"
+_BUCKETS = 1 << 20
 
 
 def _bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((left * np.int64(0x9E3779B1) + right * np.int64(0x85EBCA77)) >> np.int64(7)) & np.int64(_BUCKETS - 1)
+    mixed = left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)
+    return (mixed >> np.uint32(12)).astype(np.int32)
+
+
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left.astype(np.int64) << np.int64(32) | right
 
 
 def _frequent(left: np.ndarray, right: np.ndarray, bucket: np.ndarray) -> np.ndarray:
@@ -60,7 +67,7 @@ def _frequent(left: np.ndarray, right: np.ndarray, bucket: np.ndarray) -> np.nda
     counts = np.bincount(bucket, minlength=_BUCKETS)
     least = max(LEAST_COUNT, int(np.partition(counts, -RULES_A_ROUND)[-RULES_A_ROUND]))
     often = counts[bucket] >= least
-    codes, exact = np.unique(left[often] << np.int64(32) | right[often], return_counts=True)
+    codes, exact = np.unique(_pair(left[often], right[often]), return_counts=True)
     codes, exact = codes[exact >= LEAST_COUNT], exact[exact >= LEAST_COUNT]
     if len(codes) > RULES_A_ROUND:
         codes = codes[np.lexsort((codes, -exact))[:RULES_A_ROUND]]
@@ -69,7 +76,7 @@ def _frequent(left: np.ndarray, right: np.ndarray, bucket: np.ndarray) -> np.nda
 
 def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (n, 2), symbols and the end of each document in the symbols. `ends` are those in the ids."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.int32)
     last = np.zeros(len(symbols), bool)
     last[ends[ends > 0] - 1] = True
     rules: list[np.ndarray] = []
@@ -84,9 +91,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> tuple[n
         if not len(codes):
             break
         chosen = np.zeros(_BUCKETS, bool)
-        chosen[_bucket(codes >> 32, codes & 0xFFFFFFFF)] = True
+        chosen[_bucket((codes >> 32).astype(np.int32), (codes & 0xFFFFFFFF).astype(np.int32))] = True
         maybe = np.flatnonzero(chosen[bucket])
-        code = left[maybe] << np.int64(32) | right[maybe]
+        code = _pair(left[maybe], right[maybe])
         at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
         same = codes[at] == code
         places, at = inside[maybe[same]], at[same]
@@ -96,7 +103,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> tuple[n
         places, at = places[nth % 2 == 0], at[nth % 2 == 0]
         used, inverse = np.unique(at, return_inverse=True)
         rules.append(np.stack([codes[used] >> 32, codes[used] & 0xFFFFFFFF], 1))
-        symbols[places] = next_rule + inverse
+        symbols[places] = (next_rule + inverse).astype(np.int32)
         last[places] = last[places + 1]
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
@@ -174,13 +181,40 @@ def read_shard(payload: bytes) -> Shard:
     return Shard(symbols, offsets, lengths, starts, expanded)
 
 
+def word_merger(vocabulary: str) -> Callable[[bytes], list[int]]:
+    """Merges of a word's bytes and WORD_END by the vocabulary's ranks.
+
+    The ids of the vocabulary rise with its merges, which is checked, and byte 255 is in no UTF-8
+    text, so that it can stand for the end of a word.
+    """
+    import tiktoken
+
+    with open(vocabulary) as f:
+        read = json.load(f)
+    model = read["model"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    first = model["vocab"]["".join(pairs[0])]
+    if any(model["vocab"]["".join(pair)] != first + i for i, pair in enumerate(pairs)):
+        raise ValueError("the ids of the vocabulary do not follow its merges")
+    of_letter = {letter: byte for byte, letter in byte_letters().items()}
+    suffix = model["end_of_word_suffix"]
+    special = {t["content"] for t in read["added_tokens"]}
+    ranks = {}
+    for token, rank in model["vocab"].items():
+        if token not in special:
+            ends = token.endswith(suffix) and token != suffix
+            plain = token.removesuffix(suffix) if ends else token
+            ranks[bytes([of_letter[c] for c in plain]) + WORD_END * ends] = rank
+    return tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 class ChunkEncoder:
     """Ids of texts from the vocabulary's library, called once per distinct word.
 
     The vocabulary's own split never joins what a blank or line feed separates, and its normalizer
     drops them, so the ids of a text are those of its chunks one after the other. Chunks of the
-    first alphabets are normalized and split here and their words merged by the library's model;
-    all others, and special strings, go through the library whole.
+    first alphabets are lower-cased and split here and their words merged by rank, with a byte that
+    no text has for the end of a word; all others, and special strings, go through the library whole.
     """
 
     def __init__(self, vocabulary: str):
@@ -192,8 +226,7 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.split = regex.compile(WORD_PATTERN).findall
-        letters = byte_letters()
-        self.letters = [letters[b] for b in range(256)]
+        self.merged = word_merger(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, list[int]] = {}
         self._clear()
@@ -202,32 +235,36 @@ class ChunkEncoder:
         self.numbers: dict[str, int] = {"": 0}
         self.sizes, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        if max(chunk) >= COMPOSING or any(s in chunk for s in self.special):
+    def chunk_ids(self, chunk: str, special: bool) -> list[int]:
+        """`special` says that some text of the block has a special string."""
+        if not (chunk.isascii() or max(chunk) < COMPOSING) or special and any(s in chunk for s in self.special):
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        lowered = chunk.lower()
+        if lowered.isalpha():
+            return self.words.get(lowered) or self.word_ids(lowered)
         out: list[int] = []
-        for word in self.split(unicodedata.normalize("NFC", chunk).lower()):
-            ids = self.words.get(word)
-            if ids is None:
-                if len(self.words) > CACHE_WORDS:
-                    self.words.clear()
-                mapped = "".join([self.letters[b] for b in word.encode()])
-                ids = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-            out += ids
+        for word in self.split(lowered):
+            out += self.words.get(word) or self.word_ids(word)
         return out
 
+    def word_ids(self, word: str) -> list[int]:
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        ids = self.words[word] = self.merged(word.encode() + WORD_END)
+        return ids
+
     def encode(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and each text's end."""
         if len(self.numbers) > CACHE_CHUNKS:
             self._clear()
         split = [t.replace("\n", " ").split(" ") for t in listed]
-        new = list({c for chunks in split for c in chunks}.difference(self.numbers))
+        new = list(set().union(*split).difference(self.numbers))
         if new:
-            new.sort()
-            found = [self.chunk_ids(c) for c in new]
+            special = any(s in text for text in listed for s in self.special)
+            found = [self.chunk_ids(c, special) for c in new]
             self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
             self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(found))])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int64)])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int64)])
         starts = np.cumsum(self.sizes) - self.sizes
         known = self.numbers.__getitem__
         parts, ends, total = [], [], 0
