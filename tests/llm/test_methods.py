@@ -134,3 +134,25 @@ def test_native_plans(spark):
     for df in (secrets.digest(secrets.scan(docs)), decontam.contamination(docs, items)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def _templated(rng, n, share, size=120):
+    """Texts that have `share` of their words, at the front, in common."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    front = [word() for _ in range(round(size * share))]
+    return [" ".join(front + [word() for _ in range(size - len(front))]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("share", [0.75, 0.83, 0.88, 0.9])
+def test_only_similar_sets_are_linked(spark, share):
+    rng = random.Random(13)
+    texts = dict(enumerate(_templated(rng, 30, share) + _templated(rng, 3, 0.5)))
+    for i in range(0, 30, 3):
+        words = texts[i].split()
+        words[rng.randrange(5, 100)] = "other"
+        texts[100 + i] = " ".join(words)
+    sets = {i: brute.shingle_set(t) for i, t in texts.items()}
+    want = brute.groups(list(sets), lambda a, b: brute.jaccard(sets[a], sets[b]) >= 0.8)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert got == want
