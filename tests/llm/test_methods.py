@@ -156,3 +156,18 @@ def test_only_similar_sets_are_linked(spark, share):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert got == want
+
+
+def test_bands_propose_what_is_similar_at_any_table_size():
+    bands = simhash.Bands(0.8)
+    rng = np.random.default_rng(1)
+    missed = 0
+    for union in [45, 450] * 1500:
+        u = rng.integers(0, 1 << 63, union, dtype=np.uint64)
+        both, half = round(0.8 * union), round(0.9 * union)
+        one, other = (
+            np.frombuffer(bands.signature(np.unique(s)), np.uint8)[None] for s in (u[:half], np.concatenate([u[:both], u[half:]]))
+        )
+        found = (bands.keys(one) == bands.keys(other)).any() and bands.near(one[0, bands.head :], other[:, bands.head :])[0]
+        missed += not found
+    assert missed <= 4
