@@ -217,3 +217,16 @@ def test_repeated_rows(spark, items):
     assert [r["n_items"] for r in decontam.contamination(twice, items).filter("doc_id = 1").collect()] == [1, 1]
     assert count(decontam.clean(twice, items), 1) == 0
     assert count(secrets.scan(twice), 3) == 3
+
+
+def test_variants_of_very_long_lines(spark):
+    rng = random.Random(5)
+    line = "".join(rng.choices("abcdefgh é", k=100_000)).strip()
+    other = line[:70_000] + "#" + line[70_001:]
+    two = other[:80_000] + "#" + other[80_001:]
+    again = line[:30_000] + line[30_001:]
+    hashes, places = lines._variants(line, True, True)
+    assert hashes.nbytes + places.nbytes < 4_000_000 and len(set(hashes.tolist())) > 80_000
+    rows = [(1, line), (2, other), (3, two), (4, again)]
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: r["_n_removed"] for i, r in got.items()} == {1: 0, 2: 1, 3: 1, 4: 1}

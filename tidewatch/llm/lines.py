@@ -30,6 +30,11 @@ from tidewatch.llm.decontam import row_key_of
 #: Shorter lines are duplicates only if they are equal.
 LEAST_CHARS = 20
 BLOCK_TEXT = 4 << 20
+#: Characters of the lines whose variants are hashed together; a longer line stands alone.
+SLICE_CHARS = 1 << 18
+#: Primes and bases of the variants' hashes.
+MODULI = ((2147483647, 1103515245), (2147483629, 1664525033))
+_LENGTH = np.uint64(0x9E3779B97F4A7C15)
 #: Rows that one task of a join compares, and text bytes per line that size the number of tasks.
 JOIN_ROWS, LINE_BYTES = 500_000, 300
 
@@ -113,16 +118,65 @@ def _halves(line: str) -> tuple[bytes, ...]:
     )
 
 
-def _variants(line: str, first_half: bool, second_half: bool) -> tuple[list[bytes], list[int]]:
-    """The line itself at place 0, and at place p + 1 the line without character p.
+def _powers(p: int, base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1) modulo p."""
+    out = np.ones(max(n, 1), np.uint64)
+    have, last = 1, base
+    while have < n:
+        out[have : 2 * have] = out[: min(have, n - have)] * np.uint64(last) % np.uint64(p)
+        have, last = 2 * have, last * last % p
+    return out
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
 
-    A shared first half leaves deletions in the second one, and the other way round.
+def _hashed(listed: list[str], low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place and number of each line (place 0) and of the line without character p (place p + 1), low <= p < high.
+
+    A line's hash is a polynomial of its characters modulo two primes, mixed with its length; without a
+    character it is the sum before that place and the sum behind it, moved by one power. So memory
+    follows the characters, however many variants a line has.
     """
+    sizes = np.array([len(s) for s in listed], np.int64)
+    chars = np.frombuffer("".join(listed).encode("utf-32-le", "surrogatepass"), np.uint32)
+    start = np.cumsum(sizes) - sizes
+    number = np.repeat(np.arange(len(listed), dtype=np.int64), sizes)
+    at = np.arange(len(chars)) - start[number]
+    wanted = np.flatnonzero((at >= low[number]) & (at < high[number]))
+    line, place = number[wanted], at[wanted]
+    whole = np.zeros(len(listed), np.uint64)
+    cut = np.zeros(len(wanted), np.uint64)
+    for p, base in MODULI:
+        prime = np.uint64(p)
+        terms = (chars.astype(np.uint64) + np.uint64(1)) * _powers(p, base, int(sizes.max()))[at] % prime
+        # Sums of fewer than 2 ** 32 terms under 2 ** 31 stay under 2 ** 63.
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+        before = sums[wanted] - sums[start][line]
+        behind = (sums[start + sizes][line] - sums[wanted + 1]) % prime
+        cut = cut << np.uint64(31) | (before + behind * np.uint64(pow(base, -1, p))) % prime
+        whole = whole << np.uint64(31) | (sums[start + sizes] - sums[start]) % prime
+    length = sizes.astype(np.uint64) * _LENGTH
+    return (
+        np.concatenate([_mixed(whole ^ length), _mixed(cut ^ (length[line] - _LENGTH))]),
+        np.concatenate([np.zeros(len(listed), np.int64), place + 1]),
+        np.concatenate([np.arange(len(listed)), line]),
+    )
+
+
+def _left(line: str, first_half: bool, second_half: bool) -> tuple[int, int]:
+    """Range of deletions: a shared first half leaves those in the second one, and the other way round."""
     n = len(line)
-    low = 0 if second_half else (n - 1) // 2
-    high = n if first_half else max(n // 2, (n - 1) // 2 + 1)
-    places = range(low, high)
-    return [line.encode(), *[(line[:p] + line[p + 1 :]).encode() for p in places]], [0, *[p + 1 for p in places]]
+    return 0 if second_half else (n - 1) // 2, n if first_half else max(n // 2, (n - 1) // 2 + 1)
+
+
+def _variants(line: str, first_half: bool, second_half: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the line itself at place 0, and at place p + 1 of the line without character p."""
+    low, high = _left(line, first_half, second_half)
+    return _hashed([line], np.array([low]), np.array([high]))[:2]
 
 
 def _ask(block: Lines, kind: int, hashes: np.ndarray, tails: np.ndarray, at: np.ndarray, bits: int, line: np.ndarray) -> list:
@@ -260,19 +314,27 @@ def _ask_variants(table: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
     shared: dict[int, int] = {}
     for code in _told(answers, HALF).tolist():
         shared[code >> 2] = shared.get(code >> 2, 0) | 1 << (code & 1)
-    digest = xxhash.xxh3_64_digest
-    raw, places, line = [], [], []
-    for i, halves in shared.items():
-        if i not in later:
-            contents, at = _variants(block.listed[i], bool(halves & 1), bool(halves & 2))
-            raw += [digest(c) for c in contents]
-            places += at
-            line += [i] * len(at)
-    if not raw:
-        return pa.Table.from_pylist([], _ASKED)
-    line = np.array(line)
-    hashes = np.frombuffer(b"".join(raw), ">u8").astype(np.uint64)
-    return pa.Table.from_pylist(_ask(block, VARIANT, hashes, np.array(places), line, bits, line), _ASKED)
+    asked: list[dict] = []
+    held: list[int] = []
+    chars = 0
+
+    def ask() -> None:
+        left = np.array([_left(block.listed[i], bool(shared[i] & 1), bool(shared[i] & 2)) for i in held])
+        hashes, places, of = _hashed([block.listed[i] for i in held], left[:, 0], left[:, 1])
+        line = np.array(held)[of]
+        asked.extend(_ask(block, VARIANT, hashes, places, line, bits, line))
+
+    for i in shared:
+        if i in later:
+            continue
+        if held and chars + len(block.listed[i]) > SLICE_CHARS:
+            ask()
+            held, chars = [], 0
+        held.append(i)
+        chars += len(block.listed[i])
+    if held:
+        ask()
+    return pa.Table.from_pylist(asked, _ASKED)
 
 
 def dedup_lines(
