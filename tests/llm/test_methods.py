@@ -171,3 +171,24 @@ def test_bands_propose_what_is_similar_at_any_table_size():
         found = (bands.keys(one) == bands.keys(other)).any() and bands.near(one[0, bands.head :], other[:, bands.head :])[0]
         missed += not found
     assert missed <= 4
+
+
+def test_a_block_asks_twice_at_most_about_a_shared_half():
+    import pyarrow as pa
+
+    def table(block, lo, hi):
+        texts = ["\n".join(f"price of the usual item, on day {i:06d}" for i in range(lo, hi)), "a line of its own that nobody has"]
+        n = len(texts)
+        return pa.table({"_id": [block * 10 + i for i in range(n)], "_key": list(range(n)), "_text": texts, "_block": [block] * n})
+
+    tables = [table(b, 3000 * b, 3000 * (b + 1)) for b in range(3)]
+    asked = pa.concat_tables([lines._ask_lines(t, 0, 20) for t in tables])
+    halves = asked.filter(pa.compute.equal(asked["kind"], lines.HALF))
+    hashes = np.concatenate([np.frombuffer(h, np.uint64) for h in halves["hashes"].to_pylist()])
+    assert np.unique(hashes, return_counts=True)[1].max() <= 2 * len(tables)
+    answers = lines._compare(halves)
+    for t in tables:
+        own = answers.filter(pa.compute.equal(answers["block"], t["_block"][0]))
+        block = lines._lines(t)
+        shared = lines._shared(block, lines._told(own, lines.HALF), 20)
+        assert set(shared) == set(range(3000)) and all(s & 1 for s in shared.values())

@@ -10,7 +10,8 @@ Lines of one edit share their first or their second half. Only lines that share
 another line of about their length emit variants, and only with deletions in the other half.
 
 Texts are dealt into blocks by a hash of the document. A block asks about each of its distinct
-lines once; the line that stands in a third of all documents is one row per block.
+lines once; the line that stands in a third of all documents is one row per block. It asks about
+each distinct half once too, naming two of the lines at most that have it, as two prove it shared.
 """
 
 from __future__ import annotations
@@ -204,20 +205,35 @@ def _ask(block: Lines, kind: int, hashes: np.ndarray, tails: np.ndarray, at: np.
     return out
 
 
-def _ask_lines(table: pa.Table, bits: int, least_chars: int) -> pa.Table:
+def _half_hashes(block: Lines, least_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of halves in order; and for four halves of each long line, the line and the number of the hash."""
     import xxhash
 
+    long = [i for i, s in enumerate(block.listed) if len(s) >= least_chars]
+    digest = xxhash.xxh3_64_digest
+    raw = b"".join([digest(h) for i in long for h in _halves(block.listed[i])])
+    hashes, number = np.unique(np.frombuffer(raw, ">u8").astype(np.uint64), return_inverse=True)
+    return hashes, np.repeat(np.array(long, np.int64), 4), number
+
+
+def _two_of_each(number: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """Rows that give the first two differing tails of each number."""
+    order = np.lexsort((tails, number))
+    order = order[_starts(number[order], tails[order])]
+    own = number[order]
+    second = np.concatenate([np.zeros(min(2, len(own)), bool), own[2:] == own[:-2]])
+    return order[~second]
+
+
+def _ask_lines(table: pa.Table, bits: int, least_chars: int) -> pa.Table:
     block = _lines(table)
     every = np.arange(len(block.listed))
     asked = _ask(block, EQUAL, block.hashes, block.tails, every, bits, every)
-    long = [i for i, s in enumerate(block.listed) if len(s) >= least_chars]
-    if long:
-        digest = xxhash.xxh3_64_digest
-        raw = b"".join([digest(h) for i in long for h in _halves(block.listed[i])])
-        hashes = np.frombuffer(raw, ">u8").astype(np.uint64)
-        line = np.repeat(np.array(long), 4)
-        at = line * 4 + np.tile(np.arange(4), len(long))
-        asked += _ask(block, HALF, hashes, block.tails[line], at, bits, line)
+    hashes, line, number = _half_hashes(block, least_chars)
+    if len(line):
+        sent = _two_of_each(number, block.tails[line])
+        line, number = line[sent], number[sent]
+        asked += _ask(block, HALF, hashes[number], block.tails[line], number, bits, line)
     return pa.Table.from_pylist(asked, _ASKED)
 
 
@@ -304,16 +320,22 @@ def _told(answers: pa.Table, kind: int) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int32)
 
 
-def _ask_variants(table: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
-    import xxhash
+def _shared(block: Lines, told: np.ndarray, least_chars: int) -> dict[int, int]:
+    """Lines that have one of the told halves: 1 if a first one, 2 if a second, 3 if both."""
+    _, line, number = _half_hashes(block, least_chars)
+    which = np.tile(np.array([1, 2, 1, 2]), len(line) // 4)
+    halves = np.zeros(len(block.listed), np.int64)
+    hit = np.isin(number, told)
+    np.bitwise_or.at(halves, line[hit], which[hit])
+    return {i: int(halves[i]) for i in np.flatnonzero(halves).tolist()}
+
 
+def _ask_variants(table: pa.Table, answers: pa.Table, bits: int, least_chars: int) -> pa.Table:
     if not table.num_rows:
         return pa.Table.from_pylist([], _ASKED)
     block = _lines(table)
     later = set(_told(answers, EQUAL).tolist())
-    shared: dict[int, int] = {}
-    for code in _told(answers, HALF).tolist():
-        shared[code >> 2] = shared.get(code >> 2, 0) | 1 << (code & 1)
+    shared = _shared(block, _told(answers, HALF), least_chars)
     asked: list[dict] = []
     held: list[int] = []
     chars = 0
@@ -371,7 +393,7 @@ def dedup_lines(
         return _ask_lines(table, bits, least_chars)
 
     def ask_variants(table: pa.Table, answers: pa.Table) -> pa.Table:
-        return _ask_variants(table, answers, bits)
+        return _ask_variants(table, answers, bits, least_chars)
 
     schema = T.StructType(
         [T.StructField("_others", dealt.schema["_others"].dataType), T.StructField("_text", T.StringType()),
