@@ -211,3 +211,70 @@ def secrets(text: str) -> tuple:
         spans += own
         counts.append(len(own))
     return counts, ",".join(f"{name}:{a}:{b}" for a, _, b, name in sorted(spans))
+
+
+def alignment(texts: dict) -> dict:
+    """id -> (n_a, n_b, n_groups, n_links, n_best, count_sum, groups), from every pair of tokens that overlap."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    first = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    first.encode_special_tokens = True
+    second = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+    def spans(pieces):
+        ends = np.cumsum([len(p) for p in pieces]).tolist()
+        return list(zip([0, *ends[:-1]], ends, strict=True)) if pieces else []
+
+    def piece_bytes(i):
+        if second.is_byte(i):
+            return bytes([int(second.id_to_piece(i)[3:5], 16)])
+        return b"" if second.is_control(i) or second.is_unknown(i) else second.id_to_piece(i).replace("\u2581", " ").encode()
+
+    found, linked = {}, collections.Counter()
+    for i, text in texts.items():
+        a = first.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = second.encode(text) if text else []
+        bytes_a = [bytes(letters[c] for c in first.id_to_token(x)) for x in a]
+        bytes_b = [piece_bytes(x) for x in b]
+        if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+            a, b, bytes_a, bytes_b = [], [], [], []
+        at_a, at_b = spans(bytes_a), spans(bytes_b)
+        cuts = sorted({e for _, e in at_a} & {e for _, e in at_b})
+        links, j = [], 0
+        for x, (start, end) in zip(a, at_a, strict=True):
+            while at_b[j][1] <= start:
+                j += 1
+            k = j
+            while k < len(at_b) and at_b[k][0] < end:
+                links.append((x, b[k]))
+                k += 1
+        said, start = [], 0
+        inside = lambda ids, at, s, e: ",".join(str(x) for x, (_, stop) in zip(ids, at, strict=True) if s < stop <= e)
+        if len(cuts) < 3000:
+            for end in cuts:
+                said.append(inside(a, at_a, start, end) + "|" + inside(b, at_b, start, end))
+                start = end
+        linked.update(set(links))
+        found[i] = (len(a), len(b), len(cuts), links, ";".join(said) if len(cuts) < 3000 else None)
+    most = collections.defaultdict(int)
+    for (x, _), n in linked.items():
+        most[x] = max(most[x], n)
+    return {
+        i: (n_a, n_b, n_cuts, len(links), sum(linked[p] == most[p[0]] for p in links), sum(linked[p] for p in links), said)
+        for i, (n_a, n_b, n_cuts, links, said) in found.items()
+    }
+
+
+def exact(texts: list) -> list:
+    """(id, text) in input order -> (id, keep_id, group_size, kept, sha) of each; the largest id stays."""
+    groups = collections.defaultdict(list)
+    for place, (i, text) in enumerate(texts):
+        groups[text or ""].append((i is not None, i or 0, -place, i))
+    out = []
+    for place, (i, text) in enumerate(texts):
+        stays = max(groups[text or ""])
+        out.append((i, stays[3], len(groups[text or ""]), -stays[2] == place, sha((text or "").encode())))
+    return out

@@ -106,3 +106,20 @@ def test_secrets(spark, texts):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == counts
         assert r["base_sha256"] == brute.sha(spans.encode())
         assert set(spans.split(",")) <= set(r["spans"].split(","))
+
+
+def test_token_alignment(spark, texts):
+    got = rows(spark, "op11_token_alignment")
+    assert set(got) == set(texts)
+    for i, (*numbers, said) in brute.alignment(texts).items():
+        r = got[i]
+        assert [r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["n_best"], r["count_sum"]] == numbers
+        if said is not None:
+            assert r["groups_sha256"] == (brute.sha(said.encode()) if said else "")
+
+
+def test_exact_dedup(spark, texts):
+    got = rows(spark, "op13_exact_dedup")
+    for i, keep_id, size, kept, digest in brute.exact(list(texts.items())):
+        r = got[i]
+        assert (r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) == (keep_id, size, kept, digest)

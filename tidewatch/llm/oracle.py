@@ -91,9 +91,16 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN told ON d.doc_id = told.doc_id"""
 
 
+EXACT = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
 ORACLE = {
     "op3_substring_dedup": SUBSTRINGS,
     "op4_line_dedup": LINES,
     "op9_decontamination": DECONTAMINATION,
     "op10_secret_scan": _secrets(),
+    "op13_exact_dedup": EXACT,
 }

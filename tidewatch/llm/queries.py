@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, classifier, decontam, grammar, lines, rules, secrets, simhash, substrings, token_count
+from tidewatch.llm import align, bpe, classifier, decontam, exact, grammar, lines, rules, secrets, simhash, substrings, token_count
 from tidewatch.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,14 @@ def _(spark, sf):
 @query("op10_secret_scan")
 def _(spark, sf):
     return secrets.digest(secrets.scan(table(spark, sf, "documents")))
+
+
+@query("op11_token_alignment")
+def _(spark, sf):
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, sf, "documents"), *files)
+
+
+@query("op13_exact_dedup")
+def _(spark, sf):
+    return exact.groups(table(spark, sf, "documents"), keep="largest")
