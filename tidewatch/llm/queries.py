@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import align, bpe, classifier, decontam, exact, grammar, lines, rules, secrets, simhash, substrings, token_count
+from tidewatch.llm import align, bpe, classifier, decontam, exact, grammar, hard_negatives, lines, rules, secrets, simhash, substrings, token_count
 from tidewatch.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def _(spark, sf):
     return align.align(table(spark, sf, "documents"), *files)
 
 
+@query("op12_hard_negatives")
+def _(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings").withColumn("label", moved))
+
+
 @query("op13_exact_dedup")
 def _(spark, sf):
     return exact.groups(table(spark, sf, "documents"), keep="largest")
