@@ -304,3 +304,33 @@ def test_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(Fake, "x")
+
+
+def test_correlation_of_a_constant_column_is_not_a_number(spark):
+    from tidewatch.operators import evaluate
+
+    rows = [(1.0, 5.0, 2.0), (2.0, 5.0, 4.5), (3.0, 5.0, None)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    got = {(r["a"], r["b"]): r["corr"] for r in evaluate.correlation_matrix(df, ["x", "y", "z"]).collect()}
+    assert math.isnan(got["x", "y"]) and got["x", "z"] == 1.0
+    assert {r["corr"] for r in evaluate.correlation_matrix(df.filter("x > 9"), ["x", "y"]).collect()} == {None}
+
+
+def test_numbers_are_shown_from_their_binary_value(spark):
+    from tidewatch.functions.numeric import plain_number
+
+    shown = {1.005: "1.00", 0.125: "0.12", 0.375: "0.38", 2.675: "2.67", -0.001: "-0.00", 12345.678: "12345.68", 1.0: "1.00"}
+    df = spark.createDataFrame([(v,) for v in shown], "v double").select("v", plain_number(F.col("v")).alias("text"))
+    assert {r["v"]: r["text"] for r in df.collect()} == shown == {v: "%.2f" % v for v in shown}
+
+
+def test_exact_mean_does_not_follow_the_order_of_rows(spark):
+    from tidewatch.functions.numeric import exact_mean
+
+    # 99.833 / 80 is exactly between two millionths.
+    values = [0.1] * 40 + [2.395825] * 40
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for order in (df, df.orderBy("v").repartition(7), df.orderBy(F.desc("v")).coalesce(1)):
+        assert order.agg(exact_mean(F.col("v"))).first()[0] == 1.247913
+    assert df.filter("v is null").agg(exact_mean(F.col("v"))).first()[0] is None
+    assert spark.createDataFrame([(-1.5,), (-0.5,)], "v double").agg(exact_mean(F.col("v"), 0)).first()[0] == -1.0

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.functions.hashing import hash52
+from tidewatch.functions.numeric import exact_mean
 from tidewatch.operators.skew import running, salted_join, value_blocks
 from tidewatch.sources.layers import settle
 
@@ -124,7 +125,7 @@ def classification_metrics(
 def brier_score(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> DataFrame:
     df, groups = _grouped(df, by)
     gap = F.col(prob) - F.col(label)
-    return df.groupBy(*groups).agg(F.round(F.avg(gap * gap), 6).alias("brier_score")).select(*by, "brier_score")
+    return df.groupBy(*groups).agg(exact_mean(gap * gap).alias("brier_score")).select(*by, "brier_score")
 
 
 def calibration_bins(
@@ -227,8 +228,15 @@ def _pairwise(df: DataFrame, columns: Sequence[str], fn, out: str, diagonal: boo
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete correlations, one pass for all pairs."""
-    return _pairwise(df, columns, F.corr, "corr", diagonal=False)
+    """Pairwise-complete correlations, one pass for all pairs; not a number where a column is constant."""
+
+    def corr(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        spread = [F.stddev_pop(F.when(both, F.col(c).cast("double"))) for c in (a, b)]
+        found = F.try_divide(F.covar_pop(a, b), spread[0] * spread[1])
+        return F.when(F.count_if(both) > 0, F.coalesce(found, F.lit(float("nan"))))
+
+    return _pairwise(df, columns, corr, "corr", diagonal=False)
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch import config
 from tidewatch.functions import rules
 from tidewatch.functions.hashing import unit_uniform
+from tidewatch.functions.numeric import exact_mean
 from tidewatch.operators.joins import group_semi_join
 from tidewatch.operators.skew import salted_join
 from tidewatch.sources.layers import settle
@@ -93,7 +94,7 @@ def dp_group_mean(
     means = (
         df.filter(F.col(group).isNotNull())
         .groupBy(group)
-        .agg(F.count(F.lit(1)).alias("patient_count"), F.avg(x).alias("_mean"))
+        .agg(F.count(F.lit(1)).alias("patient_count"), exact_mean(x).alias("_mean"))
     )
     noise = (
         F.lit(0.0)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config
 from tidewatch.functions.hashing import salt
-from tidewatch.functions.numeric import round_half_up
+from tidewatch.functions.numeric import plain_number, round_half_up
 
 DEFAULT_TABLES = 5
 DEFAULT_BITS = 8
@@ -231,7 +231,7 @@ def twin_explanation(
 ) -> DataFrame:
     """A line of text per twin: compared values of both, and what became of the twin."""
     def shown(c: str) -> Column:
-        return F.when(F.col(c).isNull(), "nan").otherwise(F.format_string("%.2f", F.col(c).cast("double")))
+        return F.when(F.col(c).isNull(), "nan").otherwise(plain_number(F.col(c)))
 
     asked = queries.select(F.col(key).alias(query_key), *[shown(c).alias(f"q_{c}") for c in compared])
     found = history.select(key, *[shown(c).alias(f"t_{c}") for c in compared], target)

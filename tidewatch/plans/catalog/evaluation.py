@@ -8,7 +8,7 @@ from tidewatch.operators import evaluate
 from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures
 from tidewatch.plans.catalog import joining  # noqa: F401
-from tidewatch.plans.oracle import VIEWS
+from tidewatch.plans.oracle import VIEWS, exact_mean
 from tidewatch.plans.registry import query
 
 
@@ -69,7 +69,7 @@ def _(spark, sf):
     return evaluate.classification_metrics(_scores(spark, sf), "label", "pred")
 
 
-@query("brier_score", "SELECT round(avg((prob - label) ** 2), 6) AS brier_score FROM v_scores")
+@query("brier_score", f"SELECT {exact_mean('(prob - label) * (prob - label)')} AS brier_score FROM v_scores")
 def _(spark, sf):
     return evaluate.brier_score(_scores(spark, sf), "label", "prob")
 
@@ -140,10 +140,10 @@ FROM v_scored_people WHERE unittype IN ('BUILDING', 'MACHINERY')"""
 VIEWS["v_site_classes"] = classes("v_sites", "site")
 VIEWS["v_site_ranking"] = ranking("v_sites", "site")
 VIEWS["v_site_ece"] = calibration("v_sites", "site")
-VIEWS["v_cross_site"] = """
+VIEWS["v_cross_site"] = f"""
 SELECT c.*, r.auroc, r.auprc, b.brier_score, e.ece
 FROM v_site_classes c JOIN v_site_ranking r ON c.site = r.site
-JOIN (SELECT site, round(avg((prob - label) ** 2), 6) AS brier_score FROM v_sites GROUP BY site) b ON c.site = b.site
+JOIN (SELECT site, {exact_mean('(prob - label) * (prob - label)')} AS brier_score FROM v_sites GROUP BY site) b ON c.site = b.site
 JOIN v_site_ece e ON c.site = e.site"""
 
 
@@ -172,7 +172,7 @@ def _(spark, sf):
 @query("metrics_by_unit", f"""SELECT c.*, r.auroc, r.auprc, b.brier_score, e.ece
 FROM ({classes("(SELECT * FROM v_scored_people WHERE unittype IS NOT NULL)", "unittype")}) c
 JOIN ({ranking("(SELECT * FROM v_scored_people WHERE unittype IS NOT NULL)", "unittype")}) r ON c.unittype = r.unittype
-JOIN (SELECT unittype, round(avg((prob - label) ** 2), 6) AS brier_score FROM v_scored_people GROUP BY 1) b
+JOIN (SELECT unittype, {exact_mean('(prob - label) * (prob - label)')} AS brier_score FROM v_scored_people GROUP BY 1) b
   ON c.unittype = b.unittype
 JOIN ({calibration("(SELECT * FROM v_scored_people WHERE unittype IS NOT NULL)", "unittype")}) e ON c.unittype = e.unittype""")
 def _(spark, sf):

@@ -10,7 +10,7 @@ from tidewatch.plans import bindings as b
 from tidewatch.plans import fixtures
 from tidewatch.plans.catalog import joining, windows  # noqa: F401
 from tidewatch.plans.catalog.inputs import layer_database
-from tidewatch.plans.oracle import VIEWS, hash32
+from tidewatch.plans.oracle import VIEWS, exact_mean, hash32
 from tidewatch.plans.registry import query
 from tidewatch.plans.warehouse import Warehouse
 from tidewatch.sources import layers
@@ -369,10 +369,11 @@ def _(spark, sf):
     return privacy.group_size_tag(people).drop(*privacy.QUASI_IDENTIFIERS)
 
 
+CLIPPED = "CASE WHEN creatinine IS NOT NULL THEN greatest(least(creatinine, 5.0), 0.5) END"
 VIEWS["v_dp"] = f"""
 SELECT unittype, patient_count, mean, -((5.0 - 0.5) / 0.5 / patient_count) * sign(u) * ln(1 - 2 * abs(u)) AS noise
 FROM (SELECT unittype, count(*) AS patient_count,
-             avg(CASE WHEN creatinine IS NOT NULL THEN greatest(least(creatinine, 5.0), 0.5) END) AS mean,
+             {exact_mean(CLIPPED)} AS mean,
              ({hash32("unittype || '#42'")} + 0.5::DOUBLE) / 4294967296.0::DOUBLE - 0.5 AS u
       FROM v_training_people WHERE unittype IS NOT NULL GROUP BY unittype)"""
 
@@ -393,8 +394,7 @@ def _(spark, sf):
 
 @query(
     "dp_group_mean_without_noise",
-    """SELECT unittype, count(*) AS patient_count,
-         round(avg(CASE WHEN creatinine IS NOT NULL THEN greatest(least(creatinine, 5.0), 0.5) END), 6) AS dp_mean
+    f"""SELECT unittype, count(*) AS patient_count, {exact_mean(CLIPPED)} AS dp_mean
        FROM v_training_people WHERE unittype IS NOT NULL GROUP BY unittype""",
 )
 def _(spark, sf):

@@ -15,6 +15,15 @@ def hash32(text: str) -> str:
     return HASH32.format(text)
 
 
+def exact_mean(value: str, digits: int = 6) -> str:
+    """The mean as integer arithmetic over trillionths, rounded half up."""
+    step = 10 ** (12 - digits)
+    total, n = f"sum(round(({value}) * 1e12)::HUGEINT)::HUGEINT", f"(count({value})::HUGEINT * {step})"
+    twice = f"(2 * {total} + {n})"
+    down = f"({twice} - (({twice} % (2 * {n})) + 2 * {n}) % (2 * {n})) // (2 * {n})"
+    return f"CASE WHEN count({value}) > 0 THEN ({down})::DOUBLE / {float(10**digits)!r}::DOUBLE END"
+
+
 VIEWS: dict[str, str] = {}
 
 
