@@ -188,7 +188,7 @@ def test_twin_search_reads_its_own_buckets_only(spark):
         "id AS arrival", "3.0D AS creatinine", "1.0D AS baseline", "3.0D AS cr_ratio", "0.5D AS cr_delta_recent",
         "1.0D AS uo_ml_kg_hr_6h", "1.0D AS uo_ml_kg_hr_24h",
     )
-    found = twins.twins_of(events, index, moments, n_tables=3, n_bits=4)
+    found = twins.twins_of(events, twins.TwinIndex(index, moments, "row_key", 3, 4))
     plan = found._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "twin-index" in line and "FileScan" in line]
     assert len(scan) == 1 and scan[0].count("bucket#") >= 3 and "PartitionFilters: [" in scan[0]

@@ -43,6 +43,27 @@ def _urine_rate(history: Column, hours: int, weight: float, rate: str) -> Column
     return round_half_up(total / F.lit(weight * hours), 3)
 
 
+def creatinine_state(history: Column) -> Column:
+    """Level, baseline, ratio and rise of a creatinine history; nulls, but no rise, while it is empty."""
+    base = _median_first(history)
+    rise = round_half_up(_last(history) - F.get(history, F.size(history) - 2), 3)
+    return F.struct(
+        _last(history).alias("creatinine"),
+        base.alias("baseline"),
+        F.when(base != 0, round_half_up(F.try_divide(_last(history), base), 3)).alias("cr_ratio"),
+        F.when(F.size(history) >= 2, rise).otherwise(0.0).alias("cr_delta_recent"),
+    )
+
+
+def urine_state(history: Column, rate: str, weight: float) -> Column:
+    """Output per kg and hour over the last 6 and 24 readings; null while there is none."""
+    some = F.when(F.size(history) > 0, history)
+    return F.struct(
+        _urine_rate(some, 6, weight, rate).alias("uo_ml_kg_hr_6h"),
+        _urine_rate(some, 24, weight, rate).alias("uo_ml_kg_hr_24h"),
+    )
+
+
 def known_values(events: DataFrame) -> DataFrame:
     """A reading without a value counts as 0.0, in batch and stream alike."""
     value = F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
@@ -63,20 +84,7 @@ def measure_states(events: DataFrame, rate: str, weight: float, size: int) -> Da
     )
     window = skew.chunk_window(key).rowsBetween(1 - HISTORY, 0)
     history = skew.drop_halo(rows.withColumn("_history", F.collect_list("value").over(window)))
-    h = F.col("_history")
-    base = _median_first(h)
-    creatinine = F.struct(
-        _last(h).alias("creatinine"),
-        base.alias("baseline"),
-        F.when(base != 0, round_half_up(F.try_divide(_last(h), base), 3)).alias("cr_ratio"),
-        F.when(F.size(h) >= 2, round_half_up(_last(h) - F.get(h, F.size(h) - 2), 3))
-        .otherwise(0.0)
-        .alias("cr_delta_recent"),
-    )
-    urine = F.struct(
-        _urine_rate(h, 6, weight, rate).alias("uo_ml_kg_hr_6h"),
-        _urine_rate(h, 24, weight, rate).alias("uo_ml_kg_hr_24h"),
-    )
+    creatinine, urine = creatinine_state(F.col("_history")), urine_state(F.col("_history"), rate, weight)
     return history.select(
         *events.columns,
         F.when(F.col("measure") == "creatinine", creatinine).alias("_creatinine"),

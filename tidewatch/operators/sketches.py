@@ -54,24 +54,32 @@ def trailing_event_count(
     window and each is copied to the next block, so a frame never leaves its block: a block
     holds at most two windows of seconds, however many events they stand for.
     """
-    number = F.timestamp_diff("SECOND", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), F.col(time))
     per_second = (
         df.groupBy(*key, time)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_second", number)
-        .withColumn("_home", F.floor(F.col("_second") / seconds))
-        .withColumn("_part", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
-    )
-    w = Window.partitionBy(*key, "_part").orderBy("_second").rangeBetween(-seconds, 0)
-    counts = (
-        per_second.withColumn(out, F.sum("_n").over(w))
-        .filter(F.col("_part") == F.col("_home"))
-        .select(*key, time, out)
+        .withColumn("_second", second_of(F.col(time)))
     )
+    counts = trailing_totals(per_second, "_second", "_n", key, seconds, out).select(*key, time, out)
     # There are about as many counts as events; seconds spread them already.
     return df.join(counts, [*key, time])
 
 
+def second_of(time: Column) -> Column:
+    """Whole seconds of a time since 2000."""
+    return F.timestamp_diff("SECOND", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), time)
+
+
+def trailing_totals(
+    per_second: DataFrame, second: str, n: str, key: Sequence[str] = (), seconds: int = 3600, out: str = "events_1h"
+) -> DataFrame:
+    """Adds the total of `n` over the trailing window, given one row per key and second."""
+    home = F.floor(F.col(second) / seconds)
+    copied = per_second.withColumn("_home", home).withColumn("_part", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
+    w = Window.partitionBy(*key, "_part").orderBy(second).rangeBetween(-seconds, 0)
+    totals = copied.withColumn(out, F.sum(n).over(w)).filter(F.col("_part") == F.col("_home"))
+    return totals.select(*per_second.columns, out)
+
+
 def trailing_zeros(value: Column) -> Column:
     """Trailing zero bits of a hash's 32-bit value; null for 0."""
     h = hash32(value)
@@ -97,11 +105,14 @@ def distinct_estimate_running(
         F.min("a").alias("since")
     )
     steps = reached.filter(F.col("z").isNotNull()).agg(F.collect_list(F.struct("z", "since"))).scalar()
-    so_far = F.array_max(
-        F.transform(F.filter("_steps", lambda s: s["since"] <= F.col(arrival)), lambda s: s["z"])
-    )
-    estimate = F.pow(F.lit(2), F.coalesce(so_far, F.lit(0))).cast("bigint")
-    return df.withColumn("_steps", steps).withColumn(out, estimate).drop("_steps")
+    return df.withColumn("_steps", steps).withColumn(out, estimate_at("_steps", arrival)).drop("_steps")
+
+
+def estimate_at(steps: str, arrival: str) -> Column:
+    """The estimate at an arrival, given an array of (z, since): when each number of zeros was first reached."""
+    reached = F.filter(steps, lambda s: s["since"] <= F.col(arrival))
+    so_far = F.array_max(F.transform(reached, lambda s: s["z"]))
+    return F.pow(F.lit(2), F.coalesce(so_far, F.lit(0))).cast("bigint")
 
 
 def sliding_counts(

@@ -8,12 +8,15 @@ from tidewatch import config, schemas
 from tidewatch.operators import live, ml, similarity, sketches
 from tidewatch.plans import bindings as b
 from tidewatch.plans import cohort, fixtures
+from tidewatch.plans import live as live_plan
 from tidewatch.plans.catalog import live as live_catalog
-from tidewatch.plans.catalog import models
+from tidewatch.plans.catalog import models, quality, windows  # noqa: F401
 from tidewatch.plans.catalog import similarity as similar_catalog
-from tidewatch.plans.oracle import VIEWS
+from tidewatch.plans.oracle import VIEWS, hash32
 from tidewatch.plans.registry import query
 from tidewatch.session import work_dir
+from tidewatch.sources.layers import settle
+from tidewatch.streaming import live as stream_live
 from tidewatch.streaming import operators, sinks, sources, state, twins
 
 MAX_FILES = 64
@@ -147,19 +150,21 @@ VIEWS["v_event_hash"] = " UNION ALL ".join(
 )
 
 
-@query(
-    "stream_twins",
-    f"""SELECT t.arrival, t.rank, t.row_key AS twin_id, t.distance,
-          CASE WHEN h.{config.TARGET} = 1 THEN 'Stage 3 AKI' ELSE 'Stable' END AS outcome,
-          floor(h.creatinine * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS cr,
-          floor(h.urine_output_ml * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS uo
-        FROM (SELECT *, row_number() OVER (PARTITION BY arrival ORDER BY distance, row_key)::INTEGER AS rank
-              FROM (SELECT p.arrival, p.row_key, {similar_catalog._rounded} AS distance
-                    FROM (SELECT DISTINCT n.arrival, h.row_key FROM v_event_hash n
-                          JOIN v_hash h ON n.table_id = h.table_id AND n.bucket = h.bucket) p
-                    JOIN v_z a ON p.row_key = a.row_key JOIN v_event_z q ON p.arrival = q.arrival)) t
-        JOIN v_training_set h ON t.row_key = h.row_key WHERE t.rank <= 3""",
-)
+VIEWS["v_event_twins"] = f"""
+SELECT t.arrival, t.rank, t.row_key AS twin_id, t.distance,
+       CASE WHEN h.{config.TARGET} = 1 THEN 'Stage 3 AKI' ELSE 'Stable' END AS outcome,
+       floor(h.creatinine * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS cr,
+       floor(h.urine_output_ml * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS uo
+FROM (SELECT *, row_number() OVER (PARTITION BY arrival ORDER BY distance, row_key)::INTEGER AS rank
+      FROM (SELECT p.arrival, p.row_key, {similar_catalog._rounded} AS distance
+            FROM (SELECT DISTINCT n.arrival, h.row_key FROM v_event_hash n
+                  JOIN v_hash h ON n.table_id = h.table_id AND n.bucket = h.bucket) p
+            JOIN v_z a ON p.row_key = a.row_key JOIN v_event_z q ON p.arrival = q.arrival)) t
+JOIN v_training_set h ON t.row_key = h.row_key WHERE t.rank <= 3"""
+SHAPE = {"n_tables": similar_catalog.TABLES, "n_bits": similar_catalog.BITS}
+
+
+@query("stream_twins", "SELECT * FROM v_event_twins")
 def _(spark, sf):
     history = b.training_set(spark, sf)
     # The state after every event, searched against the whole history.
@@ -168,11 +173,93 @@ def _(spark, sf):
     states.write.parquet(f"{path}/events")
     stream = sources.table_stream_source(spark, f"{path}/events", states.schema, max_files=MAX_FILES)
     twins.stream_twins(
-        stream, history, f"{path}/found", f"{path}/checkpoint", available_now=True
+        stream, history, f"{path}/found", f"{path}/checkpoint", available_now=True, **SHAPE
     ).awaitTermination()
     return spark.read.parquet(f"{path}/found").drop("batch")
 
 
+VIEWS["v_k_tags"] = f"""
+SELECT patientunitstayid, CASE WHEN age_group IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY age_group, gender, unittype) END AS n
+FROM (SELECT *, {windows.projections.AGE_BAND_SQL} AS age_group FROM fx_patients_raw)"""
+
+
+def _traces(estimate: str, trailing: str) -> str:
+    """Traces, one row per trace and twin; `estimate` and `trailing` have the shared counts of each arrival."""
+    half_up = live_catalog._half_up
+    return f"""
+SELECT s.subject_id::VARCHAR AS patient_id, s.charttime AS "timestamp", s.event_type AS "type", {half_up("s.value", 3)} AS "value",
+       s.uom, d.distinct_estimate AS fm_distinct_patients, t.events_1h AS dgim_events_1h, 'k=' || coalesce(g.n, 0) AS k_anonymity,
+       s.v0 AS creatinine, s.v1 AS baseline_cr, s.v2 AS cr_ratio, s.v3 AS cr_delta_recent, s.v5 AS uo_ml_kg_hr_6h,
+       s.v6 AS uo_ml_kg_hr_24h, {", ".join(f"s.v{i}" for i in range(10))}, s.kdigo_stage, s.anomaly_score,
+       w.rank::INTEGER AS rank, w.twin_id, w.outcome, w.distance AS dist, w.cr, w.uo
+FROM (SELECT *, {live_catalog._vector("v")} FROM v_scored_state) s
+JOIN {estimate} d ON s.arrival = d.arrival JOIN {trailing} t ON s.arrival = t.arrival
+LEFT JOIN v_k_tags g ON s.subject_id = g.patientunitstayid LEFT JOIN v_event_twins w ON s.arrival = w.arrival"""
+
+
+def _flat(back):
+    """Traces as read back from their JSON, one row per trace and twin."""
+    rows = back.select("*", F.posexplode_outer("twins").alias("at", "twin"))
+    return rows.select(
+        "patient_id", "timestamp", "record.*", "algorithms.fm_distinct_patients", "algorithms.dgim_events_1h",
+        "algorithms.k_anonymity", "features.*", *[F.col("vector")[i].alias(f"v{i}") for i in range(10)], "kdigo_stage",
+        "anomaly_score", (F.col("at") + 1).alias("rank"), F.col("twin.id").alias("twin_id"), "twin.outcome", "twin.dist",
+        "twin.cr", "twin.uo",
+    )
+
+
+@query("trace_rows", _traces("v_running_distinct", "v_trailing"))
+def _(spark, sf):
+    traces = live_plan.traced(b.live(spark, sf), fixtures.patients_raw(spark, sf), b.training_set(spark, sf), **SHAPE)
+    # Out as JSON text and back in, as a consumer of the sink reads it.
+    return _flat(live.trace_json(traces).select(F.from_json("value", traces.schema).alias("t")).select("t.*"))
+
+
+# Three files by time, and second deliveries in the file after; estimates know what came up to an event's own file.
+DAY = 86400
+VIEWS["v_delivered"] = f"""
+SELECT *, (epoch_us(event_time) // 1000000 - 1704067200) AS sec,
+       least((epoch_us(event_time) // 1000000 - 1704067200) // {DAY}, 2) + CASE WHEN arrival >= 1000000000 THEN 1 ELSE 0 END AS file
+FROM (SELECT *, charttime::TIMESTAMP AS event_time FROM fx_live)"""
+VIEWS["v_file_seconds"] = """
+SELECT f.file, d.sec, count(*) AS n FROM v_delivered d JOIN (SELECT unnest(range(4)) AS file) f ON d.file <= f.file GROUP BY 1, 2"""
+VIEWS["v_file_trailing"] = """
+SELECT e.arrival, w.events_1h FROM v_delivered e JOIN (
+  SELECT file, sec, sum(n) OVER (PARTITION BY file ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)::BIGINT AS events_1h
+  FROM v_file_seconds) w ON e.file = w.file AND e.sec = w.sec"""
+VIEWS["v_file_zeros"] = f"""
+SELECT f.file, z, min(arrival) AS since
+FROM (SELECT arrival, file, CASE WHEN h <> 0 THEN bit_count((h & -h) - 1) END AS z
+      FROM (SELECT arrival, file, {hash32("subject_id::VARCHAR")} AS h FROM v_delivered)) d
+JOIN (SELECT unnest(range(4)) AS file) f ON d.file <= f.file GROUP BY 1, 2"""
+VIEWS["v_file_distinct"] = """
+SELECT e.arrival, (2 ** coalesce(max(z.z), 0))::BIGINT AS distinct_estimate
+FROM v_delivered e LEFT JOIN v_file_zeros z ON z.file = e.file AND z.since <= e.arrival GROUP BY e.arrival"""
+
+
+def deliveries(spark, sf):
+    """Live events with the number of the file that brings them."""
+    sec = F.unix_timestamp(F.col("charttime").cast("timestamp")) - F.lit(1704067200)
+    file = F.least(F.floor(sec / DAY), F.lit(2)) + F.when(F.col("arrival") >= 1000000000, 1).otherwise(0)
+    return fixtures.live_events(spark, sf).withColumn("file", file.cast("int"))
+
+
+@query("trace_sink", _traces("v_file_distinct", "v_file_trailing"))
+def _(spark, sf):
+    # The stream is stopped after every delivery and started again over the same checkpoint.
+    path = work_dir(spark, "live")
+    delivered = settle(deliveries(spark, sf), "deliveries")
+    people = live_plan.sizes_of(fixtures.patients_raw(spark, sf))
+    history = b.training_set(spark, sf)
+    for file in range(4):
+        delivered.filter(F.col("file") == file).drop("file").write.mode("append").parquet(f"{path}/in")
+        events = sources.table_stream_source(spark, f"{path}/in", delivered.drop("file").schema)
+        stream_live.live_stream(
+            events, people, history, f"{path}/out", f"{path}/checkpoint", available_now=True, **SHAPE
+        ).awaitTermination()
+    return _flat(spark.read.schema(schemas.TRACE).json(f"{path}/out/traces"))
+
+
 @query("micro_batch_trigger", "SELECT count(*) AS events FROM fx_live")
 def _(spark, sf):
     # Small micro-batches: one file each, all counted by a complete-mode aggregate.

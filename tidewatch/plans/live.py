@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import live, privacy, sketches
 from tidewatch.operators.skew import salted_join
+from tidewatch.session import work_dir
 from tidewatch.sources.layers import settle
+from tidewatch.streaming import twins
+from tidewatch.streaming.twins import TWINS
 
-NO_TWINS = "array<struct<id:string,outcome:string,dist:double,cr:double,uo:double>>"
-
-
-def traced(events: DataFrame, demographics: DataFrame, rate: str = "sum", batch_id: int = 0) -> DataFrame:
-    """One trace per accepted event.
+def traced(
+    events: DataFrame, demographics: DataFrame, history: DataFrame | None = None, rate: str = "sum", batch_id: int = 0,
+    n_tables: int = 3, n_bits: int | None = None,
+) -> DataFrame:
+    """One trace per accepted event, with its twins in `history` if there is one.
 
     Duplicates count in the estimates and are then dropped; the k tag is the real size of the
     patient's quasi-identifier group.
@@ -23,12 +26,18 @@ def traced(events: DataFrame, demographics: DataFrame, rate: str = "sum", batch_
     estimated = sketches.distinct_estimate_running(counted)
     unique = sketches.event_dedup(estimated)
     state = live.scored(live.live_state(unique, rate))
-    people = privacy.group_size_tag(privacy.generalize(demographics)).select(
+    tagged = salted_join(state, sizes_of(demographics), ["subject_id"], how="left")
+    if history is None:
+        twinned = tagged.withColumn("twins", F.lit(None).cast(TWINS))
+    else:
+        tagged = settle(tagged, "to-twin")
+        index = twins.index_of(history, work_dir(events.sparkSession, "twin-index"), n_tables=n_tables, n_bits=n_bits)
+        twinned = twins.with_twins(tagged, index)
+    return live.traces(twinned.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+
+
+def sizes_of(demographics: DataFrame) -> DataFrame:
+    """(subject_id, group_size): how many patients share a patient's quasi-identifiers."""
+    return privacy.group_size_tag(privacy.generalize(demographics)).select(
         F.col("patientunitstayid").alias("subject_id"), "group_size"
     )
-    tagged = salted_join(state, people, ["subject_id"], how="left")
-    return live.traces(
-        tagged.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
-            "twins", F.lit(None).cast(NO_TWINS)
-        )
-    )

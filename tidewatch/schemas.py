@@ -91,3 +91,12 @@ METRIC_EXTRA = T.StructType(
         )
     ]
 )
+
+# A trace of the live path, as its sink holds it.
+TRACE = (
+    "patient_id string, `timestamp` string, batch_id long, record struct<type: string, value: double, uom: string>, "
+    "algorithms struct<bloom: string, fm_distinct_patients: long, dgim_events_1h: long, k_anonymity: string>, "
+    "features struct<creatinine: double, baseline_cr: double, cr_ratio: double, cr_delta_recent: double, "
+    "uo_ml_kg_hr_6h: double, uo_ml_kg_hr_24h: double>, vector array<double>, kdigo_stage int, anomaly_score double, "
+    "twins array<struct<id: string, outcome: string, dist: double, cr: double, uo: double>>"
+)

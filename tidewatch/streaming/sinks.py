@@ -117,16 +117,33 @@ def stream_sample(
     return each_batch(events, merge, checkpoint, available_now)
 
 
+def _folder(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    root, fs = _folder(spark, path)
+    return fs.exists(root)
+
+
+def versions(spark: SparkSession, path: str, prefix: str = "v=") -> list[int]:
+    """The numbers of the folders below a path."""
+    root, fs = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+
+
+def forget_versions(spark: SparkSession, path: str, before: int, prefix: str = "v=") -> None:
+    """Remove numbered folders that no batch can read again: all older than the newest before `before`."""
+    for v in [v for v in versions(spark, path, prefix) if v < before][:-1]:
+        root, fs = _folder(spark, f"{path}/{prefix}{v}")
+        fs.delete(root, True)
+
+
 def latest_version(
     spark: SparkSession, path: str, before: int | None = None, prefix: str = "v="
 ) -> str | None:
     """The newest numbered folder below a path, so that a replayed batch reads what it read first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    versions = [int(n[len(prefix) :]) for n in names if n.startswith(prefix)]
-    versions = [v for v in versions if before is None or v < before]
-    return f"{path}/{prefix}{max(versions)}" if versions else None
+    numbers = [v for v in versions(spark, path, prefix) if before is None or v < before]
+    return f"{path}/{prefix}{max(numbers)}" if numbers else None

@@ -1,20 +1,23 @@
-"""Per-patient state on a stream: two short histories in the state store, scored per event."""
+"""Per-patient state on a stream: two short histories in the state store, scored per event.
+
+The processor only keeps and emits histories; features are the column expressions of the batch form.
+"""
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch import config
-from tidewatch.operators.live import BASELINE_READINGS, HISTORY, known_values, scored
+from tidewatch.operators.live import HISTORY, creatinine_state, known_values, scored, urine_state
 
 STATE = T.StructType(
     [
@@ -23,89 +26,53 @@ STATE = T.StructType(
         T.StructField("event_count", T.LongType()),
     ]
 )
-OUTPUT = T.StructType(
-    [
-        T.StructField("subject_id", T.LongType()),
-        T.StructField("charttime", T.StringType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("arrival", T.LongType()),
-        T.StructField("uom", T.StringType()),
-        T.StructField("event_count", T.LongType()),
-        T.StructField("creatinine", T.DoubleType()),
-        T.StructField("baseline", T.DoubleType()),
-        T.StructField("cr_ratio", T.DoubleType()),
-        T.StructField("cr_delta_recent", T.DoubleType()),
-        T.StructField("uo_ml_kg_hr_6h", T.DoubleType()),
-        T.StructField("uo_ml_kg_hr_24h", T.DoubleType()),
-    ]
+#: An event with both histories of its patient just after it.
+OUTPUT = (
+    "subject_id long, charttime string, event_type string, value double, arrival long, uom string, event_count long, "
+    "creatinine_history array<double>, urine_history array<double>"
 )
-
-
-def _half_up(value: float, digits: int) -> float:
-    scale = float(10**digits)
-    return math.floor(value * scale + 0.5) / scale
-
-
-def _rate(history: list[float], hours: int, weight: float, rate: str) -> float | None:
-    recent = history[-hours:]
-    if not recent:
-        return None
-    total = sum(recent)
-    if rate == "reference":
-        total = _half_up(total / len(recent), 2)
-    return _half_up(total / (weight * hours), 3)
+COLUMNS = ("subject_id", "charttime", "event_type", "value", "arrival", "uom")
 
 
 class PatientState(StatefulProcessor):
     """Keeps the last 20 values of each measure per patient."""
 
-    def __init__(self, rate: str = "sum", weight: float = config.DEFAULT_WEIGHT_KG, ttl_ms: int | None = None):
-        self.rate = rate
-        self.weight = weight
+    def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("histories", STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        creatinine, urine, count = [], [], 0
-        if self.state.exists():
-            kept = self.state.get()
-            creatinine, urine, count = list(kept[0]), list(kept[1]), kept[2]
+        kept = self.state.get() if self.state.exists() else ([], [], 0)
         # One patient's events of one micro-batch; the source's batch limit bounds them.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["charttime", "arrival"])
-        out = []
-        for e in batch.itertuples(index=False):
-            count += 1
-            if e.event_type == "creatinine":
-                creatinine = [*creatinine, e.value][-HISTORY:]
-            elif e.event_type in ("urine", "urine_output"):
-                urine = [*urine, e.value][-HISTORY:]
-            out.append(self._row(e, creatinine, urine, count))
-        self.state.update((creatinine, urine, count))
-        yield pd.DataFrame(out, columns=OUTPUT.fieldNames())
-
-    def _row(self, e, creatinine: list[float], urine: list[float], count: int) -> tuple:
-        now = base = ratio = None
-        delta = 0.0
-        if creatinine:
-            first = sorted(creatinine[:BASELINE_READINGS])
-            middle = len(first) // 2
-            now = creatinine[-1]
-            base = first[middle] if len(first) % 2 else (first[middle - 1] + first[middle]) / 2.0
-            ratio = _half_up(now / base, 3) if base else None
-            if len(creatinine) > 1:
-                delta = _half_up(now - creatinine[-2], 3)
-        return (
-            e.subject_id, e.charttime, e.event_type, e.value, e.arrival, e.uom, count, now, base, ratio, delta,
-            _rate(urine, 6, self.weight, self.rate), _rate(urine, 24, self.weight, self.rate),
-        )
+        out = pd.concat(list(rows), ignore_index=True).sort_values(["charttime", "arrival"])[list(COLUMNS)]
+        out["event_count"] = kept[2] + np.arange(1, len(out) + 1)
+        kinds, values, ends = out["event_type"], out["value"].to_numpy(np.float64), []
+        for name, before, own in (
+            ("creatinine_history", kept[0], kinds == "creatinine"), ("urine_history", kept[1], kinds.isin(["urine", "urine_output"]))
+        ):
+            series = np.concatenate([np.array(before, np.float64), values[own]])
+            known = len(before) + np.cumsum(own)
+            out[name] = [series[max(0, n - HISTORY) : n] for n in known]
+            ends.append(series[-HISTORY:].tolist())
+        self.state.update((*ends, int(kept[2]) + len(out)))
+        yield out
 
     def close(self) -> None:
         pass
 
 
+def with_state(spark: SparkSession, module: str) -> None:
+    """Settings of a stream whose processor stands in `module`."""
+    # The state's Python process on the driver knows no shipped files: it gets the class itself.
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def stream_patient_state(
     events: DataFrame, rate: str = "sum", weight: float = config.DEFAULT_WEIGHT_KG, ttl_hours: int | None = None
 ) -> DataFrame:
@@ -116,20 +83,15 @@ def stream_patient_state(
     Limit the source's micro-batch (files or offsets per trigger): one patient's events of one
     micro-batch are ordered in memory.
     """
-    # The state's Python process on the driver knows no shipped files: it gets the class itself.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    session = events.sparkSession
-    session.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    with_state(events.sparkSession, __name__)
     ttl = ttl_hours * 3600 * 1000 if ttl_hours else None
     state = known_values(events).groupBy("subject_id").transformWithStateInPandas(
-        statefulProcessor=PatientState(rate, weight, ttl),
+        statefulProcessor=PatientState(ttl),
         outputStructType=OUTPUT,
         outputMode="append",
         timeMode="processingTime" if ttl else "none",
     )
-    numbers = [f.name for f in OUTPUT.fields if f.dataType == T.DoubleType()]
-    # pandas has one missing value; in the engine a missing number is null, not NaN.
-    return scored(state.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in numbers}))
+    features = F.struct(
+        creatinine_state(F.col("creatinine_history")).alias("c"), urine_state(F.col("urine_history"), rate, weight).alias("u")
+    )
+    return scored(state.withColumn("_f", features).select(*COLUMNS, "event_count", "_f.c.*", "_f.u.*"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidewatch import config
 from tidewatch.functions.numeric import round_half_up
 from tidewatch.operators import similarity
 from tidewatch.operators.skew import salted_join
-from tidewatch.streaming.sinks import each_batch
+from tidewatch.streaming.sinks import each_batch, exists
 
 
 def live_features(scored_events: DataFrame, key: str) -> DataFrame:
@@ -42,10 +43,46 @@ def shown(history: DataFrame) -> DataFrame:
     )
 
 
-def twins_of(
-    events: DataFrame, index: DataFrame, moments: similarity.Moments, key: str = "arrival", history_key: str = "row_key",
-    k: int = 3, features: Sequence[str] = config.FEATURES, n_tables: int = 3, n_bits: int = 6,
-) -> DataFrame:
+TWINS = "array<struct<id:string,outcome:string,dist:double,cr:double,uo:double>>"
+
+
+class TwinIndex(NamedTuple):
+    """A history hashed and written by table and bucket, and what a search of it needs."""
+
+    rows: DataFrame
+    moments: similarity.Moments
+    key: str
+    n_tables: int
+    n_bits: int
+
+
+def index_of(
+    history: DataFrame, path: str, key: str = "row_key", n_tables: int = 3, n_bits: int | None = None,
+    again: bool = False,
+) -> TwinIndex:
+    """The index of a history below `path`; with `again`, the one that is there already, if any.
+
+    Without `n_bits` the buckets follow the number of rows. The shape and the moments are written beside the
+    index, last of all, so that a restarted stream searches what it searched before.
+    """
+    spark = history.sparkSession
+    about = f"{path}-about"
+    schema = "mean array<double>, spread array<double>, n_tables int, n_bits int"
+    if not (again and exists(spark, f"{about}/_SUCCESS")):
+        moments = similarity.feature_moments(history)
+        n_bits = similarity.bits_for(history.count()) if n_bits is None else n_bits
+        rows = similarity.lsh_index(shown(history), key, moments, n_tables=n_tables, n_bits=n_bits, keep=SHOWN)
+        similarity.write_index(rows, path)
+        one = spark.createDataFrame([(*moments, n_tables, n_bits)], schema)
+        one.coalesce(1).write.mode("overwrite").parquet(about)
+    told = spark.read.schema(schema).parquet(about).first()
+    moments = similarity.Moments(told["mean"], told["spread"])
+    # The schema is that of any index of this history; no row is hashed for it.
+    empty = similarity.lsh_index(shown(history.limit(0)), key, moments, n_tables=told["n_tables"], n_bits=told["n_bits"], keep=SHOWN)
+    return TwinIndex(spark.read.schema(empty.schema).parquet(path), moments, key, told["n_tables"], told["n_bits"])
+
+
+def twins_of(events: DataFrame, index: TwinIndex, key: str = "arrival", k: int = 3, features: Sequence[str] = config.FEATURES) -> DataFrame:
     """Per event its nearest rows with outcome, distance, creatinine and urine, joined by name.
 
     Events with the same features have the same twins, so each feature row is searched once. The
@@ -56,27 +93,31 @@ def twins_of(
     )
     twins = similarity.lsh_search(
         queries.select("query_id", *features).dropDuplicates(["query_id"]),
-        index, moments, history_key, features, k, n_tables, n_bits, keep=SHOWN, prune=True,
-    ).withColumnRenamed(history_key, "twin_id")
+        index.rows, index.moments, index.key, features, k, index.n_tables, index.n_bits, keep=SHOWN, prune=True,
+    ).withColumnRenamed(index.key, "twin_id")
     return salted_join(queries.select(key, "query_id"), twins, ["query_id"]).select(
         key, "rank", "twin_id", "outcome", "distance", "cr", "uo"
     )
 
 
+def with_twins(events: DataFrame, index: TwinIndex, key: str = "arrival", k: int = 3) -> DataFrame:
+    """Adds `twins`, the k nearest rows in order of distance; an empty list where no row shares a bucket."""
+    ranked = F.struct("rank", F.col("twin_id").cast("string").alias("id"), "outcome", F.col("distance").alias("dist"), "cr", "uo")
+    lists = twins_of(events, index, key, k).groupBy(F.col(key).alias("_twins_of")).agg(F.sort_array(F.collect_list(ranked)).alias("_ranked"))
+    joined = events.join(lists, F.col(key) == F.col("_twins_of"), "left")
+    plain = F.transform("_ranked", lambda t: F.struct(*[t[c].alias(c) for c in ("id", "outcome", "dist", "cr", "uo")]))
+    return joined.withColumn("twins", F.coalesce(plain, F.array().cast(TWINS))).drop("_twins_of", "_ranked")
+
+
 def stream_twins(
     scored_events: DataFrame, history: DataFrame, path: str, checkpoint: str, k: int = 3,
-    history_key: str = "row_key", n_tables: int = 3, n_bits: int = 6, available_now: bool = False,
+    history_key: str = "row_key", n_tables: int = 3, n_bits: int | None = None, available_now: bool = False,
 ) -> StreamingQuery:
     """Twins of every event. The history is hashed and written once, by table and bucket; a
     micro-batch reads the buckets of its own events and never the history."""
-    moments = similarity.feature_moments(history)
-    index = similarity.write_index(
-        similarity.lsh_index(shown(history), history_key, moments, n_tables=n_tables, n_bits=n_bits, keep=SHOWN),
-        f"{path}-index",
-    )
+    index = index_of(history, f"{path}-index", history_key, n_tables, n_bits, again=True)
 
     def search(batch: DataFrame, batch_id: int) -> None:
-        found = twins_of(batch, index, moments, "arrival", history_key, k, n_tables=n_tables, n_bits=n_bits)
-        found.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        twins_of(batch, index, "arrival", k).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return each_batch(scored_events, search, checkpoint, available_now)
