@@ -116,18 +116,46 @@ def test_stats_count_repeats_of_earlier_batches_once(spark):
     path = work_dir(spark, "stats")
     for part in ("arrival < 20", "arrival between 10 and 29", "arrival >= 20"):
         events.filter(part).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = sources.table_stream_source(spark, f"{path}/in", events.schema, max_files=1)
-    sinks.stream_stats(stream, f"{path}/log", f"{path}/checkpoint", True).awaitTermination()
-
-    def totals():
-        log = spark.read.parquet(f"{path}/log").filter("metric_name like '%_events'")
-        return {r["metric_name"]: r["n"] for r in log.groupBy("metric_name").agg(F.sum("metric_value").alias("n")).collect()}
-
-    assert totals() == {"allowed_events": 40.0, "duplicate_events": 20.0}
-    newest = int(sinks.latest_version(spark, f"{path}/log", prefix="batch=").rsplit("=", 1)[1])
-    replayed = events.filter("arrival >= 20")
-    sinks.write_stats(replayed, newest, f"{path}/log", f"{path}/checkpoint-seen")
-    assert sum(totals().values()) == 60.0
+        # Stopped and started again between the files.
+        stream = sources.table_stream_source(spark, f"{path}/in", events.schema, max_files=1)
+        sinks.stream_stats(stream, path, f"{path}/checkpoint", True, sample=25).awaitTermination()
+
+    def log():
+        return spark.read.parquet(f"{path}/log").orderBy("batch").collect()
+
+    def metric(name):
+        return [r["metric_value"] for r in log() if r["metric_name"] == name]
+
+    assert metric("allowed_events") == [20, 10, 10] and metric("duplicate_events") == [0, 10, 10]
+    assert metric("duplicate_rate") == [0, 0.5, 0.5] and metric("distinct_patients") == [7, 7, 7]
+    # One event a minute: an hour's six slides hold all 40 and the 20 that came again.
+    assert metric("sample_size") == [20, 25, 25] and metric("window_events") == [20, 40, 60]
+    assert len(sinks.versions(spark, f"{path}/recent")) <= 2 and len(sinks.versions(spark, f"{path}/sample")) <= 2
+
+    before = log()
+    newest = max(r["batch"] for r in before)
+    timed = sources.with_event_time(events)
+    replayed = timed.filter("arrival >= 20").withColumn("first", F.lit(False)).unionByName(
+        timed.filter("arrival >= 30").withColumn("first", F.lit(True))
+    )
+    sinks.write_stats(replayed, newest, path, 25, "7 HOURS")
+    plain = lambda rows: [(r["batch"], r["metric_name"], r["metric_value"]) for r in rows]
+    assert sorted(plain(log())) == sorted(plain(before))
+
+
+def test_window_estimates_unite_sketches(spark):
+    # 4,000 patients in every ten minutes, the same ones in two micro-batches.
+    rows = spark.range(8000).select(
+        (F.col("id") % 4000).alias("subject_id"), F.col("id").alias("arrival"),
+        F.timestamp_seconds(F.lit(1704067200) + (F.col("id") % 3) * 600).alias("event_time"), F.lit(False).alias("first"),
+    )
+    path = work_dir(spark, "windows")
+    sinks.write_stats(rows.filter("arrival < 4000"), 0, path, 10, "7 HOURS")
+    sinks.write_stats(rows.filter("arrival >= 4000"), 1, path, 10, "7 HOURS")
+    found = sinks.window_estimates(spark, path).collect()
+    full = [r for r in found if r["events"] == 8000]
+    assert full and all(abs(r["patients"] - 4000) <= 4000 * r["error"] and r["error"] < 0.05 for r in full)
+    assert sum(r["events"] for r in found) == 8000 * 6
 
 
 def test_state_takes_missing_values(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewatch import config, schemas
@@ -17,7 +18,8 @@ from tidewatch.plans.registry import query
 from tidewatch.session import work_dir
 from tidewatch.sources.layers import settle
 from tidewatch.streaming import live as stream_live
-from tidewatch.streaming import operators, sinks, sources, state, twins
+from tidewatch.streaming import buffers, operators, sinks, sources, state, twins
+from tidewatch.streaming import sketches as stream_sketches
 
 MAX_FILES = 64
 EVENT = "subject_id, hadm_id, stay_id, charttime, event_type, value, uom"
@@ -86,23 +88,75 @@ def _(spark, sf):
     )
 
 
+# Three files by time, and second deliveries in the file after; estimates know what came up to an event's own file.
+DAY = 86400
+VIEWS["v_delivered"] = f"""
+SELECT *, (epoch_us(event_time) // 1000000 - 1704067200) AS sec,
+       least((epoch_us(event_time) // 1000000 - 1704067200) // {DAY}, 2) + CASE WHEN arrival >= 1000000000 THEN 1 ELSE 0 END AS file
+FROM (SELECT *, charttime::TIMESTAMP AS event_time FROM fx_live)"""
+VIEWS["v_firsts"] = """
+SELECT *, row_number() OVER (PARTITION BY subject_id, charttime, event_type, value ORDER BY arrival) = 1 AS first FROM v_delivered"""
+VIEWS["v_file_seconds"] = """
+SELECT f.file, d.sec, count(*) AS n FROM v_delivered d JOIN (SELECT unnest(range(4)) AS file) f ON d.file <= f.file GROUP BY 1, 2"""
+VIEWS["v_file_trailing"] = """
+SELECT e.arrival, w.events_1h FROM v_delivered e JOIN (
+  SELECT file, sec, sum(n) OVER (PARTITION BY file ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)::BIGINT AS events_1h
+  FROM v_file_seconds) w ON e.file = w.file AND e.sec = w.sec"""
+VIEWS["v_file_zeros"] = f"""
+SELECT f.file, z, min(arrival) AS since
+FROM (SELECT arrival, file, CASE WHEN h <> 0 THEN bit_count((h & -h) - 1) END AS z
+      FROM (SELECT arrival, file, {hash32("subject_id::VARCHAR")} AS h FROM v_delivered)) d
+JOIN (SELECT unnest(range(4)) AS file) f ON d.file <= f.file GROUP BY 1, 2"""
+VIEWS["v_file_distinct"] = """
+SELECT e.arrival, (2 ** coalesce(max(z.z), 0))::BIGINT AS distinct_estimate
+FROM v_delivered e LEFT JOIN v_file_zeros z ON z.file = e.file AND z.since <= e.arrival GROUP BY e.arrival"""
+
+
+def deliveries(spark, sf):
+    """Live events with the number of the file that brings them."""
+    sec = F.unix_timestamp(F.col("charttime").cast("timestamp")) - F.lit(1704067200)
+    file = F.least(F.floor(sec / DAY), F.lit(2)) + F.when(F.col("arrival") >= 1000000000, 1).otherwise(0)
+    return fixtures.live_events(spark, sf).withColumn("file", file.cast("int"))
+
+
+def _stats(spark, sf):
+    """The statistics of four deliveries in time order; second copies come a delivery later than the first."""
+    path = work_dir(spark, "stats")
+    sources.write_turns(settle(deliveries(spark, sf), "deliveries"), f"{path}/in", "file", 4)
+    schema = fixtures.live_events(spark, sf).schema
+    events = sources.table_stream_source(spark, f"{path}/in", schema, max_files=1)
+    sinks.stream_stats(events, path, f"{path}/checkpoint", True).awaitTermination()
+    return path
+
+
 @query(
     "stream_stats",
-    """SELECT metric_name, metric_value FROM (
-         SELECT unnest(['allowed_events', 'duplicate_events']) AS metric_name,
-                unnest([u, n - u])::DOUBLE AS metric_value
-         FROM (SELECT (SELECT count(*) FROM fx_live) AS n, (SELECT count(*) FROM v_unique) AS u))""",
+    """SELECT file, metric_name, metric_value FROM (
+         SELECT file, unnest(['allowed_events', 'duplicate_events', 'duplicate_rate', 'distinct_patients', 'sample_size',
+                              'window_events']) AS metric_name,
+                unnest([allowed, arrivals - allowed, (arrivals - allowed) / arrivals, patients, least(100, so_far), hour]::DOUBLE[]) AS metric_value
+         FROM (SELECT file, count(*) AS arrivals, count(*) FILTER (first) AS allowed, count(DISTINCT subject_id) AS patients,
+                      sum(count(*)) OVER (ORDER BY file) AS so_far FROM v_firsts GROUP BY file)
+         JOIN (SELECT f.file, count(*) AS hour FROM v_firsts d JOIN (SELECT file, max(max(sec) // 600) OVER (ORDER BY file) AS top
+                 FROM v_firsts GROUP BY file) f ON d.file <= f.file AND d.sec // 600 > f.top - 6 GROUP BY 1) USING (file))""",
 )
 def _(spark, sf):
-    # Five micro-batches by arrival: second deliveries come in later ones than the first.
-    path = work_dir(spark, "stats")
-    fixtures.live_events(spark, sf).repartitionByRange(5, "arrival").write.parquet(f"{path}/events")
-    schema = fixtures.live_events(spark, sf).schema
-    events = sources.table_stream_source(spark, f"{path}/events", schema, max_files=1)
-    sinks.stream_stats(events, f"{path}/log", f"{path}/checkpoint", True).awaitTermination()
-    log = spark.read.schema(schemas.METRIC_LOG).parquet(f"{path}/log")
-    counts = log.filter(F.col("metric_name").isin("allowed_events", "duplicate_events"))
-    return counts.groupBy("metric_name").agg(F.sum("metric_value").alias("metric_value"))
+    # All six metrics of every micro-batch. So few patients are counted exactly by the sketch.
+    path = _stats(spark, sf)
+    log = spark.read.schema(f"{schemas.METRIC_LOG.simpleString()[7:-1].replace(':', ' ')}, batch long").parquet(f"{path}/log")
+    order = log.select("batch").distinct().withColumn("file", (F.row_number().over(Window.orderBy("batch")) - 1).cast("bigint"))
+    return log.join(order, "batch").select("file", "metric_name", "metric_value")
+
+
+@query(
+    "stream_window_estimates",
+    f"""SELECT TIMESTAMP '2024-01-01 00:00:00' + to_seconds(s) AS window_start,
+          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(s + 3600) AS window_end, count(*) AS events,
+          count(DISTINCT subject_id) AS patients, {sinks.SKETCH_ERROR!r}::DOUBLE AS error
+        FROM (SELECT subject_id, (sec // 600 - k) * 600 AS s FROM v_delivered, (SELECT unnest(range(6)) AS k)) GROUP BY s""",
+)
+def _(spark, sf):
+    return sinks.window_estimates(spark, _stats(spark, sf))
 
 
 @query(
@@ -215,35 +269,6 @@ def _(spark, sf):
     return _flat(live.trace_json(traces).select(F.from_json("value", traces.schema).alias("t")).select("t.*"))
 
 
-# Three files by time, and second deliveries in the file after; estimates know what came up to an event's own file.
-DAY = 86400
-VIEWS["v_delivered"] = f"""
-SELECT *, (epoch_us(event_time) // 1000000 - 1704067200) AS sec,
-       least((epoch_us(event_time) // 1000000 - 1704067200) // {DAY}, 2) + CASE WHEN arrival >= 1000000000 THEN 1 ELSE 0 END AS file
-FROM (SELECT *, charttime::TIMESTAMP AS event_time FROM fx_live)"""
-VIEWS["v_file_seconds"] = """
-SELECT f.file, d.sec, count(*) AS n FROM v_delivered d JOIN (SELECT unnest(range(4)) AS file) f ON d.file <= f.file GROUP BY 1, 2"""
-VIEWS["v_file_trailing"] = """
-SELECT e.arrival, w.events_1h FROM v_delivered e JOIN (
-  SELECT file, sec, sum(n) OVER (PARTITION BY file ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)::BIGINT AS events_1h
-  FROM v_file_seconds) w ON e.file = w.file AND e.sec = w.sec"""
-VIEWS["v_file_zeros"] = f"""
-SELECT f.file, z, min(arrival) AS since
-FROM (SELECT arrival, file, CASE WHEN h <> 0 THEN bit_count((h & -h) - 1) END AS z
-      FROM (SELECT arrival, file, {hash32("subject_id::VARCHAR")} AS h FROM v_delivered)) d
-JOIN (SELECT unnest(range(4)) AS file) f ON d.file <= f.file GROUP BY 1, 2"""
-VIEWS["v_file_distinct"] = """
-SELECT e.arrival, (2 ** coalesce(max(z.z), 0))::BIGINT AS distinct_estimate
-FROM v_delivered e LEFT JOIN v_file_zeros z ON z.file = e.file AND z.since <= e.arrival GROUP BY e.arrival"""
-
-
-def deliveries(spark, sf):
-    """Live events with the number of the file that brings them."""
-    sec = F.unix_timestamp(F.col("charttime").cast("timestamp")) - F.lit(1704067200)
-    file = F.least(F.floor(sec / DAY), F.lit(2)) + F.when(F.col("arrival") >= 1000000000, 1).otherwise(0)
-    return fixtures.live_events(spark, sf).withColumn("file", file.cast("int"))
-
-
 @query("trace_sink", _traces("v_file_distinct", "v_file_trailing"))
 def _(spark, sf):
     # The stream is stopped after every delivery and started again over the same checkpoint.
@@ -260,17 +285,100 @@ def _(spark, sf):
     return _flat(spark.read.schema(schemas.TRACE).json(f"{path}/out/traces"))
 
 
-@query("micro_batch_trigger", "SELECT count(*) AS events FROM fx_live")
+@query(
+    "micro_batch_trigger",
+    """SELECT subject_id, cause, count(*) AS groups, sum(size)::BIGINT AS events, max(size) AS largest FROM (
+         SELECT subject_id, (n - 1) // 10 AS g, count(*) AS size, CASE WHEN count(*) = 10 THEN 'count' ELSE 'time' END AS cause
+         FROM (SELECT subject_id, row_number() OVER (PARTITION BY subject_id ORDER BY arrival) AS n FROM fx_live) GROUP BY ALL)
+       GROUP BY subject_id, cause""",
+)
 def _(spark, sf):
-    # Small micro-batches: one file each, all counted by a complete-mode aggregate.
-    stream = sources.jsonl_stream_source(spark, _payloads(spark, sf), max_files=1)
-    counted = stream.groupBy(F.lit("all").alias("scope")).agg(F.count(F.lit(1)).alias("events"))
-    return sinks.drain_updates(counted, ["scope"], "trigger").select("events")
+    # All events are there at once: full groups are flushed by their count, what is left of a patient by the time.
+    live_rows = fixtures.live_events(spark, sf).drop("hadm_id", "stay_id")
+    path = work_dir(spark, "trigger")
+    live_rows.write.parquet(path)
+    stream = sources.table_stream_source(spark, path, live_rows.schema)
+    flushed = sinks.drain_timed(buffers.flush_groups(stream, "subject_id", "arrival"), live_rows.count(), "flushed")
+    groups = flushed.groupBy("subject_id", "cause", "group_no").agg(F.count(F.lit(1)).alias("size"))
+    return groups.groupBy("subject_id", "cause").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("size").alias("events"), F.max("size").alias("largest")
+    )
 
 
-@query("timeline_replay", "SELECT * FROM v_timeline")
+@query("processing_time_trigger", f"SELECT {EVENT} FROM fx_live")
 def _(spark, sf):
-    timeline = cohort.hospital_timeline(b.hospital_creatinine(spark, sf), b.hospital_urine(spark, sf))
+    # A micro-batch every second, eight files each, until all events are out.
+    stream = sources.jsonl_stream_source(spark, _payloads(spark, sf), max_files=8)
+    return sinks.drain_timed(stream, fixtures.live_events(spark, sf).count(), "every-second")
+
+
+TURNS, DELAY = 6, "1 DAY"
+
+
+@query("timeline_replay", """SELECT *, true AS in_order, true AS after_earlier_batches FROM v_timeline""")
+def _(spark, sf):
+    # Half-day slices; half of each comes a turn late, in files of any order inside.
+    timeline = settle(cohort.hospital_timeline(b.hospital_creatinine(spark, sf), b.hospital_urine(spark, sf)), "timeline")
+    closed = sources.with_closing_row(timeline, "subject_id", "event_time", DELAY)
+    half_days = F.floor(F.timestamp_diff("SECOND", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("event_time")) / 43200)
+    late = F.pmod(F.xxhash64(*timeline.columns), F.lit(2))
+    turn = F.when(F.col("closing"), TURNS + 1).otherwise(F.least(F.greatest(half_days, F.lit(0)), F.lit(TURNS - 1)) + late)
     path = work_dir(spark, "timeline")
-    sources.write_replay(timeline, path)
-    return sinks.drain(sources.timeline_replay(spark, path, timeline.schema, files_per_batch=2), "replayed")
+    sources.write_turns(closed.withColumn("turn", turn), path, "turn", TURNS + 2, files=2)
+    replayed = sinks.drain(
+        sources.timeline_replay(spark, path, closed.schema, "subject_id", "event_time", DELAY, files_per_batch=2), "replayed"
+    )
+    own = Window.partitionBy("subject_id").orderBy("position")
+    before = F.lag("event_time").over(own)
+    earlier = F.max("released_at").over(own.rangeBetween(Window.unboundedPreceding, -1))
+    late_rows = (F.col("released_at") > earlier) & (F.unix_millis(F.col("event_time").cast("timestamp")) <= earlier)
+    return replayed.withColumns(
+        {
+            "in_order": F.coalesce(before <= F.col("event_time"), F.lit(True)),
+            "after_earlier_batches": ~F.coalesce(late_rows, F.lit(False)),
+        }
+    ).select(*timeline.columns, "in_order", "after_earlier_batches")
+
+
+def _delivered(spark, sf):
+    """The four deliveries as a stream, one micro-batch each."""
+    path = work_dir(spark, "delivered")
+    sources.write_turns(settle(deliveries(spark, sf), "deliveries"), path, "file", 4)
+    schema = fixtures.live_events(spark, sf).schema
+    return sources.with_event_time(sources.table_stream_source(spark, path, schema, max_files=1))
+
+
+@query(
+    "stream_trailing_count",
+    """SELECT arrival, count(*) OVER (PARTITION BY event_type ORDER BY event_time
+           RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW) AS exact, true AS within_bound
+       FROM v_delivered WHERE arrival < 1000000000""",
+)
+def _(spark, sf):
+    # First deliveries only: they come in time order. Events of one second see those that came before them.
+    events = _delivered(spark, sf).filter("arrival < 1000000000")
+    counted = sinks.drain(stream_sketches.stream_trailing_count(events, "event_type", error=0.1), "histogram")
+    plain = b.live(spark, sf).filter("arrival < 1000000000").select("arrival", "event_type", "event_time")
+    exact = sketches.trailing_event_count(settle(plain, "exact"), key=["event_type"], out="exact")
+    # Within a second the estimate grows event by event, up to the exact count of its end.
+    both = exact.join(counted, "arrival")
+    at_end = F.max("estimate").over(Window.partitionBy("event_type", "second"))
+    return both.select("arrival", "exact", (F.abs(at_end - F.col("exact")) <= F.col("exact") * 0.1).alias("within_bound"))
+
+
+@query(
+    "stream_membership",
+    """SELECT count(*) AS events, count(*) FILTER (NOT first) AS repeats, 0::BIGINT AS missed_repeats, true AS within_rate FROM v_firsts""",
+)
+def _(spark, sf):
+    # Copies come up to two days later; the filters look back three.
+    answered = sinks.drain(stream_sketches.stream_membership(_delivered(spark, sf), horizon_seconds=3 * DAY, error=0.01), "member")
+    key = Window.partitionBy(sketches.event_key()).orderBy("arrival")
+    truth = fixtures.live_events(spark, sf).withColumn("repeat", F.row_number().over(key) > 1).select("arrival", "repeat")
+    judged = answered.join(truth, "arrival")
+    wrong = F.count_if(F.col("maybe_seen") & ~F.col("repeat"))
+    return judged.agg(
+        F.count(F.lit(1)).alias("events"), F.count_if("repeat").alias("repeats"),
+        F.count_if(~F.col("maybe_seen") & F.col("repeat")).alias("missed_repeats"),
+        (wrong <= F.lit(0.01) * F.count_if(~F.col("repeat"))).alias("within_rate"),
+    )
