@@ -139,7 +139,7 @@ class RotatingBloom(StatefulProcessor):
         seen, own = repeated.copy(), np.zeros(len(batch), bool)
         for (s, _), one in live.items():
             held = one.holds(h1, h2)
-            seen |= held
+            seen |= held & (s >= span - self.spans)
             own |= held & (span == s)
         # A key goes into its own span unless that holds it: another span's filter would go sooner.
         own |= batch.assign(span=span).duplicated(["h1", "h2", "span"]).to_numpy()
