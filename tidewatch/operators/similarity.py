@@ -183,6 +183,100 @@ def lsh_search(
     return topk_similar(pairs, query_key, key, k)
 
 
+def bits_measured(z: DataFrame, rows: int, per_bucket: int = 64, dims: int = len(config.FEATURES), seed: int = SEED) -> int:
+    """Bits at which a row's bucket holds about `per_bucket` rows, itself included, as measured on the rows.
+
+    Rows crowd in some buckets, and what a query meets is the mean over rows, not over buckets. Buckets of one table at
+    the most useful number of bits are counted once; fewer bits merge those counts.
+    """
+    most = min(24, max(1, math.ceil(math.log2(max(2, rows)))) + 4)
+    counts = lsh_buckets(z, 1, most, dims, seed).groupBy(F.col("buckets")[0].alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    widths = counts.select("n", "bucket", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("bits"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bits")) - 1
+    sizes = widths.groupBy("bits", F.col("bucket").bitwiseAND(mask).alias("b")).agg(F.sum("n").cast("double").alias("n"))
+    means = sizes.groupBy("bits").agg(F.try_divide(F.sum(F.col("n") * F.col("n")), F.sum("n")).alias("mean")).collect()
+    return min([r["bits"] for r in means if r["mean"] <= per_bucket], default=most)
+
+
+def probe_buckets(
+    df: DataFrame, probes: int, n_tables: int = DEFAULT_TABLES, n_bits: int = DEFAULT_BITS,
+    dims: int = len(config.FEATURES), seed: int = SEED, vector: str = "q_z", out: str = "q_probes",
+) -> DataFrame:
+    """Adds, per table, the buckets to look in: the vector's own, then its neighbours, nearest first.
+
+    A neighbour differs in the bits of some hyperplanes; its distance is that of the vector to all of them, so
+    the bits that nearly went the other way are turned over first. Of the nearest planes, as many as can matter are combined.
+    """
+    planes = projections(n_tables, n_bits, dims, seed)
+    close = min(n_bits, max(1, probes.bit_length() + 2))
+    subsets = np.arange(1 << close)[:, None] >> np.arange(close) & 1
+
+    @F.pandas_udf("array<array<bigint>>")
+    def buckets(vectors: pd.Series) -> pd.Series:
+        found = []
+        for v in vectors:
+            tables = []
+            for matrix in planes:
+                side = matrix @ np.asarray(v)
+                own = int((side >= 0) @ (1 << np.arange(n_bits)))
+                gap = (side / np.linalg.norm(matrix, axis=1)) ** 2
+                nearest = np.argsort(gap, kind="stable")[:close]
+                order = np.argsort(subsets @ gap[nearest], kind="stable")[:probes]
+                tables.append((own ^ (subsets[order] @ (1 << nearest))).tolist())
+            found.append(tables)
+        return pd.Series(found)
+
+    return df.withColumn(out, buckets.asNondeterministic()(vector))
+
+
+def probe_join(queries: DataFrame, index: DataFrame, spread: str, salts: int = 8) -> DataFrame:
+    """Pairs of query and index rows where the row's bucket is among the query's probes of any table, each once.
+
+    Pairs that meet in several tables are kept in the first of them, as both bucket lists tell. Index
+    rows of a hot bucket are spread over salts.
+    """
+    asked = queries.select("*", F.posexplode("q_probes").alias("table_id", "_some")).withColumn("bucket", F.explode("_some"))
+    left = asked.drop("_some").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = index.withColumn("_salt", salt(salts, spread))
+    meets = F.zip_with("q_probes", "buckets", lambda probes, bucket: F.array_contains(probes, bucket))
+    first = F.array_position(meets, F.lit(True)) == F.col("table_id") + 1
+    return right.join(left, ["table_id", "bucket", "_salt"]).filter(first).drop("table_id", "bucket", "_salt", "q_probes", "buckets")
+
+
+def multi_probe_similar(
+    queries: DataFrame, history: DataFrame, key: str, features: Sequence[str] = config.FEATURES, k: int = 5,
+    n_tables: int = 4, probes: int = 8, n_bits: int | None = None, seed: int = SEED, query_key: str = "query_id",
+    moments: Moments | None = None,
+) -> DataFrame:
+    """The k nearest rows among those in the probed buckets, with the number of `candidates` of each query.
+
+    Bits follow from the measured sizes of buckets, which hold about as many rows however long the history is, and a
+    query's candidates are those of at most tables times probes buckets. Ties go by key; a null feature is 0; a query that is
+    a history row finds itself.
+    """
+    moments = feature_moments(history, features) if moments is None else moments
+    if n_bits is None:
+        n_bits = bits_measured(standardize_features(history.select(*features), features, moments), history.count(), 64, len(features), seed)
+    index = lsh_index(history, key, moments, features, n_tables, n_bits, seed)
+    z = standardize_features(queries.select(F.col(key).alias(query_key), *features), features, moments, out="q_z")
+    asked = probe_buckets(z.select(query_key, "q_z"), probes, n_tables, n_bits, len(features), seed)
+    pairs = probe_join(asked, index, key).select(
+        query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z"), len(features)), 6).alias("distance")
+    )
+    counts = pairs.groupBy(query_key).agg(F.count(F.lit(1)).alias("candidates"))
+    return topk_similar(pairs, query_key, key, k).join(counts, query_key)
+
+
+def recall_against(found: DataFrame, exact: DataFrame, query_key: str = "query_id") -> DataFrame:
+    """Share of exact results that a search reached: its result of the same rank is no farther away."""
+    near = found.select(query_key, "rank", F.col("distance").alias("_reached"))
+    both = exact.join(near, [query_key, "rank"], "left")
+    hit = F.coalesce(F.col("_reached") <= F.col("distance"), F.lit(False))
+    return both.agg(
+        F.count_distinct(query_key).alias("queries"), F.count(F.lit(1)).alias("wanted"), F.count_if(hit).alias("reached")
+    ).withColumn("recall", F.try_divide(F.col("reached"), F.col("wanted")))
+
+
 def lsh_similar(
     queries: DataFrame, history: DataFrame, key: str, features: Sequence[str] = config.FEATURES,
     k: int = 5, n_tables: int = DEFAULT_TABLES, n_bits: int | None = None, seed: int = SEED,

@@ -10,6 +10,7 @@ from tidewatch.plans import bindings as b
 from tidewatch.plans.catalog import windows  # noqa: F401
 from tidewatch.plans.oracle import VIEWS
 from tidewatch.plans.registry import query
+from tidewatch.sources.layers import settle
 
 TABLES, BITS, EXAMPLES, K = 3, 6, 1, 5
 D = len(config.FEATURES)
@@ -147,3 +148,19 @@ _summary = " || ', ' || ".join(
 def _(spark, sf):
     rows = b.training_set(spark, sf)
     return similarity.twin_explanation(_twins(rows), _examples(rows), rows, "row_key")
+
+
+def recall_sample(rows, n=100):
+    """So many rows to ask for, by the hash of their key."""
+    return rows.orderBy(F.md5("row_key"), "row_key").limit(n)
+
+
+@query("multi_probe_recall")
+def _(spark, sf):
+    # What the multi-probe search finds of the exact results of 100 rows, and how many rows it looked at.
+    rows = b.training_set(spark, sf)
+    asked = settle(recall_sample(rows), "asked")
+    found = settle(similarity.multi_probe_similar(asked, rows, "row_key", k=K), "found")
+    exact = similarity.exact_similar(asked, rows, "row_key", k=K)
+    looked = found.agg(F.round(F.avg("candidates"), 1)).scalar()
+    return similarity.recall_against(found, exact).withColumn("candidates", looked)
