@@ -334,3 +334,35 @@ def test_exact_mean_does_not_follow_the_order_of_rows(spark):
         assert order.agg(exact_mean(F.col("v"))).first()[0] == 1.247913
     assert df.filter("v is null").agg(exact_mean(F.col("v"))).first()[0] is None
     assert spark.createDataFrame([(-1.5,), (-0.5,)], "v double").agg(exact_mean(F.col("v"), 0)).first()[0] == -1.0
+
+
+def test_a_person_moves_the_mean_by_the_sensitivity_at_most(spark):
+    rows = [("g", p, i, 5.0 if p == 0 else 0.5 + (p * 7 + i) % 10 * 0.1) for p in range(8) for i in range(40 if p == 0 else 4)]
+    rows += [("g", 3, 100, None), (None, 1, 101, 2.0), ("g", None, 102, 2.0), ("tiny", 9, 103, 99.0)]
+    df = spark.createDataFrame(rows, "unit string, person int, n int, value double")
+    options = {"group": "unit", "value": "value", "person": "person", "row_key": ["person", "n"], "most": 3, "seed": "s"}
+
+    def means(some):
+        # So little noise that the mean itself is seen.
+        return {r["unit"]: r for r in privacy.dp_person_mean(some, epsilon=1e9, **options).collect()}
+
+    whole = means(df)
+    assert whole["g"]["bounded_rows"] == 8 * 3 and whole["tiny"]["sensitivity"] == 4.5 and abs(whole["tiny"]["dp_mean"] - 5.0) < 1e-5
+    for p in range(8):
+        without = means(df.filter(F.coalesce(F.col("person") != p, F.lit(True))))
+        assert abs(without["g"]["dp_mean"] - whole["g"]["dp_mean"]) <= whole["g"]["sensitivity"] + 1e-5
+    with pytest.raises(ValueError):
+        privacy.dp_person_mean(df, epsilon=0, **options)
+
+
+def test_ledger_of_spent_budget(spark):
+    ledger = work_dir(spark, "ledger")
+    assert privacy.spent(spark, ledger).count() == 0
+    assert privacy.spend(spark, ledger, "first", 0.5, 1.0) == 0.5
+    assert privacy.spend(spark, ledger, "first", 0.5, 1.0) == 0.5
+    with pytest.raises(ValueError):
+        privacy.spend(spark, ledger, "first", 0.4, 1.0)
+    with pytest.raises(privacy.BudgetSpent):
+        privacy.spend(spark, ledger, "second", 0.6, 1.0)
+    assert privacy.spend(spark, ledger, "third", 0.5, 1.0) == 0.0
+    assert {r["release"]: r["epsilon"] for r in privacy.spent(spark, ledger).collect()} == {"first": 0.5, "third": 0.5}

@@ -247,3 +247,28 @@ def _(spark, sf):
         F.col("parameters")["max_iter"].alias("max_iter"),
         (F.col("is_best") == (F.col("auroc") == highest)).alias("best_is_highest"),
     )
+
+
+# The values behind the checks above. No SQL trains a model; tests recompute the metrics from the written scores.
+
+
+@query("model_scores")
+def _(spark, sf):
+    """Probabilities of both models on the test rows."""
+    return _reports(spark, sf)[2].select("model_name", "row_key", "label", "prob")
+
+
+@query("model_report")
+def _(spark, sf):
+    """Every metric of both models on the test rows."""
+    return _reports(spark, sf)[3]
+
+
+@query("model_fairness_values")
+def _(spark, sf):
+    return evaluate.fairness_report(_scored_people(spark, sf), ["gender", "age_group"], "label", "pred")
+
+
+@query("model_cross_site_values")
+def _(spark, sf):
+    return evaluate.cross_site_report(_scored_people(spark, sf), "unittype", "BUILDING", "MACHINERY", "label", "prob")

@@ -400,3 +400,26 @@ def _(spark, sf):
 def _(spark, sf):
     return privacy.dp_group_mean(b.training_people(spark, sf), epsilon=0, seed=42)
 
+
+
+# 42 is a test value: a release draws its seed afresh and keeps it.
+VIEWS["v_bounded"] = f"""
+SELECT unittype, n, mean, 4.5::DOUBLE * CASE WHEN n > 10 THEN 5.0::DOUBLE / (n - 5) ELSE 1.0::DOUBLE END AS moved,
+       ({hash32("unittype || '#42'")} + 0.5::DOUBLE) / 4294967296.0::DOUBLE - 0.5 AS u
+FROM (SELECT unittype, count(*) AS n, {exact_mean(CLIPPED)} AS mean
+      FROM (SELECT *, row_number() OVER (PARTITION BY patientunitstayid, unittype ORDER BY ('0x' || substr(md5(
+                 '42|' || patientunitstayid || '|' || strftime(hour_bucket, '%Y-%m-%d %H:%M:%S')), 1, 13))::BIGINT, hour_bucket) AS turn
+            FROM v_training_people WHERE unittype IS NOT NULL AND creatinine IS NOT NULL AND patientunitstayid IS NOT NULL)
+      WHERE turn <= 5 GROUP BY unittype)"""
+
+
+@query(
+    "dp_person_mean",
+    """SELECT unittype, n AS bounded_rows, round(moved, 9) AS sensitivity,
+         round(mean - moved / 0.5 * sign(u) * ln(1 - 2 * abs(u)), 6) AS dp_mean FROM v_bounded""",
+)
+def _(spark, sf):
+    people = b.training_people(spark, sf)
+    return privacy.dp_person_mean(
+        people, "unittype", "creatinine", "patientunitstayid", ["patientunitstayid", "hour_bucket"], 5, 0.5, seed=42
+    )
