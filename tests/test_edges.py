@@ -366,3 +366,34 @@ def test_ledger_of_spent_budget(spark):
         privacy.spend(spark, ledger, "second", 0.6, 1.0)
     assert privacy.spend(spark, ledger, "third", 0.5, 1.0) == 0.0
     assert {r["release"]: r["epsilon"] for r in privacy.spent(spark, ledger).collect()} == {"first": 0.5, "third": 0.5}
+
+
+def test_a_write_is_judged_in_one_pass(spark):
+    rows = [(1.0, 5.0, 1, 1), (99.0, 5.0, 2, 2), (1.0, -5.0, 3, 3), (1.0, 5.0, None, 4)]
+    df = layers.settle(spark.createDataFrame(rows, "creatinine double, urine_output_ml double, subject_id int, n int"), "judged")
+
+    def verdicts(some):
+        path = work_dir(spark, "gated")
+        got = {r["check"]: r["passed"] for r in quality.gated_write(some, "t", path).collect()}
+        assert got == {r["check"]: r["passed"] for r in quality.quality_gate_checks(some, "t").collect()}
+        assert spark.read.parquet(path).count() == some.count()
+        return got
+
+    assert verdicts(df) == {"creatinine_range_valid": False, "urine_non_negative": False, "no_missing_patient_ids": False}
+    assert all(verdicts(df.filter("n = 1")).values()) and all(verdicts(df.filter("n > 9")).values())
+    assert quality.gated_write(df.select("n"), "t", work_dir(spark, "gated")).count() == 0
+
+
+def test_a_stream_is_judged_over_its_micro_batches(spark):
+    from tidewatch.streaming import sinks, sources
+
+    path = work_dir(spark, "judged")
+    schema = "creatinine double, subject_id int"
+    for row in [(1.0, 1), (0.1, 2), (1.0, 3)]:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = quality.observed_gate(sources.table_stream_source(spark, f"{path}/in", spark.createDataFrame([], schema).schema, max_files=1))
+    run = sinks.append_files(stream, f"{path}/out", f"{path}/checkpoint", available_now=True)
+    run.awaitTermination()
+    got = {r["check"]: r["passed"] for r in quality.stream_verdicts(run, "t").collect()}
+    assert got == {"creatinine_range_valid": False, "no_missing_patient_ids": True}
+    assert len(run.recentProgress) >= 3

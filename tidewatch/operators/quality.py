@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import config
 
@@ -123,8 +124,8 @@ def gate_report(raw: DataFrame, rules: GateRules, table: str) -> DataFrame:
     )
 
 
-def quality_gate_checks(df: DataFrame, dataset: str) -> DataFrame:
-    """(dataset, check, passed). A check runs only when its column exists; a null fails a range."""
+def gate_checks(df: DataFrame) -> dict[str, Column]:
+    """Whether all rows pass, per check. A check is there only if its column is; a null fails a range."""
     checks: list[tuple[str, Column]] = []
     if "creatinine" in df.columns:
         checks.append(
@@ -138,17 +139,54 @@ def quality_gate_checks(df: DataFrame, dataset: str) -> DataFrame:
     if "hour_bucket" in df.columns:
         time = F.col("hour_bucket")
         checks.append(("valid_timestamps", time.isNull() | time.try_cast("timestamp_ntz").isNotNull()))
-    passed = df.agg(
-        *[
-            F.coalesce(F.bool_and(F.coalesce(ok, F.lit(False))), F.lit(True)).alias(name)
-            for name, ok in checks
-        ]
-    )
-    return passed.unpivot([], [name for name, _ in checks], "check", "passed").select(
+    return {name: F.coalesce(F.bool_and(F.coalesce(ok, F.lit(False))), F.lit(True)).alias(name) for name, ok in checks}
+
+
+def quality_gate_checks(df: DataFrame, dataset: str) -> DataFrame:
+    """(dataset, check, passed), by an aggregate of its own."""
+    checks = gate_checks(df)
+    return df.agg(*checks.values()).unpivot([], list(checks), "check", "passed").select(
         F.lit(dataset).alias("dataset"), "check", "passed"
     )
 
 
+def _verdicts(spark: SparkSession, dataset: str, passed: Mapping[str, bool]) -> DataFrame:
+    rows = [(dataset, name, bool(ok)) for name, ok in passed.items()]
+    return spark.createDataFrame(rows, "dataset string, check string, passed boolean")
+
+
+def gated_write(df: DataFrame, dataset: str, path: str) -> DataFrame:
+    """Write a table and judge it in the same pass: (dataset, check, passed) as `quality_gate_checks` has them.
+
+    The checks are observed while the rows go to their files, so a gate costs no second scan. A task that runs
+    again counts once. Without any column to check there are no verdicts.
+    """
+    checks = gate_checks(df)
+    if not checks:
+        df.write.mode("overwrite").parquet(path)
+        return _verdicts(df.sparkSession, dataset, {})
+    seen = Observation()
+    df.observe(seen, *checks.values()).write.mode("overwrite").parquet(path)
+    return _verdicts(df.sparkSession, dataset, seen.get)
+
+
+GATE = "gate"
+
+
+def observed_gate(stream: DataFrame) -> DataFrame:
+    """A stream whose micro-batches report the checks in their progress, see `stream_verdicts`."""
+    return stream.observe(GATE, *gate_checks(stream).values())
+
+
+def stream_verdicts(query: StreamingQuery, dataset: str) -> DataFrame:
+    """(dataset, check, passed) over the micro-batches that a query still remembers: passed if all of them did."""
+    passed: dict[str, bool] = {}
+    for progress in query.recentProgress:
+        for name, ok in (progress.observedMetrics.get(GATE) or Row()).asDict().items():
+            passed[name] = passed.get(name, True) and ok
+    return _verdicts(SparkSession.active(), dataset, passed)
+
+
 def validation_summary(df: DataFrame, dataset: str, id_column: str) -> DataFrame:
     """One row: sizes, ids, invalid values, duplicate (id, hour) rows and a column per stage."""
     def n(condition: Column) -> Column:

@@ -12,9 +12,11 @@ from tidewatch.plans.catalog import joining, windows  # noqa: F401
 from tidewatch.plans.catalog.inputs import layer_database
 from tidewatch.plans.oracle import VIEWS, exact_mean, hash32
 from tidewatch.plans.registry import query
+from tidewatch.session import work_dir
 from tidewatch.plans.warehouse import Warehouse
 from tidewatch.sources import layers
 from tidewatch.sources.layers import settle
+from tidewatch.streaming import sinks, sources
 
 
 def _missing(columns, conditions=None):
@@ -116,18 +118,35 @@ def _(spark, sf):
     return result
 
 
-@query(
-    "quality_gate_checks",
-    """SELECT 'training_set' AS dataset, 'creatinine_range_valid' AS "check",
+GATE_CHECKS = """SELECT 'training_set' AS dataset, 'creatinine_range_valid' AS "check",
          bool_and(coalesce(creatinine BETWEEN 0.3 AND 15.0, false)) AS passed FROM v_training_set
        UNION ALL SELECT 'training_set', 'urine_non_negative', bool_and(coalesce(urine_output_ml >= 0, false)) FROM v_training_set
        UNION ALL SELECT 'training_set', 'no_missing_patient_ids', bool_and(patientunitstayid IS NOT NULL) FROM v_training_set
-       UNION ALL SELECT 'training_set', 'valid_timestamps', true""",
-)
+       UNION ALL SELECT 'training_set', 'valid_timestamps', true"""
+
+
+@query("quality_gate_checks", GATE_CHECKS)
 def _(spark, sf):
     return quality.quality_gate_checks(b.training_set(spark, sf), "training_set")
 
 
+@query("gated_write", GATE_CHECKS)
+def _(spark, sf):
+    # Judged while it is written: no scan besides the write.
+    return quality.gated_write(b.training_set(spark, sf), "training_set", work_dir(spark, "gated"))
+
+
+@query("gated_stream", GATE_CHECKS)
+def _(spark, sf):
+    rows = b.training_set(spark, sf)
+    path = work_dir(spark, "gated-stream")
+    rows.write.parquet(f"{path}/in")
+    stream = quality.observed_gate(sources.table_stream_source(spark, f"{path}/in", rows.schema))
+    run = sinks.append_files(stream, f"{path}/out", f"{path}/checkpoint", available_now=True)
+    run.awaitTermination()
+    return quality.stream_verdicts(run, "training_set")
+
+
 @query(
     "validation_summary",
     """SELECT 'second_cohort' AS dataset, count(*) AS row_count, count(DISTINCT patientunitstayid) AS unique_ids,
