@@ -223,7 +223,7 @@ def decoder(vocabulary: str) -> Callable[[list[int]], bytes]:
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """The input with a column `decoded` (binary): the bytes of the ids joined, by the token table.
 
-    Null ids decode to no bytes. The table is read from the vocabulary and bounded by its size.
+    An input column of that name is replaced. Null ids decode to no bytes; repeated rows come out each. The table is read from the vocabulary and bounded by its size.
     """
     columns = [c for c in encoded.columns if c != "decoded"]
     schema = encoded.select(*columns).schema.add("decoded", "binary")

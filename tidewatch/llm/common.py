@@ -42,6 +42,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, with underscores behind it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Identity of a document: rows that repeat both id and text are one document."""
     return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.col(text))

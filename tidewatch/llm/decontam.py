@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import lower_ascii, row_key, texts
+from tidewatch.llm.common import lower_ascii, row_key, texts, unused
 from tidewatch.sources.layers import settle
 
 WINDOW = 10
@@ -142,10 +142,14 @@ def contamination(
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without any occurrence, all columns unchanged."""
+    """The documents without any occurrence, all columns unchanged, whatever their names.
+
+    Null and empty texts stay, as do repeated rows of a clean document; an empty table stays empty.
+    """
     found = settle(occurrences(docs, items, window).select("key").distinct(), "contaminated")
     key = row_key_of(docs)
-    return docs.join(found.withColumnRenamed("key", "_found_key"), key == F.col("_found_key"), "left_anti")
+    name = unused("_found_key", docs.columns)
+    return docs.join(found.withColumnRenamed("key", name), key == F.col(name), "left_anti")
 
 
 def row_key_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:

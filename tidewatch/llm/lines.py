@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import prepare
+from tidewatch.llm.common import prepare, unused
 from tidewatch.llm.decontam import row_key_of
 
 #: Shorter lines are duplicates only if they are equal.
@@ -445,14 +445,19 @@ def dedup_lines(
     answers = answered.unionByName(variants).filter(F.col("kind") != HALF)
     done = dealt.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
     columns = [F.col("_text").alias(c) if c == text_col else F.col("_others")[c].alias(c) for c in docs.columns]
-    return done.select(*columns, "_n_lines", "_n_removed")
+    counts = [F.col(c).alias(unused(c, docs.columns)) for c in ("_n_lines", "_n_removed")]
+    return done.select(*columns, *counts)
 
 
 def digest(deduplicated: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_sha256 (of the kept text)."""
+    """doc_id, n_lines, n_removed, kept_sha256 (of the kept text) of every row of `dedup_lines`.
+
+    A null text has no lines and the digest of an empty one; repeated rows come out each; no rows give none.
+    """
+    n_lines, n_removed = deduplicated.columns[-2:]
     return deduplicated.select(
         "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
+        F.col(n_lines).alias("n_lines"),
+        F.col(n_removed).alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import row_key, texts
+from tidewatch.llm.common import row_key, texts, unused
 from tidewatch.llm.graph import components
 from tidewatch.sources.layers import settle
 
@@ -452,15 +452,16 @@ def near_duplicates(
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each near-duplicate group: that of the smallest id, all columns unchanged."""
+    """One row of each near-duplicate group: that of the smallest id, all columns unchanged, whatever their names.
+
+    A null text counts as empty and is near every other without words; of repeated rows one stays; an empty
+    table stays empty.
+    """
     from tidewatch.llm.decontam import row_key_of
 
     grouped = near_duplicates(docs, shingle, None, similarity)
     first = grouped.groupBy("group").agg(F.min(F.struct("doc_id", "key")).alias("one"))
-    kept = settle(first.select(F.col("one.key").alias("_kept_key")).distinct(), "kept-documents")
-    keyed = docs.withColumn("_own_key", row_key_of(docs))
-    return (
-        keyed.join(kept, F.col("_own_key") == F.col("_kept_key"), "left_semi")
-        .dropDuplicates(["_own_key"])
-        .drop("_own_key")
-    )
+    own, kept_key = unused("_own_key", docs.columns), unused("_kept_key", docs.columns)
+    kept = settle(first.select(F.col("one.key").alias(kept_key)).distinct(), "kept-documents")
+    keyed = docs.withColumn(own, row_key_of(docs))
+    return keyed.join(kept, F.col(own) == F.col(kept_key), "left_semi").dropDuplicates([own]).drop(own)
