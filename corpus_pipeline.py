@@ -18,31 +18,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labelled ones among them, accepts."""
+    """Documents that the classifier, trained on the labelled ones among them, accepts; all columns unchanged.
+
+    Null and empty texts are scored like any other without words; repeated rows stay or go together; an empty table
+    stays empty, and without labels of both kinds every score is 0.5.
+    """
     return classifier.score(docs, classifier.fit(docs, _table(spark, sf_dir, "labels")), keep=True)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the lines that stand, or nearly stand, earlier; n_chars follows the text."""
+    """All documents without the lines that stand, or nearly stand, earlier; n_chars follows the text.
+
+    A null text stays null; repeated rows stay, and lose the same lines; an empty table stays empty.
+    """
     done = lines.dedup_lines(docs)
     if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("_n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        n_chars = F.when(F.col(done.columns[-1]) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         done = done.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingle sets are similar at 0.8 or more."""
+    """One document of each group whose five-word shingle sets are similar at 0.8 or more, see `simhash.deduplicate`."""
     return simhash.deduplicate(docs, shingle=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten-word window of a benchmark item."""
+    """Documents without any ten-word window of a benchmark item, see `decontam.clean`."""
     return decontam.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, and the digests of the ids and of what they decode to."""
+    """doc_id, n_tokens, ids, and the digests of the ids and of what they decode to; null texts have no ids."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip_digests(bpe.encode(docs, vocabulary), vocabulary, keep_ids=True)
 
