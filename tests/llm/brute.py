@@ -124,15 +124,6 @@ def components(texts: dict, bits: int = 4) -> dict:
     return groups(list(texts), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= bits)
 
 
-def shingle_set(text: str, size: int = 5) -> frozenset:
-    words = WORD.findall(text.translate(UPPER).encode())
-    return frozenset(tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))) if words else frozenset()
-
-
-def jaccard(a: frozenset, b: frozenset) -> float:
-    return len(a & b) / len(a | b) if a or b else 1.0
-
-
 def shards(texts: dict) -> dict:
     """id -> (start, n_tokens, crc32)."""
     from tokenizers import Tokenizer

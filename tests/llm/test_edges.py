@@ -130,9 +130,7 @@ def test_simhash(docs, everything):
 def test_near_dedup_keeps_the_smallest(docs, everything):
     kept = simhash.deduplicate(docs)
     assert kept.columns == docs.columns
-    sets = {i: brute.shingle_set(t) for i, t in everything.items()}
-    groups = brute.groups(list(everything), lambda a, b: brute.jaccard(sets[a], sets[b]) >= 0.8)
-    assert set(by_id(kept)) == set(groups.values())
+    assert set(by_id(kept)) == set(brute.components(everything).values())
 
 
 def test_token_shards(docs, everything):

@@ -6,19 +6,14 @@ l * budget / segments bits, for every l. A segment whose share is below one diff
 equal, one more difference is allowed a few segments on, and so forth; the segments that a chain
 must have equal are a join key. Rows of a key are compared by the chain first and by all bits last.
 
-With few differences allowed (`chain_keys`) the keys find every pair. Only distinct fingerprints are
-compared, and a key's rows give the links of a spanning forest, not all pairs. A key with many rows is
-cut into blocks, and pairs of blocks are compared in separate tasks.
-
-Shingle sets of a wanted Jaccard similarity differ in too many bits for that. They are proposed by
-bands of minima over the set (`Bands`), whose number follows from the wanted recall alone, not from
-the number of rows, and every proposed link is then checked on the sets themselves.
+The keys find every pair. Only distinct fingerprints are compared, and a key's rows give the links
+of a spanning forest, not all pairs. A key with many rows is cut into blocks, and pairs of blocks are
+compared in separate tasks; so is a join on a fingerprint or a group that many rows have.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -33,13 +28,7 @@ from tidewatch.sources.layers import settle
 
 SEED = 42
 SEGMENTS, CHAIN = 8, 5
-
-#: Similarity of two shingle sets that links them, and how surely such a pair shares a band.
-SIMILARITY = 0.8
-RECALL = 0.9999
-MOST_BANDS = 32
-#: Minima of a sketch, one byte each, and how rarely one may hide a similar pair.
-SKETCH, HIDDEN = 64, 1e-6
+BYTES = 8
 
 #: Rows of one key that are compared in one task.
 BUCKET_ROWS = 4096
@@ -76,66 +65,6 @@ def fingerprint(text: bytes, shingle: int) -> bytes:
     return np.packbits(2 * counts > len(hashes)).tobytes()
 
 
-class Bands:
-    """Signatures of shingle sets: band keys (8 bytes each), then a sketch and the size of the set.
-
-    A band key mixes the minima of `rows` hash orders. Sets of the similarity share one with a
-    probability of RECALL or more, however many rows the table has. The sketch is the last byte of
-    SKETCH minima; `least` of them agree in all but HIDDEN of such pairs.
-    """
-
-    def __init__(self, similarity: float) -> None:
-        def needed(rows: int) -> int:
-            share = similarity**rows
-            return math.ceil(math.log(1 - RECALL) / math.log1p(-share)) if share < 1 else 1
-
-        self.similarity = similarity
-        self.rows = max((r for r in range(1, 17) if needed(r) <= MOST_BANDS), default=1)
-        self.bands = max(needed(self.rows), -(-SKETCH // self.rows))
-        below, self.least = 0.0, 0
-        while self.least < SKETCH:
-            k = self.least
-            below += math.comb(SKETCH, k) * similarity**k * (1 - similarity) ** (SKETCH - k)
-            if below > HIDDEN:
-                break
-            self.least += 1
-        rng = np.random.default_rng(SEED)
-        n = self.rows * self.bands
-        self.turns = rng.integers(0, 1 << 63, (2, n, 1), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-
-    @property
-    def head(self) -> int:
-        return 8 * self.bands
-
-    @property
-    def width(self) -> int:
-        """Bits of a signature."""
-        return 8 * (self.head + SKETCH + 4)
-
-    def signature(self, members: np.ndarray) -> bytes:
-        """Of the distinct hashes of a set."""
-        n = self.turns.shape[1]
-        least = np.full(n, np.iinfo(np.uint64).max)
-        for start in range(0, len(members), 1024):
-            part = members[start : start + 1024]
-            np.minimum(least, ((part ^ self.turns[0]) * self.turns[1]).min(1), out=least)
-        key = np.arange(self.bands, dtype=np.uint64)
-        for column in least.reshape(self.bands, self.rows).T:
-            key = (key ^ column) * np.uint64(0xBF58476D1CE4E5B9)
-            key ^= key >> np.uint64(29)
-        sketch = least[:SKETCH].astype(np.uint8)
-        return key.astype("<u8").tobytes() + sketch.tobytes() + np.array([len(members)], "<u4").tobytes()
-
-    def keys(self, fp: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(fp[:, : self.head]).view("<i8")
-
-    def near(self, one: np.ndarray, others: np.ndarray) -> np.ndarray:
-        """Which rows of `others`, signatures without their keys, may have the similarity."""
-        found = (one[..., :SKETCH] == others[:, :SKETCH]).sum(1, dtype=np.int16) >= self.least
-        mine, theirs = (np.ascontiguousarray(x[..., SKETCH : SKETCH + 4]).view("<u4")[..., 0].astype(np.float64) for x in (one, others))
-        return found & (np.minimum(mine, theirs) >= self.similarity * np.maximum(mine, theirs) - 1e-6)
-
-
 def _keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts(docs, id_col, text_col).select(
         "doc_id", row_key().alias("key"), F.col("text").cast("binary").alias("text")
@@ -155,54 +84,6 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     return _keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, key long, fp binary")
 
 
-def signatures(docs: DataFrame, shingle: int, bands: Bands, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, node, fp binary) of every row; `node` is a hash of the shingle set and `fp` its signature."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            node, found = [], []
-            for text in batch.column("text").to_pylist():
-                members = np.unique(shingles(text, shingle))
-                node.append(xxhash.xxh3_64_digest(members.tobytes()))
-                found.append(bands.signature(members))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("key"),
-                    pa.array(np.frombuffer(b"".join(node), "<i8")), pa.array(found, pa.binary()),
-                ],
-                names=["doc_id", "key", "node", "fp"],
-            )
-
-    return _keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, key long, node long, fp binary")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, members array) of the wanted (key, node)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                found = [np.unique(shingles(t, shingle)) for t in part.column("text").to_pylist()]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                members = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("node"), members], names=["node", "members"])
-
-    rows = _keyed_texts(docs, id_col, text_col).join(wanted, "key").select("node", "text")
-    return rows.mapInArrow(run, "node long, members array<long>").dropDuplicates(["node"])
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have the similarity or more."""
-    one = sets.select(F.col("node").alias("a"), F.col("members").alias("one"))
-    other = sets.select(F.col("node").alias("b"), F.col("members").alias("other"))
-    both = F.size(F.array_intersect("one", "other"))
-    joined = pairs.join(one, "a").join(other, "b")
-    return joined.filter(both / (F.size("one") + F.size("other") - both) >= similarity).select("a", "b")
-
-
 def chain_subsets(segments: int, budget: int, length: int) -> list[tuple[int, ...]]:
     """Sets of segments of which at least one set is equal in any two fingerprints within the budget."""
     allowed = [(i + 1) * budget // segments for i in range(length)]
@@ -264,67 +145,36 @@ def _forest(fp: np.ndarray, near: Near) -> list[tuple[int, int]]:
     return links
 
 
-def _between(fp: np.ndarray, label: np.ndarray, near: Near) -> list[tuple[int, int]]:
-    """All links of one key's rows whose labels differ."""
-    _, group, sizes = np.unique(label, return_inverse=True, return_counts=True)
-    # Rows of the largest group come last and need no search of their own.
-    order = np.argsort(sizes[group], kind="stable")
-    links = []
-    for i in range(len(fp) - sizes.max()):
-        others = order[i + 1 :]
-        others = others[label[others] != label[order[i]]]
-        links += [(order[i], h) for h in others[near(fp[order[i]], fp[others])]]
-    return links
-
-
-def _links_of(
-    node: np.ndarray, key: np.ndarray, fp: np.ndarray, near: Near, label: np.ndarray | None
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links among rows sorted by key: few rows by comparing neighbours, more by a forest.
-
-    With labels, all links of differing labels among keys with more rows.
-    """
+def _links_of(node: np.ndarray, key: np.ndarray, fp: np.ndarray, near: Near) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links among rows sorted by key: few rows by comparing neighbours, more by a forest."""
     edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     sizes = np.repeat(np.diff(edges), np.diff(edges))
     small = sizes <= FEW
-    for d in range(1, min(FEW, len(key)) if label is None else 1):
+    for d in range(1, min(FEW, len(key))):
         i = np.flatnonzero((key[d:] == key[:-d]) & small[:-d])
         if len(i):
             i = i[near(fp[i], fp[i + d])]
             yield node[i], node[i + d]
     for start, end in zip(edges[:-1], edges[1:], strict=True):
         if end - start > FEW:
-            own = fp[start:end]
-            pairs = _forest(own, near) if label is None else _between(own, label[start:end], near)
+            pairs = _forest(fp[start:end], near)
             if pairs:
                 at = np.array(pairs) + start
                 yield node[at[:, 0]], node[at[:, 1]]
 
 
-def links(
-    nodes: DataFrame, keys: Callable[[np.ndarray], np.ndarray], budget: int, width: int, near: Near | None = None,
-    head: int = 0, labelled: bool = False,
-) -> DataFrame:
-    """(a, b): links among (node long, fp binary of `width` bits) that join what is within the budget.
-
-    `near` may replace the budget; the first `head` bytes of `fp` then only serve to make keys. A
-    forest of what is near joins the rows of a key. If `nodes` are `labelled` (label long), links
-    are all pairs of differing labels instead, of those keys where the forest leaves out pairs.
-    """
-    size = width // 8
-    sent = size - head
-    wide = pa.binary(sent)
-    near = near or functools.partial(_near, budget=budget)
-    extra = ["label"] if labelled else []
+def links(nodes: DataFrame, budget: int) -> DataFrame:
+    """(a, b): links among (node long, fp binary of 64 bits) that join what is within the budget."""
+    keys, near = chain_keys(budget), functools.partial(_near, budget=budget)
+    wide = pa.binary(BYTES)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             raw = b"".join(batch.column("fp").to_pylist())
-            fp = np.frombuffer(raw, np.uint8).reshape(-1, size)
+            fp = np.frombuffer(raw, np.uint8).reshape(-1, BYTES)
             found = keys(fp)
-            fp = fp[:, head:]
             n, k = found.shape
             yield pa.RecordBatch.from_arrays(
                 [
@@ -332,13 +182,11 @@ def links(
                     pa.array(np.repeat(batch.column("node").to_numpy(), k)),
                     pa.FixedSizeBinaryArray.from_buffers(wide, n * k, [None, pa.py_buffer(np.repeat(fp, k, 0).tobytes())])
                     .cast(pa.binary()),
-                    *[pa.array(np.repeat(batch.column(c).to_numpy(), k)) for c in extra],
                 ],
-                names=["key", "node", "fp", *extra],
+                names=["key", "node", "fp"],
             )
 
-    schema = "key long, node long, fp binary" + ", label long" * labelled
-    rows = nodes.select("node", "fp", *extra).mapInArrow(keyed, schema)
+    rows = nodes.select("node", "fp").mapInArrow(keyed, "key long, node long, fp binary")
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUCKET_ROWS)
     counts = settle(counts.withColumn("cut", F.ceil(F.col("n") / BUCKET_ROWS).cast("int")).drop("n"), "hot-keys")
     own = F.pmod(F.xxhash64("node"), F.col("cut")).cast("int")
@@ -346,7 +194,7 @@ def links(
         rows.join(counts, "key", "left")
         .withColumn("own", F.coalesce(own, F.lit(0)))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("cut"), F.lit(1)) - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "fp", *extra)
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "fp")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,9 +202,8 @@ def links(
 
         def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
             group = pc_group(table)
-            fp = np.frombuffer(b"".join(table.column("fp").to_pylist()), np.uint8).reshape(-1, sent)
-            label = table.column("label").to_numpy() if labelled else None
-            for a, b in _links_of(table.column("node").to_numpy(), group, fp, near, label):
+            fp = np.frombuffer(b"".join(table.column("fp").to_pylist()), np.uint8).reshape(-1, BYTES)
+            for a, b in _links_of(table.column("node").to_numpy(), group, fp, near):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -389,69 +236,52 @@ def links(
     )
 
 
-def _exact_links(
-    docs: DataFrame, nodes: DataFrame, shingle: int, bands: Bands, id_col: str, text_col: str
-) -> DataFrame:
-    """(a, b): verified links that join what the similarity joins.
+def _join_counted(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Join on a key of which `small` has one row and, as `n`, how many rows of `big` have it.
 
-    The sketches' forest is checked on the sets first. Where a link of it fails, others that it left
-    out may hold: among rows not yet joined, all pairs that the sketches allow are checked then.
+    A key of more than BUCKET_ROWS rows is spread over as many tasks as it has that number of rows.
     """
-    similarity = bands.similarity
-    found = settle(links(nodes, bands.keys, 0, bands.width, bands.near, bands.head), "proposed-links")
-    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
-    linked = settle(nodes.join(ends, "node").select("node", "key", "fp"), "linked-sets")
-    sets = settle(_sets(docs, linked.select("key", "node"), shingle, id_col, text_col), "shingle-sets")
-    good = settle(_similar(found, sets, similarity), "similar-links")
-    if good.count() == found.count():
-        return good
-    label = F.coalesce("root", "node").alias("label")
-    labelled = settle(linked.join(components(good), "node", "left").select("node", "fp", label), "labelled-sets")
-    rest = links(labelled, bands.keys, 0, bands.width, bands.near, bands.head, labelled=True)
-    return good.unionByName(_similar(rest, sets, similarity))
+    cut = F.ceil(F.col("n") / BUCKET_ROWS).cast("int")
+    hot = settle(small.filter(F.col("n") > BUCKET_ROWS).select(on, cut.alias("cut")), "hot-keys")
+    part = F.pmod(F.xxhash64(*big.columns), F.col("cut")).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), cut - 1))
+    spread = big.join(hot, on, "left").withColumn("part", F.coalesce(part, F.lit(0))).drop("cut")
+    return spread.join(small.withColumn("part", parts).drop("n"), [on, "part"]).drop("part")
+
+
+def _grouped(docs: DataFrame, shingle: int, budget: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and for each distinct one (fp, n rows, group, first row of the group)."""
+    if not 0 <= budget < SEGMENTS:
+        raise ValueError(f"chains find up to {SEGMENTS - 1} differing bits, not {budget}")
+    rows = settle(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    own = [F.min(F.struct("doc_id", "key")).alias("first"), F.count(F.lit(1)).alias("n")]
+    nodes = settle(rows.groupBy("fp").agg(*own).withColumn("node", F.xxhash64("fp")), "fingerprint-nodes")
+    roots = settle(components(links(nodes, budget)).join(nodes.select("node", "first"), "node"), "fingerprint-roots")
+    of_root = roots.groupBy("root").agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("n"))
+    of_node = _join_counted(roots.select("node", "root"), settle(of_root, "fingerprint-components"), "root")
+    grouped = nodes.join(of_node, "node", "left").select(
+        "fp", "n", F.coalesce("root", "node").alias("group"), F.coalesce("component", "first").alias("component")
+    )
+    return rows, settle(grouped, "fingerprint-groups")
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 5, budget: int | None = None, similarity: float = SIMILARITY,
-    id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, shingle: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, key, fp (binary), group, component_id of every row: the smallest doc_id reachable over links.
 
-    With `budget`, fingerprints of 64 bits link at that many differing bits or fewer, without a miss.
-    Without it, rows link if the Jaccard similarity of their shingle sets is the wanted one or more:
-    every link is checked on the sets, and RECALL of such pairs or more are proposed, in tables of
-    any size. Texts without words share an empty set or fingerprint and link like any other. A null
-    id comes before every other as a smallest id, and is then null; repeated rows are linked; other
-    columns are ignored; an empty table gives no rows.
+    Fingerprints of 64 bits link at `budget` differing bits or fewer, without a miss. Texts without
+    words share the fingerprint zero and link like any other. A null id comes before every other as
+    a smallest id, and is then null; repeated rows are linked; other columns are ignored; an empty
+    table gives no rows.
     """
-    smallest = F.min(F.struct("doc_id"))
-    if budget is not None:
-        own = "fp"
-        rows = settle(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-        nodes = settle(
-            rows.groupBy("fp").agg(smallest.alias("first")).withColumn("node", F.xxhash64("fp")), "fingerprint-nodes"
-        )
-        found = links(nodes, chain_keys(budget), budget, 64)
-    else:
-        own = "node"
-        bands = Bands(similarity)
-        rows = settle(signatures(docs, shingle, bands, id_col, text_col), "fingerprints")
-        one = [smallest.alias("first"), F.min("key").alias("key"), F.min("fp").alias("fp")]
-        nodes = settle(rows.groupBy("node").agg(*one), "fingerprint-nodes")
-        found = _exact_links(docs, nodes, shingle, bands, id_col, text_col)
-    roots = components(found)
-    linked = roots.join(nodes.select("node", "first"), "node")
-    of_root = linked.groupBy("root").agg(F.min("first").alias("component"))
-    of_node = settle(linked.join(of_root, "root").select("node", "root", "component"), "fingerprint-components")
-    of_row = nodes.join(of_node, "node", "left").select(
-        own, F.coalesce("root", "node").alias("group"), F.coalesce("component", "first").alias("component")
-    )
-    return rows.join(of_row, own).select(
+    rows, grouped = _grouped(docs, shingle, budget, id_col, text_col)
+    return _join_counted(rows, grouped, "fp").select(
         "doc_id", "key", "fp", "group", F.col("component.doc_id").alias("component_id")
     )
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
     """One row of each near-duplicate group: that of the smallest id, all columns unchanged, whatever their names.
 
     A null text counts as empty and is near every other without words; of repeated rows one stays; an empty
@@ -459,9 +289,8 @@ def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     """
     from tidewatch.llm.decontam import row_key_of
 
-    grouped = near_duplicates(docs, shingle, None, similarity)
-    first = grouped.groupBy("group").agg(F.min(F.struct("doc_id", "key")).alias("one"))
+    _, grouped = _grouped(docs, shingle, budget, "doc_id", "text")
     own, kept_key = unused("_own_key", docs.columns), unused("_kept_key", docs.columns)
-    kept = settle(first.select(F.col("one.key").alias(kept_key)).distinct(), "kept-documents")
+    kept = settle(grouped.select(F.col("component.key").alias(kept_key)).distinct(), "kept-documents")
     keyed = docs.withColumn(own, row_key_of(docs))
     return keyed.join(kept, F.col(own) == F.col(kept_key), "left_semi").dropDuplicates([own]).drop(own)
