@@ -39,8 +39,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingle sets are similar at 0.8 or more, see `simhash.deduplicate`."""
-    return simhash.deduplicate(docs, shingle=5, similarity=0.8)
+    """One document of each group whose fingerprints of four-word shingles are linked at four bits or fewer.
+
+    That of the smallest id stays, all columns unchanged, see `simhash.deduplicate`.
+    """
+    return simhash.deduplicate(docs, shingle=4, budget=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
