@@ -162,3 +162,40 @@ def test_a_block_asks_twice_at_most_about_a_shared_half():
         block = lines._lines(t)
         shared = lines._shared(block, lines._told(own, lines.HALF), 20)
         assert set(shared) == set(range(3000)) and all(s & 1 for s in shared.values())
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(9)
+    phrases = [rng.integers(2, 5000, rng.integers(2, 30)) for _ in range(200)]
+    docs = [np.concatenate([phrases[p] for p in rng.integers(0, 200, 12)] + [[7] * rng.integers(0, 40), [grammar.END]]) for _ in range(400)]
+    ids, ends = np.concatenate(docs).astype(np.int64), np.cumsum(list(map(len, docs)))
+    rules, lengths, symbols, at = grammar.compress(ids, ends)
+    inside = np.setdiff1d(np.arange(len(symbols) - 1), at - 1)
+    pairs, counts = np.unique(np.stack([symbols[inside], symbols[inside + 1]]), axis=1, return_counts=True)
+    assert counts.max() < grammar.LEAST_COUNT
+    assert len(symbols) + 2 * len(rules) < len(ids) / 7 and len(np.unique(rules, axis=0)) == len(rules)
+    uses = np.bincount(np.concatenate([symbols, rules.ravel()]))[grammar.FIRST_RULE :]
+    assert uses.min() >= 1 and lengths.min() >= 2
+    shard = grammar.read_shard(grammar.write_shard(ids, ends))
+    assert all((shard.document(d) == docs[d]).all() for d in range(400))
+
+
+def test_answers_of_a_part_do_not_slow_down_with_its_blocks():
+    import time
+
+    def seconds(n_blocks, n=200_000):
+        rng = np.random.default_rng(n_blocks)
+        row = np.sort(rng.integers(0, n_blocks, n))
+        at = rng.integers(0, 1000, n).astype(np.int32)
+        hit = rng.random(n) < 0.5
+        rows = [{"block": b} for b in range(n_blocks)]
+        start = time.process_time()
+        table = lines._answer(rows, lines.EQUAL, at, row, hit)
+        took = time.process_time() - start
+        for own in rng.integers(0, table.num_rows, 20).tolist():
+            b = table["block"][own].as_py()
+            assert (np.frombuffer(table["at"][own].as_py(), np.int32) == np.unique(at[(row == b) & hit])).all()
+        return took
+
+    seconds(128)
+    assert min(seconds(7500) for _ in range(3)) < 5 * min(seconds(128) for _ in range(3)) + 0.05

@@ -2,9 +2,13 @@
 
 Documents are dealt by ranges of id and encoded in that order; a shard holds the documents of about
 BLOCK_TEXT bytes of text. Each shard is compressed by Re-Pair: frequent pairs of neighbouring
-symbols become rules, round after round, never across the end of a document. The shard stores the
-rules, how many ids each expands to, the remaining symbols and where each document begins, so any
-document is decoded without the others.
+symbols become rules, never across the end of a document, until no pair is frequent. The shard stores
+the rules, how many ids each expands to, the remaining symbols and where each document begins, so
+any document is decoded without the others.
+
+A round replaces all pairs that no overlapping pair surpasses in frequency. After it only the
+neighbours of what was replaced, and frequent pairs that gave way, are counted again: a pair of
+older symbols that was rare stays so, as replacing never makes new ones.
 
 The file format is a Parquet table of shards (part, seq, doc_ids, payload). Parts are ranges of id,
 `seq` counts the shards of a part, and `payload` is laid out as
@@ -17,10 +21,11 @@ where a section is the compressed byte planes of its u32 numbers. Symbols below
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -40,16 +45,17 @@ MAGIC = b"RPG1"
 HEADER = struct.Struct("<4sIII4I")
 END = 1
 FIRST_RULE = 1 << 17
-ROUNDS = 3
-RULES_A_ROUND = 4096
+#: A pair is frequent if it stands so often; a rule made in a round replaces half as many places at least,
+#: what is left of a run of one symbol.
 LEAST_COUNT = 8
+LEAST_USES = 4
 BLOCK_TEXT = 4 << 20
 CACHE_CHUNKS, CACHE_WORDS = 250_000, 150_000
 #: The vocabulary's split of normalized text, and where its lower-casing and
 #: composition of letters begin to need the library.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 COMPOSING = "\u0300"
-WORD_END = b"\xff"
+WORD_END = b"\0"
 _BUCKETS = 1 << 20
 
 
@@ -62,55 +68,67 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return left.astype(np.int64) << np.int64(32) | right
 
 
-def _frequent(left: np.ndarray, right: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """Frequent pairs as sorted codes left << 32 | right: the exact counts of the fullest buckets' pairs."""
-    counts = np.bincount(bucket, minlength=_BUCKETS)
-    least = max(LEAST_COUNT, int(np.partition(counts, -RULES_A_ROUND)[-RULES_A_ROUND]))
-    often = counts[bucket] >= least
-    codes, exact = np.unique(_pair(left[often], right[often]), return_counts=True)
-    codes, exact = codes[exact >= LEAST_COUNT], exact[exact >= LEAST_COUNT]
-    if len(codes) > RULES_A_ROUND:
-        codes = codes[np.lexsort((codes, -exact))[:RULES_A_ROUND]]
-    return np.sort(codes)
-
-
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rules (n, 2), symbols and the end of each document in the symbols. `ends` are those in the ids."""
+def _frequent(symbols: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of frequent pairs, the number of each one's pair by rising frequency, and the pairs as left << 32 | right."""
+    left, right = symbols[places], symbols[places + 1]
+    if len(places) > _BUCKETS >> 3:
+        # Most pairs are rare; the counts of buckets rule them out without a sort.
+        bucket = _bucket(left, right)
+        maybe = (np.bincount(bucket, minlength=_BUCKETS) >= LEAST_COUNT)[bucket]
+        places, left, right = places[maybe], left[maybe], right[maybe]
+    codes, own, counts = np.unique(_pair(left, right), return_inverse=True, return_counts=True)
+    order = np.lexsort((codes, counts))
+    order = order[counts[order] >= LEAST_COUNT]
+    rank = np.full(len(codes), -1)
+    rank[order] = np.arange(len(order))
+    ranks = rank[own]
+    return places[ranks >= 0], ranks[ranks >= 0], codes[order]
+
+
+def _taken(places: np.ndarray, ranks: np.ndarray, n_pairs: int) -> np.ndarray:
+    """Which places are replaced: no overlapping pair has a higher rank; of a run of one pair, every second place."""
+    beside = np.diff(places) == 1
+    none = np.full(1, -1)
+    before = np.concatenate([none, np.where(beside, ranks[:-1], -1)])
+    after = np.concatenate([np.where(beside, ranks[1:], -1), none])
+    top = np.flatnonzero((ranks >= before) & (ranks >= after))
+    number = np.arange(len(top))
+    new_run = np.concatenate([[True], np.diff(places[top]) > 1])
+    nth = number - np.maximum.accumulate(np.where(new_run, number, 0))
+    top = top[nth % 2 == 0]
+    # The highest pair gives way to none, so that every round has a rule.
+    return top[np.bincount(ranks[top], minlength=n_pairs)[ranks[top]] >= LEAST_USES]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rules (n, 2), ids each expands to, symbols and the end of each document in them. `ends` are those in the ids."""
     symbols = ids.astype(np.int32)
     last = np.zeros(len(symbols), bool)
     last[ends[ends > 0] - 1] = True
-    rules: list[np.ndarray] = []
-    next_rule = FIRST_RULE
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        inside = np.flatnonzero(~last[:-1])
-        left, right = symbols[inside], symbols[inside + 1]
-        bucket = _bucket(left, right)
-        codes = _frequent(left, right, bucket)
-        if not len(codes):
-            break
-        chosen = np.zeros(_BUCKETS, bool)
-        chosen[_bucket((codes >> 32).astype(np.int32), (codes & 0xFFFFFFFF).astype(np.int32))] = True
-        maybe = np.flatnonzero(chosen[bucket])
-        code = _pair(left[maybe], right[maybe])
-        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-        same = codes[at] == code
-        places, at = inside[maybe[same]], at[same]
-        # Of overlapping pairs every second one is replaced, from the left.
-        new_run = np.concatenate([[True], np.diff(places) > 1])
-        nth = np.arange(len(places)) - np.maximum.accumulate(np.where(new_run, np.arange(len(places)), 0))
-        places, at = places[nth % 2 == 0], at[nth % 2 == 0]
-        used, inverse = np.unique(at, return_inverse=True)
-        rules.append(np.stack([codes[used] >> 32, codes[used] & 0xFFFFFFFF], 1))
-        symbols[places] = (next_rule + inverse).astype(np.int32)
-        last[places] = last[places + 1]
+    last[-1:] = True
+    rules, lengths = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+    places, ranks, codes = _frequent(symbols, np.flatnonzero(~last))
+    while len(places):
+        taken = _taken(places, ranks, len(codes))
+        at = places[taken]
+        used, number = np.unique(ranks[taken], return_inverse=True)
+        made = np.stack([codes[used] >> 32, codes[used] & 0xFFFFFFFF], 1)
+        older = np.maximum(made - FIRST_RULE, 0)
+        sizes = np.where(made >= FIRST_RULE, lengths[older] if len(lengths) else 1, 1).sum(1)
+        symbols[at] = FIRST_RULE + len(rules) + number
+        last[at] = last[at + 1]
+        rules, lengths = np.concatenate([rules, made]), np.concatenate([lengths, sizes])
+        count = np.zeros(len(symbols), bool)
+        count[places] = True
+        new = np.zeros(len(symbols), bool)
+        new[at] = True
         keep = np.ones(len(symbols), bool)
-        keep[places + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        next_rule += len(used)
-    table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    return table, symbols, np.flatnonzero(last) + 1
+        keep[at + 1] = False
+        symbols, last, count, new = symbols[keep], last[keep], count[keep], new[keep]
+        count |= new
+        count[:-1] |= new[1:]
+        places, ranks, codes = _frequent(symbols, np.flatnonzero(count & ~last))
+    return rules, lengths, symbols, np.flatnonzero(last) + 1
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -146,10 +164,7 @@ class Shard:
 
 def write_shard(ids: np.ndarray, ends: np.ndarray) -> bytes:
     """`ends` has the end of each document in the ids; no document is empty."""
-    rules, symbols, at = compress(ids, ends)
-    lengths = np.ones(len(rules), np.int64)
-    for i, (left, right) in enumerate(rules.tolist()):
-        lengths[i] = sum(int(lengths[s - FIRST_RULE]) if s >= FIRST_RULE else 1 for s in (left, right))
+    rules, lengths, symbols, at = compress(ids, ends)
     offsets = np.concatenate([[0], at])
     sections = [pack(rules.T.ravel()), pack(lengths), pack(symbols), pack(offsets)]
     return HEADER.pack(MAGIC, len(ends), len(rules), len(symbols), *map(len, sections)) + b"".join(sections)
@@ -167,25 +182,21 @@ def read_shard(payload: bytes) -> Shard:
     if (len(offsets), len(lengths), len(symbols)) != (n_docs + 1, n_rules, n_symbols):
         raise ValueError("a shard is damaged")
     starts = np.cumsum(lengths) - lengths
-    expanded = np.zeros(int(lengths.sum()), np.int64)
-    for i, (left, right) in enumerate(rules.reshape(2, -1).T.tolist()):
-        to = int(starts[i])
-        for s in (left, right):
-            if s >= FIRST_RULE:
-                n, start = int(lengths[s - FIRST_RULE]), int(starts[s - FIRST_RULE])
-                expanded[to : to + n] = expanded[start : start + n]
-            else:
-                n = 1
-                expanded[to] = s
-            to += n
+    pairs = rules.reshape(2, -1)
+    expanded = np.arange(FIRST_RULE, FIRST_RULE + n_rules)
+    while (rule := expanded >= FIRST_RULE).any():
+        number = expanded[rule] - FIRST_RULE
+        expanded = np.repeat(expanded, rule + 1)
+        first = np.flatnonzero(rule) + np.arange(len(number))
+        expanded[first], expanded[first + 1] = pairs[0, number], pairs[1, number]
     return Shard(symbols, offsets, lengths, starts, expanded)
 
 
-def word_merger(vocabulary: str) -> Callable[[bytes], list[int]]:
-    """Merges of a word's bytes and WORD_END by the vocabulary's ranks.
+def word_merger(vocabulary: str):
+    """An encoding that merges the bytes of a word and WORD_END by the vocabulary's ranks; a line feed stands alone.
 
-    The ids of the vocabulary rise with its merges, which is checked, and byte 255 is in no UTF-8
-    text, so that it can stand for the end of a word.
+    The ids of the vocabulary rise with its merges, which is checked. Texts with byte 0, which
+    stands for the end of a word, are not for it.
     """
     import tiktoken
 
@@ -204,8 +215,10 @@ def word_merger(vocabulary: str) -> Callable[[bytes], list[int]]:
         if token not in special:
             ends = token.endswith(suffix) and token != suffix
             plain = token.removesuffix(suffix) if ends else token
-            ranks[bytes([of_letter[c] for c in plain]) + WORD_END * ends] = rank
-    return tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+            raw = bytes([of_letter[c] for c in plain])
+            if WORD_END not in raw or raw + WORD_END * ends == WORD_END:
+                ranks[raw + WORD_END * ends] = rank
+    return tiktoken.Encoding("words", pat_str=r"[^\n\x00]+\x00|\n", mergeable_ranks=ranks, special_tokens={})
 
 
 class ChunkEncoder:
@@ -213,8 +226,9 @@ class ChunkEncoder:
 
     The vocabulary's own split never joins what a blank or line feed separates, and its normalizer
     drops them, so the ids of a text are those of its chunks one after the other. Chunks of the
-    first alphabets are lower-cased and split here and their words merged by rank, with a byte that
-    no text has for the end of a word; all others, and special strings, go through the library whole.
+    first alphabets are lower-cased and split here and their words merged by rank, with byte 0 for
+    the end of a word: printable ASCII ones all at once, separated by line feeds, others one by one.
+    All other chunks, and special strings, go through the library whole.
     """
 
     def __init__(self, vocabulary: str):
@@ -225,8 +239,10 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.split = regex.compile(WORD_PATTERN).findall
-        self.merged = word_merger(vocabulary)
+        pattern = regex.compile(WORD_PATTERN)
+        self.split, self.end_words = pattern.findall, functools.partial(pattern.sub, r"\g<0>" + WORD_END.decode())
+        self.merger = word_merger(vocabulary)
+        self.line_feed = self.merger.encode_ordinary("\n")[0]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, list[int]] = {}
         self._clear()
@@ -237,7 +253,8 @@ class ChunkEncoder:
 
     def chunk_ids(self, chunk: str, special: bool) -> list[int]:
         """`special` says that some text of the block has a special string."""
-        if not (chunk.isascii() or max(chunk) < COMPOSING) or special and any(s in chunk for s in self.special):
+        known = (chunk.isascii() or max(chunk) < COMPOSING) and WORD_END.decode() not in chunk
+        if not known or special and any(s in chunk for s in self.special):
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
         lowered = chunk.lower()
         if lowered.isalpha():
@@ -250,9 +267,18 @@ class ChunkEncoder:
     def word_ids(self, word: str) -> list[int]:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        ids = self.words[word] = self.merged(word.encode() + WORD_END)
+        ids = self.words[word] = self.merger.encode_ordinary(word + WORD_END.decode())
         return ids
 
+    def together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of chunks of printable ASCII."""
+        if not chunks:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        text = self.end_words("\n".join(chunks).lower()) + "\n"
+        ids = self.merger.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        ends = np.flatnonzero(ids == self.line_feed)
+        return np.diff(ends, prepend=-1) - 1, np.delete(ids, ends)
+
     def encode(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and each text's end."""
         if len(self.numbers) > CACHE_CHUNKS:
@@ -261,10 +287,16 @@ class ChunkEncoder:
         new = list(set().union(*split).difference(self.numbers))
         if new:
             special = any(s in text for text in listed for s in self.special)
-            found = [self.chunk_ids(c, special) for c in new]
-            self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(found))])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int64)])
+            plain, others = [], []
+            for c in new:
+                simple = c.isascii() and c.isprintable() and not (special and any(s in c for s in self.special))
+                (plain if simple else others).append(c)
+            sizes, ids = self.together(plain)
+            found = [self.chunk_ids(c, special) for c in others]
+            first = len(self.numbers)
+            self.numbers.update(zip(chain(plain, others), range(first, first + len(new)), strict=True))
+            self.sizes = np.concatenate([self.sizes, sizes, np.fromiter(map(len, found), np.int64, len(found))])
+            self.flat = np.concatenate([self.flat, ids, np.fromiter(chain.from_iterable(found), np.int64)])
         starts = np.cumsum(self.sizes) - self.sizes
         known = self.numbers.__getitem__
         parts, ends, total = [], [], 0
