@@ -7,8 +7,8 @@ the rules, how many ids each expands to, the remaining symbols and where each do
 any document is decoded without the others.
 
 A round replaces all pairs that no overlapping pair surpasses in frequency. After it only the
-neighbours of what was replaced, and frequent pairs that gave way, are counted again: a pair of
-older symbols that was rare stays so, as replacing never makes new ones.
+neighbours of what was replaced, and frequent pairs that gave way, are counted again: most pairs of
+older symbols that were rare stay so. When none of these is frequent, all are counted once more.
 
 The file format is a Parquet table of shards (part, seq, doc_ids, payload). Parts are ranges of id,
 `seq` counts the shards of a part, and `payload` is laid out as
@@ -68,24 +68,54 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return left.astype(np.int64) << np.int64(32) | right
 
 
-def _frequent(symbols: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of frequent pairs, the number of each one's pair by rising frequency, and the pairs as left << 32 | right."""
-    left, right = symbols[places], symbols[places + 1]
-    if len(places) > _BUCKETS >> 3:
-        # Most pairs are rare; the counts of buckets rule them out without a sort.
-        bucket = _bucket(left, right)
-        maybe = (np.bincount(bucket, minlength=_BUCKETS) >= LEAST_COUNT)[bucket]
-        places, left, right = places[maybe], left[maybe], right[maybe]
-    codes, own, counts = np.unique(_pair(left, right), return_inverse=True, return_counts=True)
-    order = np.lexsort((codes, counts))
-    order = order[counts[order] >= LEAST_COUNT]
-    rank = np.full(len(codes), -1)
-    rank[order] = np.arange(len(order))
-    ranks = rank[own]
-    return places[ranks >= 0], ranks[ranks >= 0], codes[order]
-
-
-def _taken(places: np.ndarray, ranks: np.ndarray, n_pairs: int) -> np.ndarray:
+class _Rules:
+    """Pairs that have a symbol, in order of their numbers and by code (left << 32 | right)."""
+
+    def __init__(self) -> None:
+        self.pairs, self.lengths = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+        self.codes, self.numbers = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def known(self, codes: np.ndarray) -> np.ndarray:
+        """The rule of each code, -1 without one."""
+        if not len(self.codes):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.numbers[at], -1)
+
+    def symbols(self, codes: np.ndarray) -> np.ndarray:
+        """The symbol of each code, a new one if it has none."""
+        number = self.known(codes)
+        new = number < 0
+        number[new] = len(self.pairs) + np.arange(new.sum())
+        made = np.stack([codes[new] >> 32, codes[new] & 0xFFFFFFFF], 1)
+        of_ids = made < FIRST_RULE
+        sizes = np.where(of_ids, 1, np.append(self.lengths, 1)[np.where(of_ids, -1, made - FIRST_RULE)]).sum(1)
+        self.pairs, self.lengths = np.concatenate([self.pairs, made]), np.concatenate([self.lengths, sizes])
+        codes, numbers = np.concatenate([self.codes, codes[new]]), np.concatenate([self.numbers, number[new]])
+        order = np.argsort(codes)
+        self.codes, self.numbers = codes[order], numbers[order]
+        return FIRST_RULE + number
+
+    def frequent(self, symbols: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of pairs that are frequent or have a rule, the number of each one's pair by rising frequency, the pairs' codes."""
+        left, right = symbols[places], symbols[places + 1]
+        if len(places) > _BUCKETS >> 3:
+            # Most pairs are rare; the counts of buckets rule them out without a sort.
+            bucket = _bucket(left, right)
+            often = np.bincount(bucket, minlength=_BUCKETS) >= LEAST_COUNT
+            often[_bucket(self.pairs[:, 0], self.pairs[:, 1])] = True
+            maybe = often[bucket]
+            places, left, right = places[maybe], left[maybe], right[maybe]
+        codes, own, counts = np.unique(_pair(left, right), return_inverse=True, return_counts=True)
+        order = np.lexsort((codes, counts))
+        order = order[(counts[order] >= LEAST_COUNT) | (self.known(codes[order]) >= 0)]
+        rank = np.full(len(codes), -1)
+        rank[order] = np.arange(len(order))
+        ranks = rank[own]
+        return places[ranks >= 0], ranks[ranks >= 0], codes[order]
+
+
+def _taken(places: np.ndarray, ranks: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which places are replaced: no overlapping pair has a higher rank; of a run of one pair, every second place."""
     beside = np.diff(places) == 1
     none = np.full(1, -1)
@@ -96,8 +126,9 @@ def _taken(places: np.ndarray, ranks: np.ndarray, n_pairs: int) -> np.ndarray:
     new_run = np.concatenate([[True], np.diff(places[top]) > 1])
     nth = number - np.maximum.accumulate(np.where(new_run, number, 0))
     top = top[nth % 2 == 0]
-    # The highest pair gives way to none, so that every round has a rule.
-    return top[np.bincount(ranks[top], minlength=n_pairs)[ranks[top]] >= LEAST_USES]
+    # The highest pair gives way to none, so that every round replaces some.
+    uses = np.bincount(ranks[top], minlength=len(known))
+    return top[(uses >= LEAST_USES)[ranks[top]] | known[ranks[top]]]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,18 +137,21 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last = np.zeros(len(symbols), bool)
     last[ends[ends > 0] - 1] = True
     last[-1:] = True
-    rules, lengths = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    places, ranks, codes = _frequent(symbols, np.flatnonzero(~last))
-    while len(places):
-        taken = _taken(places, ranks, len(codes))
+    rules = _Rules()
+    count = ~last
+    every = True
+    while True:
+        places, ranks, codes = rules.frequent(symbols, np.flatnonzero(count & ~last))
+        if not len(places):
+            if every:
+                return rules.pairs, rules.lengths, symbols, np.flatnonzero(last) + 1
+            count, every = ~last, True
+            continue
+        taken = _taken(places, ranks, rules.known(codes) >= 0)
         at = places[taken]
         used, number = np.unique(ranks[taken], return_inverse=True)
-        made = np.stack([codes[used] >> 32, codes[used] & 0xFFFFFFFF], 1)
-        older = np.maximum(made - FIRST_RULE, 0)
-        sizes = np.where(made >= FIRST_RULE, lengths[older] if len(lengths) else 1, 1).sum(1)
-        symbols[at] = FIRST_RULE + len(rules) + number
+        symbols[at] = rules.symbols(codes[used])[number]
         last[at] = last[at + 1]
-        rules, lengths = np.concatenate([rules, made]), np.concatenate([lengths, sizes])
         count = np.zeros(len(symbols), bool)
         count[places] = True
         new = np.zeros(len(symbols), bool)
@@ -127,8 +161,7 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         symbols, last, count, new = symbols[keep], last[keep], count[keep], new[keep]
         count |= new
         count[:-1] |= new[1:]
-        places, ranks, codes = _frequent(symbols, np.flatnonzero(count & ~last))
-    return rules, lengths, symbols, np.flatnonzero(last) + 1
+        every = False
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -227,7 +260,7 @@ class ChunkEncoder:
     The vocabulary's own split never joins what a blank or line feed separates, and its normalizer
     drops them, so the ids of a text are those of its chunks one after the other. Chunks of the
     first alphabets are lower-cased and split here and their words merged by rank, with byte 0 for
-    the end of a word: printable ASCII ones all at once, separated by line feeds, others one by one.
+    the end of a word: printable ones all at once, separated by line feeds, others one by one.
     All other chunks, and special strings, go through the library whole.
     """
 
@@ -248,8 +281,9 @@ class ChunkEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers: dict[str, int] = {"": 0}
-        self.sizes, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        # Number 1 stands for the end of a text.
+        self.numbers: dict[str, int] = {"": 0, " ": 1}
+        self.sizes, self.flat = np.array([0, 1]), np.array([END])
 
     def chunk_ids(self, chunk: str, special: bool) -> list[int]:
         """`special` says that some text of the block has a special string."""
@@ -271,7 +305,7 @@ class ChunkEncoder:
         return ids
 
     def together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and ids of chunks of printable ASCII."""
+        """Sizes and ids of printable chunks of the first alphabets."""
         if not chunks:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         text = self.end_words("\n".join(chunks).lower()) + "\n"
@@ -283,30 +317,28 @@ class ChunkEncoder:
         """All ids with the end id after each text, and each text's end."""
         if len(self.numbers) > CACHE_CHUNKS:
             self._clear()
-        split = [t.replace("\n", " ").split(" ") for t in listed]
-        new = list(set().union(*split).difference(self.numbers))
-        if new:
-            special = any(s in text for text in listed for s in self.special)
-            plain, others = [], []
-            for c in new:
-                simple = c.isascii() and c.isprintable() and not (special and any(s in c for s in self.special))
-                (plain if simple else others).append(c)
-            sizes, ids = self.together(plain)
-            found = [self.chunk_ids(c, special) for c in others]
-            first = len(self.numbers)
-            self.numbers.update(zip(chain(plain, others), range(first, first + len(new)), strict=True))
-            self.sizes = np.concatenate([self.sizes, sizes, np.fromiter(map(len, found), np.int64, len(found))])
-            self.flat = np.concatenate([self.flat, ids, np.fromiter(chain.from_iterable(found), np.int64)])
+        split = pc.split_pattern(pc.replace_substring(pa.array(listed, pa.string()), "\n", " "), " ")
+        chunks = split.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        self._learn([c for c in distinct if c not in self.numbers], any(s in t for t in listed for s in self.special))
+        known = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        n_chunks = np.cumsum(pc.list_value_length(split).to_numpy())
+        at = np.insert(known[chunks.indices.to_numpy()], n_chunks, 1)
         starts = np.cumsum(self.sizes) - self.sizes
-        known = self.numbers.__getitem__
-        parts, ends, total = [], [], 0
-        for chunks in split:
-            at = np.fromiter(map(known, chunks), np.int64, len(chunks))
-            ids = self.flat[_spread(starts[at], self.sizes[at])]
-            total += len(ids) + 1
-            parts += [ids, [END]]
-            ends.append(total)
-        return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64), np.array(ends, np.int64)
+        sizes = self.sizes[at]
+        return self.flat[_spread(starts[at], sizes)], np.cumsum(sizes)[n_chunks + np.arange(len(listed))]
+
+    def _learn(self, new: list[str], special: bool) -> None:
+        plain, others = [], []
+        for c in new:
+            simple = (c.isascii() or max(c) < COMPOSING) and c.isprintable()
+            (others if not simple or special and any(s in c for s in self.special) else plain).append(c)
+        sizes, ids = self.together(plain)
+        found = [self.chunk_ids(c, special) for c in others]
+        first = len(self.numbers)
+        self.numbers.update(zip(chain(plain, others), range(first, first + len(new)), strict=True))
+        self.sizes = np.concatenate([self.sizes, sizes, np.fromiter(map(len, found), np.int64, len(found))])
+        self.flat = np.concatenate([self.flat, ids, np.fromiter(chain.from_iterable(found), np.int64)])
 
 
 #: A worker that runs several tasks keeps its encoder and what it knows.
