@@ -44,3 +44,38 @@ def test_recall_and_candidates(spark):
         assert pairs.filter("count > 1").isEmpty()
         looked.append(found.agg(F.avg("candidates")).first()[0])
     assert looked[1] < 2 * looked[0]
+
+
+def test_pivots_give_the_exact_results_of_few_comparisons(spark):
+    rows = history(spark, 20_000)
+    repeated = settle(rows.unionByName(rows.limit(30).withColumn("row_key", F.concat(F.lit("again"), "row_key"))), "repeated")
+    asked = settle(repeated.orderBy(F.md5("row_key")).limit(20), "asked")
+    moments = similarity.feature_moments(repeated, FEATURES)
+    z = similarity.standardize_features(repeated, FEATURES, moments)
+    z_asked = similarity.standardize_features(asked.withColumnRenamed("row_key", "query_id"), FEATURES, moments, "q_z")
+    index = similarity.pivot_index(z.select("row_key", "z"), "row_key")
+    found, searched = similarity.exact_search(z_asked.select("query_id", "q_z"), index, "row_key", 5, len(FEATURES))
+
+    keys, vectors = zip(*[(r["row_key"], r["z"]) for r in z.select("row_key", "z").collect()], strict=True)
+    vectors = np.array(vectors)
+    want = {}
+    for r in z_asked.collect():
+        far = np.linalg.norm(vectors - np.array(r["q_z"]), axis=1)
+        want[r["query_id"]] = np.sort(far)[:5].round(5).tolist()
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(round(r["distance"], 5))
+        assert abs(np.linalg.norm(vectors[keys.index(r["row_key"])] - vectors[keys.index(r["query_id"])]) - r["distance"]) < 1e-5
+    assert got.keys() == want.keys()
+    assert all(np.allclose(got[q], want[q], atol=2e-5) for q in want)
+    compared = searched.agg(F.sum("n")).first()[0]
+    assert 100 <= compared < 0.15 * 20 * len(keys)
+
+
+def test_exact_search_of_small_tables(spark):
+    rows = history(spark, 3)
+    assert similarity.exact_similar(rows, rows, "row_key", k=5).count() == 9
+    assert similarity.exact_similar(rows.limit(1), rows.filter("row_key = ''"), "row_key").count() == 0
+    assert similarity.exact_similar(rows.filter("row_key = ''"), rows, "row_key").count() == 0
+    same = rows.withColumns({c: F.lit(1.0) for c in FEATURES})
+    assert {r["distance"] for r in similarity.exact_similar(same, same, "row_key", k=2).collect()} == {0.0}

@@ -19,11 +19,18 @@ from pyspark.sql import functions as F
 from tidewatch import config
 from tidewatch.functions.hashing import salt
 from tidewatch.functions.numeric import plain_number, round_half_up
+from tidewatch.sources.layers import settle
 
 DEFAULT_TABLES = 5
 DEFAULT_BITS = 8
 SEED = 42
 
+RING = ["pivot", "second", "ring"]
+#: Bounds give way by so much, more than distances are rounded by.
+SLACK = 1e-5
+#: Rows that are looked at first, as a multiple of the wanted ones.
+FIRST_ROWS = 64
+
 
 def projections(n_tables: int, n_bits: int, dims: int, seed: int = SEED) -> list[np.ndarray]:
     """One (bits x dims) Gaussian matrix per table, in the order of a seeded generator."""
@@ -294,24 +301,112 @@ def lsh_similar(
     return lsh_search(asked, index, moments, key, features, k, n_tables, n_bits, seed, salts, query_key)
 
 
+def choose_pivots(z: DataFrame, n: int, sample: int = 2048) -> np.ndarray:
+    """Up to `n` vectors far from each other, among a bounded sample of the rows: those of the smallest hashes."""
+    rows = z.select("z").distinct().orderBy(F.xxhash64("z"), "z").limit(sample).collect()
+    vectors = np.array([r["z"] for r in rows])
+    if not len(vectors):
+        return vectors
+    chosen = [0]
+    gap = np.linalg.norm(vectors - vectors[0], axis=1)
+    while len(chosen) < n and gap.max() > 0:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, np.linalg.norm(vectors - vectors[chosen[-1]], axis=1))
+    return vectors[chosen]
+
+
+def pivot_distances(vector: Column, pivots: np.ndarray) -> Column:
+    """Distances to all pivots, in their order."""
+    return F.array(*[euclidean(vector, F.array(*map(F.lit, p.tolist())), len(p)) for p in pivots])
+
+
+class PivotIndex(NamedTuple):
+    """`rows` by their two nearest pivots and ring of distance to the nearest; `rings` has, of each, rows and the range of distances to every pivot."""
+
+    rows: DataFrame
+    rings: DataFrame
+    pivots: np.ndarray
+
+
+def pivot_index(z: DataFrame, key: str, n_pivots: int = 32, n_rings: int = 16) -> PivotIndex:
+    """Index of (key, z): a ring per pair of pivots and step of distance, the steps a share of the largest distance to a nearest pivot.
+
+    Rings are at most pivots squared times rings and one, whatever the number of rows; both follow the wanted fineness.
+    """
+    pivots = choose_pivots(z, n_pivots)
+    if not len(pivots):
+        none = z.select(key, "z", *[F.lit(0).alias(c) for c in RING])
+        empty = z.select(*[F.lit(0).alias(c) for c in RING], F.lit(0).alias("n"), F.col("z").alias("low"), F.col("z").alias("high"))
+        return PivotIndex(none.limit(0), empty.limit(0), pivots)
+    far = settle(z.select(key, "z", pivot_distances(F.col("z"), pivots).alias("far")), "pivot-distances")
+    nearest, next_one = F.array_min("far"), F.get(F.array_sort("far"), 1)
+    step = far.agg(F.max(nearest)).first()[0] / n_rings or 1.0
+    rows = far.select(
+        key, "z", "far",
+        F.array_position("far", nearest).cast("int").alias("pivot"),
+        F.coalesce(F.array_position("far", next_one), F.lit(0)).cast("int").alias("second"),
+        F.floor(nearest / step).cast("int").alias("ring"),
+    )
+    ends = [F.array(*[end(F.col("far")[i]) for i in range(len(pivots))]) for end in (F.min, F.max)]
+    rings = rows.groupBy(*RING).agg(F.count(F.lit(1)).alias("n"), ends[0].alias("low"), ends[1].alias("high"))
+    return PivotIndex(rows.drop("far"), settle(rings, "pivot-rings"), pivots)
+
+
+def pivot_rings(z_queries: DataFrame, index: PivotIndex, query_key: str) -> DataFrame:
+    """(query, vector, ring, n, least) for the queries, a handful, and all rings.
+
+    No row of the ring is nearer than `least`, by the triangle inequality over every pivot.
+    """
+    asked = z_queries.withColumn("far", pivot_distances(F.col("q_z"), index.pivots))
+    queries = asked.agg(F.collect_list(F.struct(query_key, "q_z", "far"))).scalar()
+    both = index.rings.withColumn("_queries", queries).select("*", F.explode("_queries").alias("q"))
+    gaps = F.zip_with(F.col("q.far"), F.arrays_zip("low", "high"), lambda far, end: F.greatest(end["low"] - far, far - end["high"], F.lit(0.0)))
+    return both.select(
+        F.col(f"q.{query_key}").alias(query_key), F.col("q.q_z").alias("q_z"), *RING, "n",
+        F.array_max(gaps).alias("least"),
+    )
+
+
+def pivot_pairs(asked: DataFrame, index: PivotIndex, key: str, query_key: str, dims: int) -> DataFrame:
+    """Each wanted (query, ring) with the ring's rows and their distances."""
+    pairs = index.rows.join(asked.select(query_key, "q_z", *RING), RING)
+    return pairs.select(query_key, key, round_half_up(euclidean(F.col("z"), F.col("q_z"), dims), 6).alias("distance"))
+
+
+def exact_search(z_queries: DataFrame, index: PivotIndex, key: str, k: int, dims: int, query_key: str = "query_id") -> tuple[DataFrame, DataFrame]:
+    """The k nearest rows of every query, and the (query, ring) that had to be searched for them, with `n` rows each.
+
+    The rings of least bounds that hold some times k rows give a distance within which the k nearest are;
+    rings farther than that are left out.
+    """
+    rings = settle(pivot_rings(z_queries, index, query_key), "query-rings")
+
+    order = Window.partitionBy(query_key).orderBy("least", *RING).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(order), F.lit(0))
+    first = rings.withColumn("_before", before).filter(F.col("_before") < FIRST_ROWS * k)
+    seen = topk_similar(pivot_pairs(first, index, key, query_key, dims), query_key, key, k)
+    within = settle(seen.groupBy(query_key).agg(F.max("distance").alias("within"), F.count(F.lit(1)).alias("found")), "within")
+    wanted = rings.join(within, query_key).filter((F.col("found") < k) | (F.col("least") <= F.col("within") + SLACK))
+    wanted = settle(wanted.select(query_key, "q_z", *RING, "n"), "wanted-rings")
+    return topk_similar(pivot_pairs(wanted, index, key, query_key, dims), query_key, key, k), wanted
+
+
 def exact_similar(
     queries: DataFrame, history: DataFrame, key: str, features: Sequence[str] = config.FEATURES,
     k: int = 5, query_key: str = "query_id",
 ) -> DataFrame:
     """The k nearest rows without hashing: the yardstick for the hashed search's recall.
 
-    The queries are a handful of example rows, gathered to one array and scanned against.
+    The queries are a handful of example rows. Distances to pivots rule out most of the history, see `exact_search`.
     """
     moments = feature_moments(history, features)
-    z_history = standardize_features(history.select(key, *features), features, moments)
+    z_history = standardize_features(history.select(key, *features), features, moments).select(key, "z")
     z_queries = standardize_features(queries.select(F.col(key).alias(query_key), *features), features, moments, "q_z")
-    probes = z_queries.agg(F.collect_list(F.struct(query_key, "q_z"))).scalar()
-    pairs = z_history.withColumn("_probes", probes).select(key, "z", F.explode("_probes").alias("q")).select(
-        F.col(f"q.{query_key}").alias(query_key),
-        key,
-        round_half_up(euclidean(F.col("z"), F.col("q.q_z"), len(features)), 6).alias("distance"),
-    )
-    return topk_similar(pairs, query_key, key, k)
+    index = pivot_index(z_history, key)
+    if not len(index.pivots):
+        pairs = index.rows.select(F.col(key).alias(query_key), key, F.lit(0.0).alias("distance"))
+        return topk_similar(pairs, query_key, key, k)
+    return exact_search(z_queries.select(query_key, "q_z"), index, key, k, len(features), query_key)[0]
 
 
 def progression_examples(df: DataFrame, key: str, target: str = config.TARGET, n: int = 1) -> DataFrame:
