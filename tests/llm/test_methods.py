@@ -199,3 +199,61 @@ def test_answers_of_a_part_do_not_slow_down_with_its_blocks():
 
     seconds(128)
     assert min(seconds(7500) for _ in range(3)) < 5 * min(seconds(128) for _ in range(3)) + 0.05
+
+
+def _distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, above = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="ab", max_size=7), st.text(alphabet="ab", max_size=7))
+def test_one_edit_is_an_edit_distance(a, b):
+    assert lines.within_one_edit(a, b) == (_distance(a, b) <= 1)
+
+
+def test_a_line_goes_only_if_the_texts_are_one_edit_apart():
+    import pyarrow as pa
+
+    line = "a line of twenty characters or more"
+    table = pa.table({"_block": [0], "_id": [1], "_key": [1], "_text": [line]})
+    block = lines._lines(table)
+    at = np.int32(0).tobytes()
+
+    def gone(*texts):
+        rows = [{"kind": lines.VARIANT, "at": at, "text": t} for t in texts]
+        return lines._verified(block, pa.Table.from_pylist([*rows, {"kind": lines.EQUAL, "at": at, "text": None}]))
+
+    # What shares a key by chance alone, and what does so beside a true neighbour.
+    assert gone("another line with the same key", line[2:]) == set()
+    assert gone("another line with the same key", line[1:]) == {0}
+
+
+def test_pairs_name_the_earliest_line():
+    import pyarrow as pa
+
+    stem = "a line of twenty characters or more, number "
+    tables = [
+        pa.table({"_block": [b] * 2, "_id": [b, b + 10], "_key": [b, b + 10], "_text": [f"{stem}{b}", f"{stem}1{b}"]})
+        for b in range(3)
+    ]
+    asked = []
+    for t in tables:
+        block = lines._lines(t)
+        n = [len(s) for s in block.listed]
+        hashes, places, of = lines._hashed(block.listed, np.zeros(2, np.int64), np.array(n))
+        asked += lines._ask(block, lines.VARIANT, hashes, places, of, 0, of)
+    pairs = lines._pair_up(pa.Table.from_pylist(asked, lines._ASKED))
+    found = {}
+    for b, t in enumerate(tables):
+        own = pairs.filter(pa.compute.equal(pairs["block"], b))
+        for row in lines._earlier(t, own).to_pylist():
+            for later in row["later"]:
+                number = int(np.frombuffer(later["at"], np.int32)[0])
+                found[lines._lines(tables[later["block"]]).listed[number]] = row["text"]
+    expected = {f"{stem}{x}": f"{stem}0" for x in ("1", "2", "10")} | {f"{stem}11": f"{stem}1", f"{stem}12": f"{stem}1"}
+    assert found == expected

@@ -3,8 +3,9 @@
 Two lines are one edit apart if they are equal without the character at one and the same place (a
 substitution), or if one equals the other without one character. Each line therefore emits itself
 and its variants with one character deleted as hashed keys that carry the deleted place; equal
-variants of another place would be two edits apart and are rejected, which verifies the distance
-without comparing any pair. Of each key only the earliest line counts.
+variants of another place would be two edits apart. Of each key only the earliest line counts: it is
+named to the later ones, its text is sent to them, and a line goes only if the two texts are one
+edit apart.
 
 Lines of one edit share their first or their second half. Only lines that share a half with
 another line of about their length emit variants, and only with deletions in the other half.
@@ -41,12 +42,18 @@ JOIN_ROWS, LINE_BYTES = 500_000, 300
 
 ASKED = "part int, kind int, block int, hashes binary, tails binary, at binary, docs binary, doc_ids binary, keys binary"
 ANSWER = "block int, kind int, at binary"
+PAIRS = "block int, at binary, later_blocks binary, later_at binary"
+EARLIER = "text string, later array<struct<block:int,at:binary>>"
 EQUAL, HALF, VARIANT = 0, 1, 2
 _ASKED = pa.schema(
     [("part", pa.int32()), ("kind", pa.int32()), ("block", pa.int32())]
     + [(c, pa.binary()) for c in ("hashes", "tails", "at", "docs", "doc_ids", "keys")]
 )
 _ANSWER = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("at", pa.binary())])
+_PAIRS = pa.schema([("block", pa.int32())] + [(c, pa.binary()) for c in ("at", "later_blocks", "later_at")])
+_EARLIER = pa.schema(
+    [("text", pa.string()), ("later", pa.list_(pa.struct([("block", pa.int32()), ("at", pa.binary())])))]
+)
 
 
 @dataclass
@@ -278,7 +285,7 @@ def _places(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Answers of one part: lines that are not the earliest, halves that are shared, lines near an earlier one."""
+    """Answers of one part: lines that are not the earliest, halves that are shared."""
     rows, hashes, tails, at, row = _joined(table)
     kind = rows[0]["kind"]
     if kind == HALF:
@@ -290,30 +297,96 @@ def _compare(table: pa.Table) -> pa.Table:
         hit[order] = kinds[group] > 1
         return _answer(rows, HALF, at, row, hit)
     ids, keys = _places(rows)
-    if kind == EQUAL:
-        order = np.lexsort((at, keys, ids, tails, hashes))
-        hit = np.zeros(len(hashes), bool)
-        hit[order] = ~_starts(hashes[order], tails[order])
-        return _answer(rows, EQUAL, at, row, hit)
-    # Variants: the rank of the line's place decides who is earlier.
+    order = np.lexsort((at, keys, ids, tails, hashes))
+    hit = np.zeros(len(hashes), bool)
+    hit[order] = ~_starts(hashes[order], tails[order])
+    return _answer(rows, EQUAL, at, row, hit)
+
+
+def _pair_up(table: pa.Table) -> pa.Table:
+    """For each line with a variant of an earlier one in this part, the earliest; by the block of the earlier line."""
+    rows, hashes, tails, at, row = _joined(table)
+    ids, keys = _places(rows)
+    # The rank of a line's place decides who is earlier.
     by_place = np.lexsort((at, keys, ids))
     rank = np.empty(len(at), np.int64)
-    rank[by_place] = np.cumsum(_starts(ids[by_place], keys[by_place], at[by_place]))
+    rank[by_place] = np.cumsum(_starts(ids[by_place], keys[by_place], at[by_place])) - 1
     order = np.lexsort((rank, tails, hashes))
     h, t, r = hashes[order], tails[order], rank[order]
     same_place = _starts(h, t)
     first = r[np.maximum.accumulate(np.where(same_place, np.arange(len(r)), 0))]
-    near = first < r
     content = np.cumsum(_starts(h)) - 1
     none = np.iinfo(np.int64).max
-    whole = np.full(content[-1] + 1 if len(content) else 0, none)
+    whole = np.full(content[-1] + 1, none)
     np.minimum.at(whole, content[t == 0], r[t == 0])
     cut = np.full(len(whole), none)
     np.minimum.at(cut, content[t > 0], r[t > 0])
-    near |= np.where(t == 0, cut[content], whole[content]) < r
-    hit = np.zeros(len(hashes), bool)
-    hit[order] = near
-    return _answer(rows, VARIANT, at, row, hit)
+    earliest = np.full(int(rank.max()) + 1, none)
+    np.minimum.at(earliest, r, np.minimum(first, np.where(t == 0, cut[content], whole[content])))
+    entry = np.empty(len(earliest), np.int64)
+    entry[rank] = np.arange(len(rank))
+    later = np.flatnonzero(earliest < np.arange(len(earliest)))
+    blocks = np.array([own["block"] for own in rows], np.int32)[row]
+    a, b = entry[later], entry[earliest[later]]
+    a, b = a[np.argsort(blocks[b], kind="stable")], b[np.argsort(blocks[b], kind="stable")]
+    edges = [*np.flatnonzero(_starts(blocks[b])).tolist(), len(b)]
+    found = [
+        {
+            "block": int(blocks[b[i]]), "at": at[b[i:j]].tobytes(),
+            "later_blocks": blocks[a[i:j]].tobytes(), "later_at": at[a[i:j]].tobytes(),
+        }
+        for i, j in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    return pa.Table.from_pylist(found, _PAIRS)
+
+
+def _earlier(table: pa.Table, pairs: pa.Table) -> pa.Table:
+    """The text of each earlier line of the block that a pair names, and the later lines of its pairs."""
+    if not table.num_rows or not pairs.num_rows:
+        return pa.Table.from_pylist([], _EARLIER)
+    listed = _lines(table).listed
+    at, blocks, later = (
+        np.concatenate([np.frombuffer(x, np.int32) for x in pairs.column(c).to_pylist()])
+        for c in ("at", "later_blocks", "later_at")
+    )
+    own = np.unique(np.stack([at, blocks, later], 1), axis=0)
+    edges = [*np.flatnonzero(_starts(own[:, 0])).tolist(), len(own)]
+    found = [
+        {
+            "text": listed[own[i, 0]],
+            "later": [{"block": int(block), "at": number.tobytes()} for _, block, number in own[i:j]],
+        }
+        for i, j in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    return pa.Table.from_pylist(found, _EARLIER)
+
+
+def within_one_edit(a: str, b: str) -> bool:
+    """Whether the texts are equal, or become so by one character added, dropped or replaced."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > 1:
+        return False
+    low, high = 0, len(b)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return a[low + 1 :] == b[low + (len(a) == len(b)) :]
+
+
+def _verified(block: Lines, answers: pa.Table) -> set[int]:
+    """Numbers of the lines that are one edit apart from an earlier line, whose text was sent."""
+    gone: set[int] = set()
+    columns = (answers.column(c).to_pylist() for c in ("kind", "at", "text"))
+    for kind, at, text in zip(*columns, strict=True):
+        if kind == VARIANT:
+            number = int.from_bytes(at, "little")
+            if number not in gone and within_one_edit(block.listed[number], text):
+                gone.add(number)
+    return gone
 
 
 def _told(answers: pa.Table, kind: int) -> np.ndarray:
@@ -373,7 +446,7 @@ def dedup_lines(
     A line, without white space at its ends, is removed if an equal line stands earlier: in a
     smaller id, or further up in the same text. If it has `least_chars` characters or more, an
     earlier line of `least_chars` or more that differs by one edit (a character added, dropped or
-    replaced) removes it too, whether that one is kept or not. `_n_lines` counts the lines that are
+    replaced) removes it too, whether that one is kept or not; both texts are compared before. `_n_lines` counts the lines that are
     not blank, `_n_removed` those that went. Blank lines stay. Null texts stay null with no lines;
     a null id comes before all others; rows that repeat id and text are one document and get the
     same result each; different texts of one id are ordered by a hash; all other columns stay as
@@ -412,7 +485,7 @@ def dedup_lines(
             none = pa.nulls(0, pa.int64())
             return pa.table({"_others": empty, "_text": pa.nulls(0, pa.string()), "_n_lines": none, "_n_removed": none})
         block = _lines(table)
-        gone = set(_told(answers, EQUAL).tolist()) | set(_told(answers, VARIANT).tolist())
+        gone = set(_told(answers, EQUAL).tolist()) | _verified(block, answers)
         kept, n_lines, n_removed = [None] * table.num_rows, [0] * table.num_rows, [0] * table.num_rows
         met: set[int] = set()
         for i in block.order:
@@ -444,11 +517,16 @@ def dedup_lines(
 
     asked = dealt.groupBy("_block").applyInArrow(ask, ASKED)
     answered = asked.groupBy("part", "kind").applyInArrow(_compare, ANSWER)
-    variants = (
+    pairs = (
         dealt.groupBy("_block").cogroup(answered.groupBy("block")).applyInArrow(ask_variants, ASKED)
-        .groupBy("part", "kind").applyInArrow(_compare, ANSWER)
+        .groupBy("part").applyInArrow(_pair_up, PAIRS)
+    )
+    earlier = dealt.groupBy("_block").cogroup(pairs.groupBy("block")).applyInArrow(_earlier, EARLIER)
+    variants = earlier.select(F.explode("later").alias("later"), "text").select(
+        "later.block", F.lit(VARIANT).alias("kind"), "later.at", "text"
     )
-    answers = answered.unionByName(variants).filter(F.col("kind") != HALF)
+    equal = answered.filter(F.col("kind") == EQUAL).withColumn("text", F.lit(None).cast("string"))
+    answers = equal.unionByName(variants)
     done = dealt.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
     columns = [F.col("_text").alias(c) if c == text_col else F.col("_others")[c].alias(c) for c in docs.columns]
     counts = [F.col(c).alias(unused(c, docs.columns)) for c in ("_n_lines", "_n_removed")]
