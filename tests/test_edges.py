@@ -4,6 +4,7 @@ import math
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ from tidewatch.operators import (
 from tidewatch import session
 from tidewatch.session import work_dir
 from tidewatch.sources import files, layers
+from tidewatch.streaming import operators, sinks, sources
 
 
 def at(text):
@@ -255,6 +257,19 @@ def test_scoring_returns_every_row(spark, tmp_path):
     assert scored.filter("prob between 0 and 1").count() == 60
 
 
+def test_a_fitted_model_scores_after_metrics_were_observed(spark, tmp_path):
+    rows = [(i, float(i % 7), float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, label double")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "rows"))
+    assert seen.get == {"n": 60}
+    model = ml.fit_logistic(df, ["a"], "label")
+    scored = {r["id"]: r["prob"] for r in ml.score_batch(model, df).collect()}
+    stream = operators.stream_score(model, sources.table_stream_source(spark, str(tmp_path / "rows"), df.schema))
+    assert {r["id"]: r["prob"] for r in sinks.drain(stream, "scored").collect()} == scored
+    assert len(scored) == 60 and all(0 <= p <= 1 for p in scored.values())
+
+
 def test_quoted_fields(spark, tmp_path):
     path = tmp_path / "quoted.csv"
     path.write_text('a,b,c\n1,"say ""hi"", now",x\n2,"two\nlines",y\n')

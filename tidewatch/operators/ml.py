@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.hashing import hash52, unit_uniform
 from tidewatch.operators.skew import BLOCK_ROWS, running, salted_join, value_blocks
+from tidewatch.session import work_dir
 from tidewatch.sources.layers import settle
 
 IMPUTED = "_imputed_"
@@ -122,7 +123,18 @@ def prepared(train: DataFrame, columns: Sequence[str]) -> list:
 def fit_logistic(train: DataFrame, columns: Sequence[str], label: str, max_iter: int = 10) -> PipelineModel:
     """Imputer, scaler and logistic regression fitted on the training rows."""
     last = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
-    return Pipeline(stages=[*prepared(train, columns), last]).fit(train)
+    return _without_summary(Pipeline(stages=[*prepared(train, columns), last]).fit(train), train.sparkSession)
+
+
+def _without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as saved and loaded again, its numbers the same.
+
+    A fresh logistic model carries its training summary, and with that the session, into every task. A session that
+    has observed metrics once does not serialize, so such a model would score no row.
+    """
+    path = work_dir(spark, "model")
+    model_save(model, path)
+    return model_load(path)
 
 
 def fit_gbt(
