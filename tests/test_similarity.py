@@ -1,6 +1,7 @@
 """Multi-probe search: order of the probes, recall, candidates that do not grow with the history."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import config
@@ -79,3 +80,35 @@ def test_exact_search_of_small_tables(spark):
     assert similarity.exact_similar(rows.filter("row_key = ''"), rows, "row_key").count() == 0
     same = rows.withColumns({c: F.lit(1.0) for c in FEATURES})
     assert {r["distance"] for r in similarity.exact_similar(same, same, "row_key", k=2).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_blocks_of_a_bucket_give_the_pairs_nearest(spark, many):
+    # Ties, repeated and null keys, infinite and missing values; a bucket of all rows in one table.
+    def rows(n, step, bad):
+        values = [[float((i * step + j) % 5) for j in range(3)] for i in range(n)]
+        for i in bad:
+            values[i][i % 3] = float("nan") if i % 2 else float("inf")
+        return [(None if i % 17 == 0 else f"r{i % 40:02d}", v, [0, int(v[0]), int(v[1] + v[2])]) for i, v in enumerate(values) if np.isfinite(v).all()] + [
+            (f"x{i}", values[i], [0, 9, 9]) for i in bad
+        ]
+
+    def long(data, names):
+        df = spark.createDataFrame(data, f"{names[0]} string, {names[1]} array<double>, {names[2]} array<bigint>")
+        return df.select("*", F.posexplode(names[2]).alias("table_id", "bucket"))
+
+    index = long(rows(120, 7, [3, 8]), ("key", "z", "buckets")).withColumn("told", F.concat("key", F.lit("!")))
+    asked = long([(f"q{i}", *r[1:]) for i, r in enumerate(rows(60, 3, [4, 5]))], ("query", "q_z", "q_buckets"))
+    pairs = similarity.lsh_bucket_join(asked, index, "key").select(
+        "query", "key", "told", similarity.round_half_up(similarity.euclidean(F.col("z"), F.col("q_z"), 3), 6).alias("distance")
+    )
+    blocks = similarity.bucket_nearest(asked, index, "query", "key", 4, 3, keep=("told",), many=many)
+    # Pairs come as few rows: at most k per probe, table and salt.
+    assert "Join" not in blocks._jdf.queryExecution().optimizedPlan().toString().replace("Join Cross", "")
+    order = ["query", "rank"]
+    shown = ["query", "key", "told", "distance", "rank"]
+    expected, got = (
+        [tuple(r) for r in similarity.topk_similar(p, "query", "key", 4).select(*shown).orderBy(*order).collect()]
+        for p in (pairs, blocks)
+    )
+    assert expected and str(got) == str(expected)
