@@ -166,3 +166,22 @@ def test_the_copies_count_in_the_size_check(spark, tmp_path, how):
     rows = [(i % 700, i) for i in range(30000)]
     wanted = {"inner": lambda k: k % 3 == 0, "left_semi": lambda k: k % 3 == 0, "left_anti": lambda k: k % 3, "left": lambda k: True}[how]
     assert [tuple(r) for r in got] == sorted(r for r in rows if wanted(r[0]))
+
+
+def test_compressed_files_are_not_broadcast_unmeasured(spark):
+    from tidewatch.sources.layers import settle
+
+    # A few megabytes of files, many more of rows: each of them is more than a tenth of the usual threshold.
+    n = 500_000
+    many = settle(spark.range(n).select("id", F.xxhash64("id").alias("x")), "many")
+    others = settle(spark.range(n).select("id", F.xxhash64("id", F.lit(1)).alias("y")), "others")
+    size = int(str(many._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert 1 << 20 < size < 10 << 20
+
+    def large_broadcasts(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("BroadcastHashJoin")
+
+    assert large_broadcasts(skew.salted_join(many, others, ["id"])) == 0
+    block = F.floor(F.col("id") / 10)
+    assert large_broadcasts(skew.running(many, ["x"], ["id"], block, {"n": ("count", F.lit(1))})) == 0
