@@ -148,3 +148,40 @@ def test_membership_within_the_horizon(spark):
     assert sum(fresh) <= 0.02 * len(fresh)
     # Beyond the horizon a filter is gone: what it held counts as new.
     assert sum(min(seen[900_000 + i]) for i in range(100)) <= 5
+
+
+def test_patients_share_calls_and_state_values(spark):
+    from tidewatch.streaming import state
+
+    calls = []
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            calls.append(1)
+            self.held = value
+
+    processor = state.PatientState()
+    processor.state = Value()
+    # 500 patients, one of them without a key, in two micro-batches: one state request each.
+    for batch in range(2):
+        import pandas as pd
+
+        frame = pd.DataFrame(
+            {
+                "known": [p > 0 for p in range(500) for _ in range(30)], "subject": [p for p in range(500) for _ in range(30)],
+                "charttime": [f"{batch}{i:02d}" for _ in range(500) for i in range(30)], "event_type": ["creatinine", "urine", "other"] * 5000,
+                "value": [float(100 * batch + i) for _ in range(500) for i in range(30)], "unnumbered": False,
+                "arrival": range(15000), "uom": None,
+            }
+        )
+        (out,) = processor.handleInputRows((0,), iter([frame.sample(frac=1, random_state=1)[:7000], frame.sample(frac=1, random_state=1)[7000:]]), None)
+    assert len(calls) == 2 and len(out) == 15000
+    last = out.groupby("subject").tail(1)
+    assert (last["event_count"] == 60).all()
+    assert all(list(h) == [float(i) for i in range(0, 30, 3)] + [100.0 + i for i in range(0, 30, 3)] for h in last["creatinine_history"])
+    assert all(list(h) == [float(i) for i in range(1, 30, 3)] + [100.0 + i for i in range(1, 30, 3)] for h in last["urine_history"])
