@@ -150,6 +150,19 @@ def test_membership_within_the_horizon(spark):
     assert sum(min(seen[900_000 + i]) for i in range(100)) <= 5
 
 
+def test_keys_of_a_shard_are_reordered_apart(spark):
+    base = 1704067200
+    rows = [(None if k == 0 else f"k{k}", base + i * 60, f"{i:03d}", i) for i in range(40) for k in range(5)]
+    late = sorted(rows, key=lambda r: (r[3] // 10 + r[3] % 2, r[3] * 7 % 10))
+    parts = [late[i : i + 50] for i in range(0, 200, 50)] + [[("end", base + 1_000_000, None, -1)]]
+    stream = delivered(spark, parts, "key string, s long, note string, n int")
+    stream = stream.select("key", F.timestamp_seconds("s").alias("time"), "note", "n")
+    out = sinks.drain(buffers.reorder(stream, "key", "time", "30 minutes", shards=2), "one-shard").filter("n >= 0").collect()
+    for key in (None, "k1", "k2", "k3", "k4"):
+        own = sorted((r["position"], r["n"]) for r in out if r["key"] == key)
+        assert own == [(i + 1, i) for i in range(40)]
+
+
 def test_patients_share_calls_and_state_values(spark):
     from tidewatch.streaming import state
 

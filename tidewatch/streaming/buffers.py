@@ -1,23 +1,30 @@
 """Stateful operators that hold rows back: until the watermark passes them, or until a group is full or old.
 
-Rows wait in list state as JSON text, so rows of any columns can wait; what is released gets its columns back.
+Rows wait as JSON text in Arrow tables of a shard's keys, so rows of any columns can wait; what is released gets its columns
+back. A call and its state requests cost more than a key's few rows, so keys share them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewatch.streaming.state import with_state
+from tidewatch.streaming.state import from_bytes, to_bytes, with_state
 
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _JSON = {"timestampFormat": _MICROS + "XXX", "timestampNTZFormat": _MICROS}
-HELD = "at long, payload string"
+#: Keys are dealt to so many shards; a shard's keys share calls, state values and a timer.
+SHARDS = 1024
+HELD = pa.schema([("key", pa.string()), ("at", pa.int64()), ("payload", pa.string())])
+NUMBERS = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
 
 def _packed(columns: Sequence[str]) -> Column:
@@ -28,67 +35,106 @@ def _unpacked(released: DataFrame, schema: T.StructType, *more: str) -> DataFram
     return released.select(F.from_json("payload", schema, _JSON).alias("_row"), *more).select("_row.*", *more)
 
 
-def _rows(frames: Iterator[pd.DataFrame]) -> list[tuple]:
-    return [row for f in frames for row in zip(f["at"].tolist(), f["payload"].tolist(), strict=True)]
+def _table(frames: Iterator[pd.DataFrame], schema: pa.Schema) -> pa.Table:
+    return pa.concat_tables([pa.Table.from_pandas(f[schema.names], schema, preserve_index=False) for f in frames])
+
+
+def _numbers(state) -> dict[str, int]:
+    """What a state value holds per key."""
+    stored = state.get()
+    return dict(zip(*[c.to_pylist() for c in from_bytes(stored[0]).columns], strict=True)) if stored else {}
+
+
+def _keep_numbers(state, numbers: dict[str, int]) -> None:
+    state.update((to_bytes(pa.table([list(numbers), list(numbers.values())], schema=NUMBERS)),))
+
+
+def _dealt(key: str, shards: int) -> list[Column]:
+    """The shard of a row's key, and the key as text; a null key is one as well."""
+    return [F.pmod(F.xxhash64(key), F.lit(shards)).alias("_shard"), _packed([key]).alias("key")]
 
 
 class Reorder(StatefulProcessor):
-    """Rows of a key, released in order of `at` (milliseconds) when the watermark has passed them."""
+    """Rows of a shard's keys, released in order of `at` (milliseconds) when the watermark has passed them.
+
+    Held are one table per micro-batch, and one of what a release left; the timer stands at the earliest row.
+    """
 
     OUTPUT = "position long, released_at long, payload string"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", HELD)
-        self.count = handle.getValueState("count", "n long")
+        self.held = handle.getListState("held", "rows binary")
+        self.counts = handle.getValueState("counts", "numbers binary")
+        self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _rows(rows)
-        self.held.appendList(new)
-        # A timer in front of one that is set already only releases nothing twice.
-        self.handle.registerTimer(min(at for at, _ in new))
+        new = _table(rows, HELD)
+        self.held.appendValue((to_bytes(new),))
+        first, timer = pc.min(new["at"]).as_py(), self.timer.get()
+        if timer is None or first < timer[0]:
+            if timer is not None:
+                self.handle.deleteTimer(timer[0])
+            self.handle.registerTimer(first)
+            self.timer.update((first,))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        held = sorted(tuple(r) for r in self.held.get())
-        out = [r for r in held if r[0] <= passed]
-        rest = held[len(out) :]
-        if rest:
-            self.held.put(rest)
-            self.handle.registerTimer(rest[0][0])
+        held = pa.concat_tables([from_bytes(r[0]) for r in self.held.get()])
+        ready = pc.less_equal(held["at"], passed)
+        out, rest = held.filter(ready), held.filter(pc.invert(ready))
+        if len(rest):
+            first = pc.min(rest["at"]).as_py()
+            self.held.put([(to_bytes(rest),)])
+            self.handle.registerTimer(first)
+            self.timer.update((first,))
         else:
             self.held.clear()
-        if out:
-            n = self.count.get()[0] if self.count.exists() else 0
-            self.count.update((n + len(out),))
-            yield pd.DataFrame({"position": range(n + 1, n + len(out) + 1), "released_at": passed, "payload": [p for _, p in out]})
+            self.timer.clear()
+        if len(out):
+            out = out.sort_by([(c, "ascending") for c in HELD.names])
+            keys, sizes = np.unique(out["key"].to_numpy(), return_counts=True)
+            counts, starts = _numbers(self.counts), np.cumsum(sizes) - sizes
+            before = np.array([counts.get(k, 0) for k in keys])
+            positions = np.arange(1, len(out) + 1) + np.repeat(before - starts, sizes)
+            counts.update(zip(keys.tolist(), (before + sizes).tolist(), strict=True))
+            _keep_numbers(self.counts, counts)
+            yield pd.DataFrame({"position": positions, "released_at": passed, "payload": out["payload"].to_pandas()})
 
     def close(self) -> None:
         pass
 
 
-def reorder(events: DataFrame, key: str, time: str, delay: str) -> DataFrame:
+def reorder(events: DataFrame, key: str, time: str, delay: str, shards: int = SHARDS) -> DataFrame:
     """The rows of a stream in order of time within each key, and over micro-batches.
 
     `time` is a zoned timestamp. A row is held until the watermark, the newest time less `delay`, has passed it;
     rows that come later than that are dropped, and rows of equal time come in the order of their text.
     Adds `position`, the row's number within its key, and `released_at`, the watermark that released it: a
     micro-batch holds nothing older than what an earlier one released. A null key is a key of its own. The last `delay`
-    of a stream that ends stays held; a closing row that is later by more than that sets it free.
+    of a stream that ends stays held; a closing row that is later by more than that sets it free. Keys are dealt to
+    `shards`, which a checkpoint keeps; a task holds one shard's waiting rows.
     """
     with_state(events.sparkSession, __name__)
     schema = events.schema
     # The time is cut to the millisecond that watermark and timers count in.
     held = events.withWatermark(time, delay).select(
-        F.col(key).alias("_key"), time, F.unix_millis(time).alias("at"), _packed(events.columns).alias("payload")
+        *_dealt(key, shards), time, F.unix_millis(time).alias("at"), _packed(events.columns).alias("payload")
     )
-    released = held.filter("at is not null").groupBy("_key").transformWithStateInPandas(
+    released = held.filter("at is not null").groupBy("_shard").transformWithStateInPandas(
         statefulProcessor=Reorder(), outputStructType=Reorder.OUTPUT, outputMode="append", timeMode="eventTime"
     )
     return _unpacked(released, schema, "position", "released_at")
 
 
+_WAITING = "at long, payload string"
+
+
+def _rows(frames: Iterator[pd.DataFrame]) -> list[tuple]:
+    return [row for f in frames for row in zip(f["at"].tolist(), f["payload"].tolist(), strict=True)]
+
+
 class CountOrTime(StatefulProcessor):
     """Groups of `most` rows of a key; fewer when the first of them has waited `after_ms`."""
 
@@ -99,7 +145,7 @@ class CountOrTime(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", HELD)
+        self.held = handle.getListState("held", _WAITING)
         self.groups = handle.getValueState("groups", "n long")
 
     def _out(self, rows: list[tuple], cause: str) -> pd.DataFrame:
