@@ -163,6 +163,18 @@ def test_keys_of_a_shard_are_reordered_apart(spark):
         assert own == [(i + 1, i) for i in range(40)]
 
 
+def test_keys_of_a_shard_are_flushed_apart(spark):
+    rows = [(k or None, k * 100 + i) for k in range(6) for i in range(7 + k)]
+    path = work_dir(spark, "one-shard")
+    spark.createDataFrame(rows, "key long, n long").repartition(3).write.parquet(path)
+    stream = sources.table_stream_source(spark, path, spark.createDataFrame([], "key long, n long").schema)
+    out = sinks.drain_timed(buffers.flush_groups(stream, "key", "n", most=5, after_ms=500, shards=1), len(rows), "apart").collect()
+    for k in range(6):
+        own = sorted((r["group_no"], r["n"], r["cause"]) for r in out if r["key"] == (k or None))
+        full = (7 + k) // 5 * 5
+        assert own == [(1 + i // 5, k * 100 + i, "count" if i < full else "time") for i in range(7 + k)]
+
+
 def test_patients_share_calls_and_state_values(spark):
     from tidewatch.streaming import state
 

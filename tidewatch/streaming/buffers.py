@@ -24,6 +24,7 @@ _JSON = {"timestampFormat": _MICROS + "XXX", "timestampNTZFormat": _MICROS}
 #: Keys are dealt to so many shards; a shard's keys share calls, state values and a timer.
 SHARDS = 1024
 HELD = pa.schema([("key", pa.string()), ("at", pa.int64()), ("payload", pa.string())])
+DUE = HELD.append(pa.field("due", pa.int64()))
 NUMBERS = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
 
@@ -128,15 +129,8 @@ def reorder(events: DataFrame, key: str, time: str, delay: str, shards: int = SH
     return _unpacked(released, schema, "position", "released_at")
 
 
-_WAITING = "at long, payload string"
-
-
-def _rows(frames: Iterator[pd.DataFrame]) -> list[tuple]:
-    return [row for f in frames for row in zip(f["at"].tolist(), f["payload"].tolist(), strict=True)]
-
-
 class CountOrTime(StatefulProcessor):
-    """Groups of `most` rows of a key; fewer when the first of them has waited `after_ms`."""
+    """Groups of `most` rows of a key; fewer when the first of them has waited `after_ms`. The timer is that of a shard's first key."""
 
     OUTPUT = "group_no long, cause string, payload string"
 
@@ -145,53 +139,85 @@ class CountOrTime(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", _WAITING)
-        self.groups = handle.getValueState("groups", "n long")
-
-    def _out(self, rows: list[tuple], cause: str) -> pd.DataFrame:
-        n = self.groups.get()[0] if self.groups.exists() else 0
-        numbers = [n + 1 + i // self.most for i in range(len(rows))]
-        self.groups.update((numbers[-1],))
-        return pd.DataFrame({"group_no": numbers, "cause": cause, "payload": [p for _, p in rows]})
+        self.held = handle.getValueState("held", "rows binary")
+        self.groups = handle.getValueState("groups", "numbers binary")
+        self.timer = handle.getValueState("timer", "at long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = [tuple(r) for r in self.held.get()]
-        held += sorted(_rows(rows))
-        full = len(held) // self.most * self.most
-        if full:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            yield self._out(held[:full], "count")
-        rest = held[full:]
-        if not rest:
+    def _waiting(self) -> dict[str, tuple[int, list[tuple]]]:
+        """When each key is due, and its rows."""
+        stored, held = self.held.get(), {}
+        for key, at, payload, due in zip(*[c.to_pylist() for c in from_bytes(stored[0]).columns], strict=True) if stored else ():
+            held.setdefault(key, (due, []))[1].append((at, payload))
+        return held
+
+    def _keep(self, held: dict[str, tuple[int, list[tuple]]], expired: bool = False) -> None:
+        rows = [(key, *row, due) for key, (due, own) in held.items() for row in own]
+        first, timer = min((due for due, _ in held.values()), default=None), self.timer.get()
+        if rows:
+            self.held.update((to_bytes(pa.table([list(c) for c in zip(*rows, strict=True)], schema=DUE)),))
+        else:
             self.held.clear()
+        if timer is not None and timer[0] == first and not expired:
             return
-        self.held.put(rest)
-        if not list(self.handle.listTimers()):
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.after_ms)
+        if timer is not None and not expired:
+            self.handle.deleteTimer(timer[0])
+        if first is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(first)
+            self.timer.update((first,))
+
+    def _out(self, flushed: dict[str, list[tuple]], cause: str) -> pd.DataFrame:
+        groups, numbers = _numbers(self.groups), []
+        for key, rows in flushed.items():
+            n = groups.get(key, 0)
+            numbers += [n + 1 + i // self.most for i in range(len(rows))]
+            groups[key] = numbers[-1]
+        _keep_numbers(self.groups, groups)
+        return pd.DataFrame({"group_no": numbers, "cause": cause, "payload": [p for rows in flushed.values() for _, p in rows]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        due = timerValues.getCurrentProcessingTimeInMs() + self.after_ms
+        new = _table(rows, HELD).sort_by([(c, "ascending") for c in HELD.names])
+        held, flushed, arrived = self._waiting(), {}, {}
+        for own, *row in zip(*[c.to_pylist() for c in new.columns], strict=True):
+            arrived.setdefault(own, []).append(tuple(row))
+        for own, added in arrived.items():
+            since, waiting = held.pop(own, (due, []))
+            waiting += added
+            full = len(waiting) // self.most * self.most
+            if full:
+                flushed[own], since = waiting[:full], due
+            if waiting[full:]:
+                held[own] = since, waiting[full:]
+        self._keep(held)
+        if flushed:
+            yield self._out(flushed, "count")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = [tuple(r) for r in self.held.get()]
-        self.held.clear()
-        if held:
-            yield self._out(held, "time")
+        now, held = timerValues.getCurrentProcessingTimeInMs(), self._waiting()
+        flushed = {own: rows for own, (due, rows) in held.items() if due <= now}
+        self._keep({own: kept for own, kept in held.items() if own not in flushed}, expired=True)
+        if flushed:
+            yield self._out(flushed, "time")
 
     def close(self) -> None:
         pass
 
 
-def flush_groups(events: DataFrame, key: str, order: str, most: int = 10, after_ms: int = 3000) -> DataFrame:
+def flush_groups(events: DataFrame, key: str, order: str, most: int = 10, after_ms: int = 3000, shards: int = SHARDS) -> DataFrame:
     """Rows in groups that are flushed at `most` rows of a key, or `after_ms` after the first of them came.
 
     Adds `group_no`, counted within the key, and `cause`, count or time. Within a micro-batch rows are taken in
     the order of the long column `order`, nulls first. A time flush comes with the first micro-batch after the time,
     with or without new rows, so run it with a processing-time trigger: one over the present input never ends. A null key is a key of its own.
+    Keys are dealt to `shards`, which a checkpoint keeps; a task holds one shard's rows of a micro-batch.
     """
     with_state(events.sparkSession, __name__)
     held = events.select(
-        F.col(key).alias("_key"), F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 62))).alias("at"), _packed(events.columns).alias("payload")
+        *_dealt(key, shards), F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 62))).alias("at"), _packed(events.columns).alias("payload")
     )
-    flushed = held.groupBy("_key").transformWithStateInPandas(
+    flushed = held.groupBy("_shard").transformWithStateInPandas(
         statefulProcessor=CountOrTime(most, after_ms), outputStructType=CountOrTime.OUTPUT, outputMode="append",
         timeMode="processingTime",
     )
