@@ -83,3 +83,20 @@ def test_shared_counts_stay_bounded(spark):
     zeros = {r["k"]: r["n"] for r in shared.filter("kind = 'zeros'").collect()}
     exact = arrived.select(sketches.trailing_zeros(F.col("subject_id")).alias("z"), "arrival").groupBy("z").agg(F.min("arrival").alias("n"))
     assert zeros == {r["z"]: r["n"] for r in exact.collect()}
+
+
+def test_a_micro_batch_is_planned_with_measured_sizes(spark):
+    events = some_events(spark, 60).withColumn("hadm_id", F.lit(1).cast("long"))
+    people = spark.createDataFrame([], "subject_id long, group_size long")
+    index = twins.index_of(some_history(spark), work_dir(spark, "index"), n_bits=3)
+    path, adaptive = work_dir(spark, "adaptive"), []
+    events.coalesce(1).write.parquet(f"{path}/in")
+    rows = stream_live.arrivals_and_states(sources.table_stream_source(spark, f"{path}/in", events.schema))
+
+    def write(lines, folder):
+        adaptive.append((lines.sparkSession.conf.get("spark.sql.adaptive.enabled"), lines.count()))
+
+    sinks.each_batch(
+        rows, lambda batch, i: stream_live.trace_batch(batch, i, f"{path}/out", people, index, write=write), f"{path}/checkpoint", True
+    ).awaitTermination()
+    assert [a for a in adaptive if a[1]] == [("true", 60)]

@@ -73,7 +73,8 @@ def trace_batch(
 
     The sink is JSON lines below `path`/traces, or what `write` does with (key, value) rows and a folder of the batch's own.
     """
-    spark = batch.sparkSession
+    # The stream's own session plans without measured sizes; what follows reads files, in the session of the tables beside it.
+    spark = people.sparkSession
     batch.write.mode("overwrite").partitionBy("accepted").parquet(f"{path}/staged/v={batch_id}")
     staged = spark.read.schema(batch.schema).parquet(f"{path}/staged/v={batch_id}")
     if staged.isEmpty():  # a micro-batch that only moves the watermark
