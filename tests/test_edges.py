@@ -412,3 +412,17 @@ def test_a_stream_is_judged_over_its_micro_batches(spark):
     got = {r["check"]: r["passed"] for r in quality.stream_verdicts(run, "t").collect()}
     assert got == {"creatinine_range_valid": False, "no_missing_patient_ids": True}
     assert len(run.recentProgress) >= 3
+
+
+def test_both_models_are_prepared_once(spark, monkeypatch):
+    df = spark.range(400).select(
+        (F.col("id") % 2).cast("double").alias("label"), ((F.col("id") * 7) % 13).cast("double").alias("a"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") * 3) % 11 + F.col("id") % 2 * 4).cast("double").alias("b"),
+    )
+    alone = ml.fit_logistic(df, ["a", "b"], "label"), ml.fit_gbt(df, ["a", "b"], "label")
+    fitted, fit = [], ml.fit_medians
+    monkeypatch.setattr(ml, "fit_medians", lambda *a: fitted.append(1) or fit(*a))
+    both = ml.train_pipelines(df, ["a", "b"], "label")
+    assert len(fitted) == 1
+    assert both["LogisticRegression"].stages[-1].coefficients == alone[0].stages[-1].coefficients
+    assert both["GBTClassifier"].stages[-1].toDebugString.split("\n")[1:] == alone[1].stages[-1].toDebugString.split("\n")[1:]

@@ -122,8 +122,13 @@ def prepared(train: DataFrame, columns: Sequence[str]) -> list:
 
 def fit_logistic(train: DataFrame, columns: Sequence[str], label: str, max_iter: int = 10) -> PipelineModel:
     """Imputer, scaler and logistic regression fitted on the training rows."""
-    last = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
-    return _without_summary(Pipeline(stages=[*prepared(train, columns), last]).fit(train), train.sparkSession)
+    return _logistic_on(Pipeline(stages=prepared(train, columns)).fit(train), train, label, max_iter)
+
+
+def _logistic_on(ready: PipelineModel, train: DataFrame, label: str, max_iter: int = 10) -> PipelineModel:
+    """`ready`, fitted by the stages of `prepared`, with a logistic regression on the rows it prepares."""
+    last = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter).fit(ready.transform(train))
+    return _without_summary(PipelineModel([*ready.stages, last]), train.sparkSession)
 
 
 def _without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
@@ -142,18 +147,22 @@ def fit_gbt(
     seed: int = 42,
 ) -> PipelineModel:
     """Imputer, scaler and boosted trees fitted on the training rows."""
+    return _gbt_on(Pipeline(stages=prepared(train, columns)).fit(train), train, label, max_iter, max_depth, step, seed)
+
+
+def _gbt_on(
+    ready: PipelineModel, train: DataFrame, label: str, max_iter: int = 10, max_depth: int = 5, step: float = 0.1, seed: int = 42
+) -> PipelineModel:
     last = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed
     )
-    return Pipeline(stages=[*prepared(train, columns), last]).fit(train)
+    return PipelineModel([*ready.stages, last.fit(ready.transform(train))])
 
 
 def train_pipelines(train: DataFrame, columns: Sequence[str], label: str) -> dict[str, PipelineModel]:
-    """Both models on the same rows."""
-    return {
-        "LogisticRegression": fit_logistic(train, columns, label),
-        "GBTClassifier": fit_gbt(train, columns, label),
-    }
+    """Both models on the same rows, with medians and scales that are fitted once."""
+    ready = Pipeline(stages=prepared(train, columns)).fit(train)
+    return {"LogisticRegression": _logistic_on(ready, train, label), "GBTClassifier": _gbt_on(ready, train, label)}
 
 
 def score_batch(model: PipelineModel, df: DataFrame) -> DataFrame:
