@@ -1,9 +1,11 @@
 """The parts that the methods are named for."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -180,6 +182,51 @@ def test_no_frequent_pair_is_left():
     assert all((shard.document(d) == docs[d]).all() for d in range(400))
 
 
+def test_tasks_of_a_worker_share_an_encoder(spark, tmp_path, monkeypatch):
+    import pickle
+
+    from pyspark import cloudpickle
+
+    sent, made = [], []
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    init, send = grammar.ChunkEncoder.__init__, type(docs).mapInArrow
+    monkeypatch.setattr(grammar.ChunkEncoder, "__init__", lambda self, path: made.append(path) or init(self, path))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, fn, *a: sent.append(cloudpickle.dumps(fn)) or send(df, fn, *a))
+    grammar.write_ids(docs, public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "shards"))
+    made.clear()
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b", ""]})
+    first, second = (list(pickle.loads(sent[0])(iter([batch]))) for _ in range(2))
+    assert first == second and first[0]["n_ids"].to_pylist() == [4] and len(made) <= 1
+
+
+@pytest.mark.parametrize("words", [20, 250_000])
+def test_words_split_together_have_the_ids_of_the_library(words, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(grammar, "CACHE_WORDS", words)
+    monkeypatch.setattr(grammar, "CACHE_IDS", 20 * words)
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = grammar.ChunkEncoder(vocabulary), Tokenizer.from_file(vocabulary)
+    some = "a B \u00c9 \u0130 \u023a \u0178 \u00df \u00aa \u00b2 \u00d7 \u02ff 1 23 0 . , - ' 's 'll <|endoftext|> the tion \u0301 \u03a3 \u65e5 \u042f \U0001f600"
+    pieces = [*some.split(), *" \n\t\r\x0b\x85\xa0\xad\0", "  "]
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        texts = ["", " ", *("".join(rng.choice(pieces, rng.integers(0, 30))) for _ in range(30))]
+        ids, ends = encoder.encode(pa.array(texts))
+        want = [[*library.encode(t, add_special_tokens=False).ids, grammar.END] for t in texts]
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == want
+
+
+def test_a_shard_gives_all_documents_at_once():
+    rng = np.random.default_rng(4)
+    for kinds, n in ((3, 200), (3, 1), (50_000, 40)):
+        sizes = rng.integers(1, 30, n)
+        ids = rng.integers(0, kinds, sizes.sum())
+        all_ids, own = grammar.read_shard(grammar.write_shard(ids, np.cumsum(sizes))).documents()
+        assert (all_ids == ids).all() and (own == sizes).all()
+
+
 def test_answers_of_a_part_do_not_slow_down_with_its_blocks():
     import time
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -50,12 +51,15 @@ FIRST_RULE = 1 << 17
 LEAST_COUNT = 8
 LEAST_USES = 4
 BLOCK_TEXT = 4 << 20
-CACHE_CHUNKS, CACHE_WORDS = 250_000, 150_000
+CACHE_WORDS, CACHE_IDS, CACHE_LETTERS = 250_000, 2_000_000, 100
 #: The vocabulary's split of normalized text, and where its lower-casing and
 #: composition of letters begin to need the library.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 COMPOSING = "\u0300"
 WORD_END = b"\0"
+#: What chunks that are split all at once do not hold: blanks, controls, apostrophes, letters whose small
+#: form is not one letter below COMPOSING.
+NOT_PLAIN = "[^\x21-\x26\x28-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02ff]"
 _BUCKETS = 1 << 20
 
 
@@ -106,29 +110,33 @@ class _Rules:
             often[_bucket(self.pairs[:, 0], self.pairs[:, 1])] = True
             maybe = often[bucket]
             places, left, right = places[maybe], left[maybe], right[maybe]
-        codes, own, counts = np.unique(_pair(left, right), return_inverse=True, return_counts=True)
-        order = np.lexsort((codes, counts))
-        order = order[(counts[order] >= LEAST_COUNT) | (self.known(codes[order]) >= 0)]
-        rank = np.full(len(codes), -1)
+        # A hash table tells the pairs apart, as few of them are distinct.
+        found = pa.array(_pair(left, right)).dictionary_encode()
+        codes, own = found.dictionary.to_numpy(), found.indices.to_numpy()
+        counts = np.bincount(own, minlength=len(codes))
+        order = np.flatnonzero((counts >= LEAST_COUNT) | (self.known(codes) >= 0))
+        order = order[np.lexsort((codes[order], counts[order]))]
+        rank = np.full(len(codes), -1, np.int32)
         rank[order] = np.arange(len(order))
         ranks = rank[own]
-        return places[ranks >= 0], ranks[ranks >= 0], codes[order]
+        some = ranks >= 0
+        return places[some], ranks[some], codes[order]
 
 
 def _taken(places: np.ndarray, ranks: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which places are replaced: no overlapping pair has a higher rank; of a run of one pair, every second place."""
     beside = np.diff(places) == 1
-    none = np.full(1, -1)
-    before = np.concatenate([none, np.where(beside, ranks[:-1], -1)])
-    after = np.concatenate([np.where(beside, ranks[1:], -1), none])
-    top = np.flatnonzero((ranks >= before) & (ranks >= after))
-    number = np.arange(len(top))
+    top = np.ones(len(places), bool)
+    top[1:] &= ~beside | (ranks[1:] >= ranks[:-1])
+    top[:-1] &= ~beside | (ranks[:-1] >= ranks[1:])
+    top = np.flatnonzero(top)
     new_run = np.concatenate([[True], np.diff(places[top]) > 1])
-    nth = number - np.maximum.accumulate(np.where(new_run, number, 0))
+    first = np.flatnonzero(new_run)
+    nth = np.arange(len(top)) - np.repeat(first, np.diff(first, append=len(top)))
     top = top[nth % 2 == 0]
     # The highest pair gives way to none, so that every round replaces some.
     uses = np.bincount(ranks[top], minlength=len(known))
-    return top[(uses >= LEAST_USES)[ranks[top]] | known[ranks[top]]]
+    return top[((uses >= LEAST_USES) | known)[ranks[top]]]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -141,26 +149,28 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     count = ~last
     every = True
     while True:
-        places, ranks, codes = rules.frequent(symbols, np.flatnonzero(count & ~last))
+        places, ranks, codes = rules.frequent(symbols, np.flatnonzero(count))
         if not len(places):
             if every:
                 return rules.pairs, rules.lengths, symbols, np.flatnonzero(last) + 1
             count, every = ~last, True
             continue
         taken = _taken(places, ranks, rules.known(codes) >= 0)
-        at = places[taken]
-        used, number = np.unique(ranks[taken], return_inverse=True)
-        symbols[at] = rules.symbols(codes[used])[number]
+        at, ranks = places[taken], ranks[taken]
+        used = np.flatnonzero(np.bincount(ranks, minlength=len(codes)))
+        made = np.zeros(len(codes), np.int32)
+        made[used] = rules.symbols(codes[used])
+        symbols[at] = made[ranks]
         last[at] = last[at + 1]
-        count = np.zeros(len(symbols), bool)
-        count[places] = True
-        new = np.zeros(len(symbols), bool)
-        new[at] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last, count, new = symbols[keep], last[keep], count[keep], new[keep]
-        count |= new
-        count[:-1] |= new[1:]
+        # Counted next: what was frequent, and the pairs that end in a new symbol.
+        count = np.zeros(len(symbols), bool)
+        count[places] = True
+        count = count[keep]
+        count[np.maximum(at - np.arange(len(at)) - 1, 0)] = True
+        symbols, last = symbols[keep], last[keep]
+        count &= ~last
         every = False
 
 
@@ -184,14 +194,21 @@ class Shard:
         """The ids of one document, without touching the others."""
         return self.expand(self.symbols[self.offsets[i] : self.offsets[i + 1]])
 
+    def documents(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all documents, and each one's size."""
+        before = np.concatenate([[0], np.cumsum(self.sizes(self.symbols))])
+        return self.expand(self.symbols), np.diff(before[self.offsets])
+
+    def sizes(self, symbols: np.ndarray) -> np.ndarray:
+        """How many ids each symbol stands for."""
+        return np.append(self.lengths, 1)[np.where(symbols >= FIRST_RULE, symbols - FIRST_RULE, -1)]
+
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        rule = symbols >= FIRST_RULE
-        number = np.where(rule, symbols - FIRST_RULE, 0)
-        sizes = np.where(rule, self.lengths[number] if len(self.lengths) else 1, 1)
+        rule = np.flatnonzero(symbols >= FIRST_RULE)
+        sizes = self.sizes(symbols)
         out = np.repeat(symbols, sizes)
-        if rule.any():
-            inside = np.repeat(rule, sizes)
-            out[inside] = self.expanded[_spread(self.starts[number[rule]], sizes[rule])]
+        to = (np.cumsum(sizes) - sizes)[rule]
+        out[_spread(to, sizes[rule])] = self.expanded[_spread(self.starts[symbols[rule] - FIRST_RULE], sizes[rule])]
         return out
 
 
@@ -226,7 +243,7 @@ def read_shard(payload: bytes) -> Shard:
 
 
 def word_merger(vocabulary: str):
-    """An encoding that merges the bytes of a word and WORD_END by the vocabulary's ranks; a line feed stands alone.
+    """An encoding that merges the bytes of words, WORD_END behind each, by the vocabulary's ranks; which ids end a word.
 
     The ids of the vocabulary rise with its merges, which is checked. Texts with byte 0, which
     stands for the end of a word, are not for it.
@@ -251,17 +268,23 @@ def word_merger(vocabulary: str):
             raw = bytes([of_letter[c] for c in plain])
             if WORD_END not in raw or raw + WORD_END * ends == WORD_END:
                 ranks[raw + WORD_END * ends] = rank
-    return tiktoken.Encoding("words", pat_str=r"[^\n\x00]+\x00|\n", mergeable_ranks=ranks, special_tokens={})
+    ends_word = np.zeros(max(ranks.values()) + 1, bool)
+    ends_word[[rank for token, rank in ranks.items() if token.endswith(WORD_END)]] = True
+    return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}), ends_word
+
+
+def _joined(strings: pa.Array, between: str) -> str:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings), between)[0].as_py()
 
 
 class ChunkEncoder:
     """Ids of texts from the vocabulary's library, called once per distinct word.
 
     The vocabulary's own split never joins what a blank or line feed separates, and its normalizer
-    drops them, so the ids of a text are those of its chunks one after the other. Chunks of the
-    first alphabets are lower-cased and split here and their words merged by rank, with byte 0 for
-    the end of a word: printable ones all at once, separated by line feeds, others one by one.
-    All other chunks, and special strings, go through the library whole.
+    drops them, so the ids of a text are those of its chunks one after the other. Plain chunks of the
+    first alphabets are lower-cased and split here, all at once, and their words merged by rank, with
+    byte 0 for the end of a word; others of these alphabets one by one. All other chunks, and special
+    strings, go through the library whole. Words and chunks that are not plain are kept for later blocks.
     """
 
     def __init__(self, vocabulary: str):
@@ -272,77 +295,103 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        pattern = regex.compile(WORD_PATTERN)
-        self.split, self.end_words = pattern.findall, functools.partial(pattern.sub, r"\g<0>" + WORD_END.decode())
-        self.merger = word_merger(vocabulary)
-        self.line_feed = self.merger.encode_ordinary("\n")[0]
+        self.split = regex.compile(WORD_PATTERN).findall
+        self.merger, self.ends_word = word_merger(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, list[int]] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        # Number 1 stands for the end of a text.
-        self.numbers: dict[str, int] = {"": 0, " ": 1}
-        self.sizes, self.flat = np.array([0, 1]), np.array([END])
-
-    def chunk_ids(self, chunk: str, special: bool) -> list[int]:
-        """`special` says that some text of the block has a special string."""
+        self.not_plain = "|".join([NOT_PLAIN, *map(re.escape, self.special)])
+        # Letters, digits (a word each) and all else; a line feed is between chunks.
+        kinds = [1 if regex.match(r"\p{L}", c) else 2 if regex.match(r"\p{N}", c) else 3 for c in map(chr, range(ord(COMPOSING)))]
+        self.kinds = np.array(kinds, np.uint8)
+        self.kinds[ord("\n")] = 0
+        self.others: dict[str, list[int]] = {}
+        self.n_others = 0
+        self.words, self.sizes, self.flat = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def chunk_ids(self, chunk: str) -> list[int]:
         known = (chunk.isascii() or max(chunk) < COMPOSING) and WORD_END.decode() not in chunk
-        if not known or special and any(s in chunk for s in self.special):
+        if not known or any(s in chunk for s in self.special):
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        lowered = chunk.lower()
-        if lowered.isalpha():
-            return self.words.get(lowered) or self.word_ids(lowered)
-        out: list[int] = []
-        for word in self.split(lowered):
-            out += self.words.get(word) or self.word_ids(word)
+        return self.merger.encode_ordinary("".join([word + WORD_END.decode() for word in self.split(chunk.lower())]))
+
+    def split_plain(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words of plain chunks, and how many each has."""
+        text = _joined(chunks, "\n").lower()
+        letters = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kinds = self.kinds[letters]
+        inside = kinds > 0
+        ends = inside & ((kinds == 2) | (kinds != np.append(kinds[1:], 0)[: len(kinds)]))
+        n_words = np.concatenate([[0], np.cumsum(ends)])
+        n_words = np.diff(n_words[np.concatenate([[0], np.flatnonzero(~inside), [len(kinds)]])])[: len(chunks)]
+        at = np.concatenate([[0], np.cumsum((letters >= 0x80) + inside.view(np.uint8), dtype=np.int32)[ends]]).astype(np.int32)
+        data = text.replace("\n", "").encode()
+        return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)), n_words
+
+    def word_numbers(self, words: pa.Array) -> np.ndarray:
+        """The place of each word in `words`, `sizes` and `flat`, where new ones are added."""
+        found = words.dictionary_encode()
+        distinct = found.dictionary
+        number = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy().copy()
+        new = number < 0
+        if len(self.words) + new.sum() > CACHE_WORDS or len(self.flat) > CACHE_IDS:
+            # Those of this block stay.
+            stay = number[~new]
+            starts, sizes = np.cumsum(self.sizes) - self.sizes, self.sizes[stay]
+            self.words, self.sizes, self.flat = self.words.take(pa.array(stay)), sizes, self.flat[_spread(starts[stay], sizes)]
+            number[~new] = np.arange(len(stay))
+        number[new] = len(self.words) + np.arange(new.sum())
+        if new.any():
+            added = distinct.filter(pa.array(new))
+            ids = self.merger.encode_to_numpy(_joined(added, WORD_END.decode()) + WORD_END.decode(), disallowed_special=())
+            self.words = pa.concat_arrays([self.words, added])
+            self.sizes = np.concatenate([self.sizes, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)])
+            self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        return number[found.indices.to_numpy()]
+
+    def other_ids(self, chunks: pa.Array) -> list[list[int]]:
+        if self.n_others > CACHE_IDS:
+            self.others, self.n_others = {}, 0
+        out = []
+        for chunk in _joined(chunks, "\n").split("\n") if len(chunks) else []:
+            ids = self.others.get(chunk)
+            if ids is None:
+                ids = self.chunk_ids(chunk)
+                if len(chunk) <= CACHE_LETTERS:
+                    self.others[chunk] = ids
+                    self.n_others += 1 + len(ids)
+            out.append(ids)
         return out
 
-    def word_ids(self, word: str) -> list[int]:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        ids = self.words[word] = self.merger.encode_ordinary(word + WORD_END.decode())
-        return ids
-
-    def together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and ids of printable chunks of the first alphabets."""
-        if not chunks:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        text = self.end_words("\n".join(chunks).lower()) + "\n"
-        ids = self.merger.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
-        ends = np.flatnonzero(ids == self.line_feed)
-        return np.diff(ends, prepend=-1) - 1, np.delete(ids, ends)
-
-    def encode(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, listed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and each text's end."""
-        if len(self.numbers) > CACHE_CHUNKS:
-            self._clear()
-        split = pc.split_pattern(pc.replace_substring(pa.array(listed, pa.string()), "\n", " "), " ")
-        chunks = split.flatten().dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        self._learn([c for c in distinct if c not in self.numbers], any(s in t for t in listed for s in self.special))
-        known = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        split = pc.split_pattern(pc.replace_substring(listed.cast(pa.string()), "\n", " "), " ")
+        found = split.flatten().dictionary_encode()
+        chunks = found.dictionary
+        other = pc.match_substring_regex(chunks, self.not_plain)
+        words, n_words = self.split_plain(chunks.filter(pc.invert(other)))
+        number = self.word_numbers(words)
+        starts, sizes = (np.cumsum(self.sizes) - self.sizes)[number], self.sizes[number]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        others = self.other_ids(chunks.filter(other))
+        # The ids of plain chunks, of others, and the end of a text.
+        flat = np.concatenate(
+            [self.flat[_spread(starts, sizes)], np.fromiter(chain.from_iterable(others), np.int32), np.array([END], np.int32)]
+        )
+        n_ids = np.concatenate(
+            [np.diff(before[np.concatenate([[0], np.cumsum(n_words)])]), np.fromiter(map(len, others), np.int64), [1]]
+        )
+        row = np.argsort(np.append(other.to_numpy(zero_copy_only=False), True), kind="stable")
+        starts, sizes = np.empty(len(row), np.int64), np.empty(len(row), np.int64)
+        starts[row], sizes[row] = np.cumsum(n_ids) - n_ids, n_ids
         n_chunks = np.cumsum(pc.list_value_length(split).to_numpy())
-        at = np.insert(known[chunks.indices.to_numpy()], n_chunks, 1)
-        starts = np.cumsum(self.sizes) - self.sizes
-        sizes = self.sizes[at]
-        return self.flat[_spread(starts[at], sizes)], np.cumsum(sizes)[n_chunks + np.arange(len(listed))]
-
-    def _learn(self, new: list[str], special: bool) -> None:
-        plain, others = [], []
-        for c in new:
-            simple = (c.isascii() or max(c) < COMPOSING) and c.isprintable()
-            (others if not simple or special and any(s in c for s in self.special) else plain).append(c)
-        sizes, ids = self.together(plain)
-        found = [self.chunk_ids(c, special) for c in others]
-        first = len(self.numbers)
-        self.numbers.update(zip(chain(plain, others), range(first, first + len(new)), strict=True))
-        self.sizes = np.concatenate([self.sizes, sizes, np.fromiter(map(len, found), np.int64, len(found))])
-        self.flat = np.concatenate([self.flat, ids, np.fromiter(chain.from_iterable(found), np.int64)])
+        at = np.insert(found.indices.to_numpy(), n_chunks, len(chunks))
+        sizes = sizes[at]
+        return flat[_spread(starts[at], sizes)], np.cumsum(sizes)[n_chunks + np.arange(len(listed))]
 
 
-#: A worker that runs several tasks keeps its encoder and what it knows.
-_ENCODERS: dict[str, ChunkEncoder | None] = {}
+@functools.lru_cache(maxsize=2)
+def encoder_of(vocabulary: str) -> ChunkEncoder:
+    """A worker that runs several tasks keeps its encoder and what it knows."""
+    return ChunkEncoder(vocabulary)
 
 
 def write_ids(docs: DataFrame, vocabulary: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -356,11 +405,10 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, id_col: str = "doc_id
     ordered = rows.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(vocabulary, None) or ChunkEncoder(vocabulary)
-        _ENCODERS[vocabulary] = encoder
+        encoder = encoder_of(vocabulary)
         part = TaskContext.get().partitionId()
         for seq, table in enumerate(blocks(batches, "text", BLOCK_TEXT)):
-            ids, ends = encoder.encode(table.column("text").to_pylist())
+            ids, ends = encoder.encode(table.column("text").combine_chunks())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()), pa.array([seq], pa.int32()),
@@ -394,16 +442,12 @@ def read_ids(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = read_shard(batch.column("payload")[i].as_py())
-                doc_ids = batch.column("doc_ids")[i].as_py()
-                ids = [shard.document(d).astype(np.int32) for d in range(len(doc_ids))]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                ids, sizes = read_shard(batch.column("payload")[i].as_py()).documents()
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 start = batch.column("shard_start")[i].as_py()
-                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(start + offsets[:-1].astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), values)],
+                    [batch.column("doc_ids")[i].values, pa.array(start + offsets[:-1].astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))],
                     names=["doc_id", "start", "ids"],
                 )
 
