@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import config
-from tidewatch.operators import similarity
+from tidewatch.operators import nearest, similarity
+from tidewatch.session import work_dir
 from tidewatch.sources.layers import settle
 
 FEATURES = list(config.FEATURES)
@@ -112,3 +113,91 @@ def test_blocks_of_a_bucket_give_the_pairs_nearest(spark, many):
         for p in (pairs, blocks)
     )
     assert expected and str(got) == str(expected)
+
+
+def _all_pairs(z, q, k, limit):
+    """The k nearest rows of each query, ties by place, of those within its limit."""
+    found = []
+    for one, most in zip(q, limit):
+        distance = nearest.rounded_distance(z, np.repeat(one[None], len(z), axis=0))
+        order = np.lexsort((np.arange(len(z)), distance))
+        found.append([(int(i), float(distance[i])) for i in order if distance[i] <= most][:k])
+    return found
+
+
+@pytest.mark.parametrize("n, m, dims, k, steps, odd", [(1, 1, 2, 3, 0, 0), (90, 40, 2, 100, 1, 0), (900, 300, 9, 3, 0, 0), (900, 200, 3, 5, 1, 0), (700, 200, 3, 3, 1, 0.02)])
+def test_cells_give_the_nearest_rows(n, m, dims, k, steps, odd):
+    # Ties and equal rows, missing, infinite and huge values, and limits that leave fewer than k rows.
+    rng = np.random.RandomState(3)
+    z, q = rng.randn(n, dims), rng.randn(m, dims) * 2
+    for rows in (z, q):
+        if steps:
+            rows[:] = rows.round(0)
+        rows[rng.rand(*rows.shape) < odd] = rng.choice([np.nan, np.inf, 1e200, 1e12])
+    for limit in (np.full(m, np.inf), np.where(rng.rand(m) < 0.5, np.inf, rng.rand(m).round(1) * 2)):
+        with np.errstate(all="ignore"):
+            distance, place = nearest.Nearest(z, k).search(q, limit)
+            expected = _all_pairs(z, q, k, limit)
+        assert [[(int(i), float(d)) for i, d in zip(p, e) if i < n] for p, e in zip(place, distance)] == expected
+
+
+def test_cells_leave_out_most_pairs(monkeypatch):
+    rng = np.random.RandomState(4)
+    z, q = rng.randn(50000, 3), rng.randn(20000, 3)
+    compared, matmul = [], np.matmul
+
+    def counted(a, b):
+        found = matmul(a, b)
+        compared.append(found.size)
+        return found
+
+    rows = nearest.Nearest(z, 3)
+    monkeypatch.setattr(np, "matmul", counted)
+    rows.search(q, np.full(len(q), np.inf))
+    assert 0 < sum(compared) < len(z) * len(q) / 20
+
+
+def test_rounds_over_tables_give_the_nearest_of_all_pairs(spark, monkeypatch):
+    # Slices of hot buckets and parts of large ones; ties, repeated and null keys, repeated queries, a query without mates.
+    monkeypatch.setattr(similarity, "LEAST_QUERIES", 5)
+    monkeypatch.setattr(similarity, "HELD_ROWS", 60)
+
+    def rows(n, step):
+        values = [[float((i * step + j) % 5) for j in range(3)] for i in range(n)]
+        return [(None if i % 17 == 0 else f"r{(i * 7) % 41:02d}", v, [0, int(v[0]), int(v[1] + v[2])]) for i, v in enumerate(values)]
+
+    def long(data, names):
+        df = spark.createDataFrame(data, f"{names[0]} string, {names[1]} array<double>, {names[2]} array<bigint>")
+        return df.select("*", F.posexplode(names[2]).alias("table_id", "bucket"))
+
+    index = settle(long(rows(130, 7), ("key", "z", "buckets")).withColumn("told", F.concat("key", F.lit("!"))), "rows-of-buckets")
+    queries = [(f"q{i}", *r[1:]) for i, r in enumerate(rows(60, 3))] + [("q1", [9.0, 9.0, float("nan")], [7, 9, 99])]
+    asked = long(queries, ("query", "q_z", "q_buckets"))
+    alone = spark.createDataFrame(queries, "query string, q_z array<double>, q_buckets array<bigint>")
+    counts = similarity.bucket_counts(asked), similarity.bucket_counts(index)
+    rounds = similarity.search_rounds(*counts, 2)
+    assert max(r.parts for r in rounds) > 1 and any(r.slices for r in rounds) and {r.table for r in rounds} == {0, 1, 2}
+    lists = similarity.nearest_lists(alone, index, "query", "key", 4, 3, 3, ("told",), *counts)
+    assert lists.count() == len(queries)
+    got = lists.select("query", F.posexplode("nearest").alias("at", "t")).select("query", "t.key", "t.told", "t.distance", (F.col("at") + 1).alias("rank"))
+    pairs = similarity.lsh_bucket_join(asked, index, "key").select(
+        "query", "key", "told", similarity.round_half_up(similarity.euclidean(F.col("z"), F.col("q_z"), 3), 6).alias("distance")
+    )
+    expected = similarity.topk_similar(pairs, "query", "key", 4).select("query", "key", "told", "distance", "rank")
+    expected, got = ([tuple(r) for r in df.orderBy("query", "rank").collect()] for df in (expected, got))
+    assert len(expected) == 60 * 4 and got == expected
+
+
+def test_few_and_many_pairs_give_the_same_lists(spark):
+    history = spark.range(400).select(
+        F.col("id").cast("string").alias("row_key"), *[((F.col("id") * (i + 3)) % 13).cast("double").alias(c) for i, c in enumerate(config.FEATURES)]
+    )
+    moments = similarity.feature_moments(history)
+    index = similarity.write_index(similarity.lsh_index(history, "row_key", moments, n_tables=3, n_bits=3), work_dir(spark, "index"))
+    # Two queries of one id each keep their own list.
+    queries = history.limit(80).select((F.col("row_key").cast("int") % 40).alias("query_id"), *config.FEATURES)
+    both = [
+        sorted(str(r) for r in similarity.lsh_lists(queries, index, moments, "row_key", k=5, n_tables=3, n_bits=3, few=few).collect())
+        for few in (0, 1 << 26)
+    ]
+    assert both[0] == both[1] and len(both[0]) == 80
