@@ -100,3 +100,26 @@ def test_a_micro_batch_is_planned_with_measured_sizes(spark):
         rows, lambda batch, i: stream_live.trace_batch(batch, i, f"{path}/out", people, index, write=write), f"{path}/checkpoint", True
     ).awaitTermination()
     assert [a for a in adaptive if a[1]] == [("true", 60)]
+
+
+def test_a_micro_batch_joins_its_events_once(spark, monkeypatch):
+    # Twins are searched for events that were written with what was joined to them; the search reads them more than once.
+    events = some_events(spark, 60)
+    states = live.scored(live.live_state(events.withColumn("event_time", F.col("charttime").cast("timestamp_ntz")))).drop("event_time")
+    rows = states.withColumn("accepted", F.lit(True)).unionByName(
+        events.select("subject_id", "charttime", "arrival").withColumn("accepted", F.lit(False)), allowMissingColumns=True
+    )
+    people = spark.range(5).select(F.col("id").alias("subject_id"), F.lit(3).cast("long").alias("group_size"))
+    index = twins.index_of(some_history(spark), work_dir(spark, "index"), n_bits=3)
+    path, plans, with_twins = work_dir(spark, "joined"), [], twins.with_twins
+
+    def watched(events, *args):
+        plans.append(events._jdf.queryExecution().executedPlan().toString())
+        return with_twins(events, *args)
+
+    monkeypatch.setattr(twins, "with_twins", watched)
+    for i in range(3):
+        stream_live.trace_batch(rows, i, path, people, index)
+    assert len(plans) == 3 and not any("Join" in plan for plan in plans)
+    assert len(spark.read.text(f"{path}/traces/batch=2").collect()) == 60
+    assert len(sinks.versions(spark, f"{path}/tagged")) <= 2

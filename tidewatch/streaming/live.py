@@ -85,7 +85,10 @@ def trace_batch(
     merge_shared(before, staged.filter("not accepted")).coalesce(1).write.mode("overwrite").parquet(shared_path)
     states = staged.filter("accepted").drop("accepted")
     counted = with_shared(states, spark.read.schema(SHARED).parquet(shared_path))
+    # Events are read three times to find their twins, so what was joined to them is written first.
     tagged = salted_join(counted, people, ["subject_id"], how="left")
+    tagged.write.mode("overwrite").parquet(f"{path}/tagged/v={batch_id}")
+    tagged = spark.read.schema(tagged.schema).parquet(f"{path}/tagged/v={batch_id}")
     twinned = twins.with_twins(tagged, index, "arrival", k)
     told = live.traces(
         twinned.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("event_time", F.col("charttime").cast("timestamp_ntz"))
@@ -95,7 +98,7 @@ def trace_batch(
         lines.select("value").write.mode("overwrite").text(f"{path}/traces/batch={batch_id}")
     else:
         write(lines, f"{path}/traces/batch={batch_id}")
-    for folder in ("staged", "shared"):
+    for folder in ("staged", "shared", "tagged"):
         sinks.forget_versions(spark, f"{path}/{folder}", batch_id)
 
 
