@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.test_streaming import COLUMNS, some_events
 from tidewatch import config, schemas
-from tidewatch.operators import live, sketches
+from tidewatch.operators import live, similarity, sketches
 from tidewatch.session import work_dir
 from tidewatch.sources.layers import settle
 from tidewatch.streaming import live as stream_live
@@ -123,3 +123,22 @@ def test_a_micro_batch_joins_its_events_once(spark, monkeypatch):
     assert len(plans) == 3 and not any("Join" in plan for plan in plans)
     assert len(spark.read.text(f"{path}/traces/batch=2").collect()) == 60
     assert len(sinks.versions(spark, f"{path}/tagged")) <= 2
+
+
+def test_twins_of_many_events_come_in_rounds(spark, monkeypatch):
+    # Events that share a key, without a key and without history; with many pairs no pair is a row.
+    states = live.scored(live.live_state(some_events(spark, 90).withColumn("event_time", F.col("charttime").cast("timestamp_ntz"))))
+    key = F.when(F.col("arrival") % 7 != 0, F.col("arrival") - F.col("arrival") % 2)
+    events = settle(states.withColumn("arrival", key), "shared-keys")
+    found = []
+    for few in (similarity.FEW_PAIRS, 0):
+        monkeypatch.setattr(similarity, "FEW_PAIRS", few)
+        for n in (300, 0):
+            index = twins.index_of(some_history(spark, n), work_dir(spark, "index"), n_bits=3)
+            rows = twins.with_twins(events, index)
+            if n and not few:
+                assert rows._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 3
+            found.append(sorted(str(r) for r in rows.collect()))
+            found.append(sorted(str(r) for r in twins.twins_of(events, index).collect()))
+    assert found[:4] == found[4:] and len(found[0]) == len(found[2]) == 90 and len(found[1]) > 90 and not found[3]
+    assert "rank=3" in str(found[1])

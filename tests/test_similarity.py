@@ -160,7 +160,7 @@ def test_cells_leave_out_most_pairs(monkeypatch):
 def test_rounds_over_tables_give_the_nearest_of_all_pairs(spark, monkeypatch):
     # Slices of hot buckets and parts of large ones; ties, repeated and null keys, repeated queries, a query without mates.
     monkeypatch.setattr(similarity, "LEAST_QUERIES", 5)
-    monkeypatch.setattr(similarity, "HELD_ROWS", 60)
+    monkeypatch.setattr(similarity, "HELD_ROWS", 20)
 
     def rows(n, step):
         values = [[float((i * step + j) % 5) for j in range(3)] for i in range(n)]
